@@ -115,3 +115,9 @@ def written_once(frame: DataFrame) -> DataFrame:
     """``frame`` with its partitions fixed on shared storage, so that later jobs see the same ones."""
     shared_folder(frame.sparkSession)
     return frame.checkpoint()
+
+
+def stored(frame: DataFrame, folder: str) -> DataFrame:
+    """``frame`` written to ``folder`` and read back: later steps start from the files."""
+    frame.write.mode("overwrite").parquet(folder)
+    return frame.sparkSession.read.schema(frame.schema).parquet(folder)
