@@ -1,0 +1,6 @@
+"""Exchange tables and streams through named, typed topics. Everything runs as Spark jobs."""
+
+from topicflow.errors import TopicflowError
+from topicflow.space import TopicSpace
+
+__all__ = ["TopicSpace", "TopicflowError"]

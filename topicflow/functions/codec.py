@@ -49,9 +49,17 @@ def parse(line: Column, schema: T.StructType) -> Column:
     return F.from_json(line, target, options)
 
 
+def unpacked(parsed: Column) -> Column:
+    """The fields of a parsed line as columns.
+
+    As the output of a generator they can be filtered without parsing the line again for the filter.
+    """
+    return F.inline(F.array(parsed))
+
+
 def decode(lines: DataFrame, schema: T.StructType, name: str = "line") -> DataFrame:
     """Inverse of :func:`encode`; unreadable lines keep their text in ``tp_corrupt``."""
-    return lines.select(parse(quoted(name), schema).alias("tp_row")).select("tp_row.*")
+    return lines.select(unpacked(parse(quoted(name), schema)))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

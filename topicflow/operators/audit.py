@@ -98,12 +98,15 @@ def fan_out(sends: DataFrame, intervals: DataFrame, width: int = FAN_OUT_WIDTH)
     last = sends.agg(F.max(bucket_of("seq", width))).scalar()
     spans = (
         intervals.withColumn("tp_from", bucket_of("start_seq", width))
-        .withColumn("tp_to", F.least(F.coalesce(bucket_of("end_seq", width), last), last))
+        .withColumn("tp_to", F.least(bucket_of("end_seq", width), last))  # least skips nulls
         .where(F.col("tp_from") <= F.col("tp_to"))
         .withColumn("tp_bucket", F.explode(F.sequence("tp_from", "tp_to")))
         .select("topic", "tp_bucket", "subscriber_id", "start_seq", "end_seq")
     )
+    # the join multiplies rows: spread the messages first, over a fixed number of partitions that stay apart
+    parts = int(sends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     messages = sends.select("seq", "topic", bucket_of("seq", width).alias("tp_bucket"))
+    messages = messages.repartition(parts, "topic", "tp_bucket")
     met = messages.join(spans, ["topic", "tp_bucket"]).where(
         (F.col("seq") > F.col("start_seq")) & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))
     )

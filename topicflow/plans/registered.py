@@ -51,6 +51,15 @@ def space_for(spark: SparkSession, topics: dict[str, DataFrame]) -> str:
     return root
 
 
+def drained(stream: DataFrame) -> DataFrame:
+    """A stream run to its end into files."""
+    spark = stream.sparkSession
+    folder = fresh_folder(spark, "drained")
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(**ONCE).start(f"{folder}/rows").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
 def events_topic(spark: SparkSession, sf_dir: str, batch_id: int = 7, **options) -> str:
     """Topic ``events`` holding the whole table as one batch, in order of ``event_id``."""
     events = table(spark, sf_dir, "events")
@@ -110,11 +119,7 @@ def topic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink.publish_stream(
         source, root, "events", producer="site-a", checkpoint=f"{root}/checkpoints/in", trigger=ONCE
     ).awaitTermination()
-    back = log.topic_source(spark, root, "events")
-    back.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoints/out").trigger(**ONCE).start(
-        f"{root}/out"
-    ).awaitTermination()
-    return spark.read.schema(back.schema).parquet(f"{root}/out")
+    return drained(log.topic_source(spark, root, "events"))
 
 
 @query
@@ -147,7 +152,7 @@ def with_receive_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with their receive time last, given as a fixed time by the producer."""
     fixed = F.lit(FIXED_TIME).cast("timestamp")
     root = events_topic(spark, sf_dir, received_at=fixed)
-    timed = log.topic_source(spark, root, "events", stream=False, includes_timestamp=True)
+    timed = drained(log.topic_source(spark, root, "events", includes_timestamp=True))
     return timed.select("event_id", F.col(catalog.TIMESTAMP_COLUMN).cast("string").alias("received"))
 
 
@@ -314,6 +319,8 @@ def collector_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- packets ---------------------------------------------------------------------------------------------------------
 
 PACKET_LIMIT = 200
+PUSH_LIMIT = 64 * 1024
+SHARD = 1000
 
 
 def sized_packets(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -366,7 +373,7 @@ def pushed(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
     stored_rows = log.read_topic(spark, root, "events")
     for copy in range(times):
         # each round has a folder of its own, as if another link had delivered it
-        push.push(stored_rows, "events", as_url(f"{landing}/events/link={copy}"), limit=4096, shard_rows=1000)
+        push.push(stored_rows, "events", as_url(f"{landing}/events/link={copy}"), limit=PUSH_LIMIT, shard_rows=SHARD)
     arrived = codec.accepted(read_packets(spark, f"{landing}", "events", events.schema, recursiveFileLookup="true"))
     return arrived if times == 1 else dedup.drop_redelivered(arrived, "1 hour")
 
@@ -375,15 +382,6 @@ def as_url(path: str) -> str:
     return path if "://" in path else f"file://{path}"
 
 
-def drained(stream: DataFrame) -> DataFrame:
-    """A stream run to its end into files."""
-    spark = stream.sparkSession
-    folder = fresh_folder(spark, "drained")
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
-    writer.trigger(**ONCE).start(f"{folder}/rows").awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
-
-
 @query
 def packet_push_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(pushed(spark, sf_dir, 1)).drop("tp_ts")
@@ -407,7 +405,7 @@ def push_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the receipts of a push add up to, per shard of a thousand rows."""
     root = events_topic(spark, sf_dir)
     sent = push.push(
-        log.read_topic(spark, root, "events"), "events", as_url(f"{root}/landing"), limit=4096, shard_rows=1000
+        log.read_topic(spark, root, "events"), "events", as_url(f"{root}/landing"), limit=PUSH_LIMIT, shard_rows=SHARD
     )
     return sent.groupBy(F.col("tp_shard").alias("shard")).agg(
         F.sum("rows").alias("rows"), F.max("attempts").alias("attempts")

@@ -168,14 +168,18 @@ def publish(
         store.drop(staging)
 
 
+def local_frame(spark: SparkSession, schema: T.StructType, rows: Sequence) -> DataFrame:
+    """A few local rows: tuples, Rows or, for a one-column topic, plain values."""
+    if len(schema) == 1:
+        rows = [row if isinstance(row, (tuple, dict)) else (row,) for row in rows]
+    return spark.createDataFrame(rows, schema)
+
+
 def publish_rows(
     spark: SparkSession, root: str, topic: str, rows: Sequence, *, producer: str, batch_id: int, **options
 ) -> Receipt:
-    """Publish a few local rows: tuples, Rows or, for a one-column topic, plain values."""
-    schema = fetch_schema(spark, root, topic)
-    if len(schema) == 1:
-        rows = [row if isinstance(row, (tuple, list, dict)) else (row,) for row in rows]
-    frame = spark.createDataFrame(rows, schema, verifySchema=True)
+    """Publish a few local rows."""
+    frame = local_frame(spark, fetch_schema(spark, root, topic), rows)
     return publish(spark, root, topic, frame, producer=producer, batch_id=batch_id, **options)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from topicflow.functions.codec import CORRUPT, parse
+from topicflow.functions.codec import CORRUPT, parse, unpacked
 from topicflow.sources.catalog import as_schema, check_name
 
 
@@ -29,13 +29,13 @@ def read_packets(
     )
     reader = spark.readStream if stream else spark.read
     lines = reader.options(**options).text(f"{landing}/{check_name('topic', topic)}")
-    parsed = lines.select("value", parse(F.col("value"), line).alias("e"))
-    complete = F.col("e.p").isNotNull() & F.col("e.b").isNotNull() & F.col("e.o").isNotNull() & F.col("e.r").isNotNull()
-    return parsed.select(
-        *(F.col("e.r").getField(name).alias(name) for name in schema.fieldNames()),
-        F.col("e.p").alias("tp_producer"),
-        F.col("e.b").alias("tp_batch_id"),
-        F.col("e.o").alias("tp_offset"),
-        F.col("e.t").alias("tp_ts"),
-        F.coalesce(F.col(f"e.{CORRUPT}"), F.when(~complete, F.col("value"))).alias(CORRUPT),
+    fields = lines.select("value", unpacked(parse(F.col("value"), line)))
+    complete = F.col("p").isNotNull() & F.col("b").isNotNull() & F.col("o").isNotNull() & F.col("r").isNotNull()
+    return fields.select(
+        *(F.col("r").getField(name).alias(name) for name in schema.fieldNames()),
+        F.col("p").alias("tp_producer"),
+        F.col("b").alias("tp_batch_id"),
+        F.col("o").alias("tp_offset"),
+        F.col("t").alias("tp_ts"),
+        F.coalesce(F.col(CORRUPT), F.when(~complete, F.col("value"))).alias(CORRUPT),
     )
