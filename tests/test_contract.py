@@ -1,0 +1,19 @@
+import __spark_entry__ as contract
+import pytest
+from compare import difference
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_every_query_has_its_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_flagship(spark):
+    found = contract.entry(spark)
+    assert found.columns[-1] == "id" and found.count() == 1000
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query(spark, name):
+    assert difference(spark, SMALL, contract.queries()[name], contract.oracle_sql()[name]) is None

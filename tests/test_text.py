@@ -1,0 +1,24 @@
+from topicflow.functions.text import word_count, words
+
+
+def test_splitting(spark):
+    cases = {
+        "a b": ["a", "b"],
+        "a  b": ["a", "", "b"],
+        " a": ["", "a"],
+        "a ": ["a"],
+        "a   ": ["a"],
+        "": [""],
+        "   ": [],
+        "a\nb c": ["a\nb", "c"],
+        "\t ": ["\t"],
+    }
+    for text, wanted in cases.items():
+        frame = spark.createDataFrame([(text,)], "value string")
+        assert [row.value for row in words(frame).collect()] == wanted, repr(text)
+    assert words(spark.createDataFrame([(None,)], "value string")).count() == 0
+
+
+def test_counts(spark):
+    frame = spark.createDataFrame([("hello world",), ("bye world",)], "value string")
+    assert dict(map(tuple, word_count(frame).collect())) == {"hello": 1, "world": 2, "bye": 1}
