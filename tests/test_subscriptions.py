@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from topicflow import TopicSpace
 from topicflow.errors import InvalidSubscription, UnknownTopic
+from topicflow.sources import log
 from topicflow.streaming import subscriptions
 
 
@@ -78,6 +79,50 @@ def test_start_prunes_folders(spark, space):
     assert rows.rdd.getNumPartitions() == 0
 
 
+def test_start_prunes_announcements(spark, space):
+    space.publish_rows("topic-2", ["old"], producer="a.b-c", batch_id=-5)
+    before = subscriptions.Subscription("x", "topic-2", {})
+    after = subscriptions.Subscription("x", "topic-2", {"a.b-c": -5})
+    rows = subscriptions.announced(spark, space.root, before, stream=False)
+    assert [tuple(row) for row in rows.collect()] == [("a.b-c", -5)]
+    assert subscriptions.announced(spark, space.root, after, stream=False).rdd.getNumPartitions() == 0
+
+
+def test_a_batch_stored_but_not_announced_is_announced_later(space, monkeypatch):
+    """The publisher dies between the rename and the announcement."""
+    name, got = space.subscribe("topic-2")[0], []
+
+    announce = log._announce
+    for value, batch_id, next_value, next_id in (
+        ("a", 1, "a", 1),  # then the same batch comes again
+        ("b", 2, "c", 3),  # then the next one
+    ):
+
+        def die(store, root, receipt):
+            if receipt.batch_id == batch_id:
+                raise OSError("gone")
+            return announce(store, root, receipt)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(log, "_announce", die)
+            with pytest.raises(OSError):
+                space.publish_rows("topic-2", [value], producer="p", batch_id=batch_id)
+        assert space.fetch(name).count() == 0
+        space.publish_rows("topic-2", [next_value], producer="p", batch_id=next_id)
+        got += plain(space, name)
+    assert got == [("a",), ("b",), ("c",)]
+
+
+def test_drain_in_portions(space):
+    name, _ = space.subscribe("topic-2")
+    for batch_id in range(3):
+        space.publish_rows("topic-2", [f"v{batch_id}"], producer="p", batch_id=batch_id)
+    got = []
+    space.drain(name, lambda rows, number: got.append((number, [row.value for row in rows.collect()])), max_batches=1)
+    assert sorted(value for _, values in got for value in values) == ["v0", "v1", "v2"]
+    assert len({number for number, _ in got}) == 3
+
+
 def test_drain_gives_a_failed_batch_again(space):
     name, _ = space.subscribe("topic-2")
     space.publish_rows("topic-2", ROWS2, producer="p", batch_id=1)

@@ -48,6 +48,7 @@ def create_topic(spark: SparkSession, root: str, topic: str, schema: T.StructTyp
     check_columns(schema)
     store = Store(spark, root)
     store.mkdirs(f"{root}/log/{topic}")
+    store.mkdirs(f"{root}/commits/{topic}")
     if not store.commit_text(f"{root}/topics/{topic}.json", schema.json()):
         known = fetch_schema(spark, root, topic)
         if known.simpleString() != schema.simpleString():

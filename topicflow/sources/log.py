@@ -7,7 +7,8 @@ A topic is a folder of Parquet files,
 with the user's columns plus ``tp_seq`` (task number and row number within the task, as Spark numbers rows) and
 ``tp_ts`` (receive time). A row's offset in its batch is the number in the file name plus the row number within the
 task. So rows are written once, in parallel, without a shuffle: only after the write are the files counted and named.
-A batch becomes visible by one directory rename.
+A batch becomes visible by one directory rename. A small file ``<root>/commits/<topic>/<n>.<producer>.json`` then
+announces it, so that followers of whole batches need to list one folder only, not every data file.
 """
 
 from __future__ import annotations
@@ -59,6 +60,14 @@ def batch_dir(root: str, topic: str, producer: str, batch_id: int) -> str:
     return f"{producer_dir(root, topic, producer)}/tp_batch_id={batch_id}"
 
 
+def commits_dir(root: str, topic: str) -> str:
+    return f"{root}/commits/{topic}"
+
+
+def announcement(root: str, topic: str, producer: str, batch_id: int) -> str:
+    return f"{commits_dir(root, topic)}/{batch_id}.{producer}.json"
+
+
 def newest_batch(store: Store, root: str, topic: str, producer: str) -> int | None:
     """Highest committed batch id of a producer."""
     names = store.names(producer_dir(root, topic, producer))
@@ -67,14 +76,12 @@ def newest_batch(store: Store, root: str, topic: str, producer: str) -> int | No
 
 
 def heads(store: Store, root: str, topic: str) -> dict[str, int]:
-    """Highest committed batch id of every producer of a topic."""
-    found = {}
-    for name in store.names(log_dir(root, topic)):
-        if name.startswith("tp_producer="):
-            producer = name.removeprefix("tp_producer=")
-            newest = newest_batch(store, root, topic, producer)
-            if newest is not None:
-                found[producer] = newest
+    """Highest announced batch id of every producer of a topic."""
+    found: dict[str, int] = {}
+    for name in store.names(commits_dir(root, topic)):
+        if not name.startswith("_"):
+            batch_id, _, producer = name.removesuffix(".json").partition(".")
+            found[producer] = max(int(batch_id), found.get(producer, int(batch_id)))
     return found
 
 
@@ -116,9 +123,19 @@ def _name_files(spark: SparkSession, store: Store, written: str, ready: str) ->
     return rows
 
 
-def _stored_receipt(store: Store, target: str, topic: str, producer: str, batch_id: int) -> Receipt:
-    known = json.loads(store.read_text(f"{target}/_receipt.json"))
-    return Receipt(topic, producer, batch_id, known["rows"], True)
+def _announce(store: Store, root: str, receipt: Receipt) -> Receipt:
+    """Tell followers of a stored batch; telling them again changes nothing."""
+    path = announcement(root, receipt.topic, receipt.producer, receipt.batch_id)
+    if not store.exists(path):
+        text = {"producer": receipt.producer, "batch_id": receipt.batch_id, "rows": receipt.rows}
+        store.commit_text(path, json.dumps(text))
+    return receipt
+
+
+def _stored_receipt(store: Store, root: str, topic: str, producer: str, batch_id: int) -> Receipt:
+    """Receipt of a stored batch. Announces it, in case the first attempt ended just before doing so."""
+    known = json.loads(store.read_text(f"{batch_dir(root, topic, producer, batch_id)}/_receipt.json"))
+    return _announce(store, root, Receipt(topic, producer, batch_id, known["rows"], True))
 
 
 def publish(
@@ -142,10 +159,12 @@ def publish(
     check_name("producer", producer)
     store, target = Store(spark, root), batch_dir(root, topic, producer, batch_id)
     if store.exists(target):
-        return _stored_receipt(store, target, topic, producer, batch_id)
+        return _stored_receipt(store, root, topic, producer, batch_id)
     newest = newest_batch(store, root, topic, producer)
-    if newest is not None and batch_id <= newest:
-        raise StaleBatch(f"{producer}: batch {batch_id} after batch {newest}")
+    if newest is not None:
+        if batch_id <= newest:
+            raise StaleBatch(f"{producer}: batch {batch_id} after batch {newest}")
+        _stored_receipt(store, root, topic, producer, newest)
 
     staging = f"{root}/staging/{uuid.uuid4().hex}"
     try:
@@ -162,8 +181,8 @@ def publish(
             return Receipt(topic, producer, batch_id, 0, False)
         store.write_text(f"{staging}/ready/_receipt.json", json.dumps({"rows": count}))
         if not store.commit(f"{staging}/ready", target):
-            return _stored_receipt(store, target, topic, producer, batch_id)
-        return Receipt(topic, producer, batch_id, count, False)
+            return _stored_receipt(store, root, topic, producer, batch_id)
+        return _announce(store, root, Receipt(topic, producer, batch_id, count, False))
     finally:
         store.drop(staging)
 

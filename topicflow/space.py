@@ -91,8 +91,8 @@ class TopicSpace:
     def fetch_original(self, name: str) -> DataFrame:
         return original(self.fetch(name))
 
-    def drain(self, name: str, each_batch: Callable[[DataFrame, int], None], **options) -> None:
-        subscriptions.drain(self.spark, self.root, name, each_batch, **options)
+    def drain(self, name: str, each: Callable[[DataFrame, int], None], max_batches: int | None = None) -> None:
+        subscriptions.drain(self.spark, self.root, name, each, max_batches)
 
     def subscription_stream(self, name: str, **options) -> DataFrame:
         return subscriptions.subscription_stream(self.spark, self.root, name, **options)

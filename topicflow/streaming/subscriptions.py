@@ -1,4 +1,8 @@
-"""Subscriptions: a start position per producer and a streaming checkpoint that serves as the cursor."""
+"""Subscriptions: a start position per producer and a streaming checkpoint that serves as the cursor.
+
+The checkpointed stream follows the announcements of batches, one small file each; the rows are then read from the
+folders of those batches. So a fetch costs listing one folder, whatever the number of data files in the topic.
+"""
 
 from __future__ import annotations
 
@@ -11,7 +15,7 @@ from pyspark.sql import functions as F
 
 from topicflow.errors import InvalidSubscription
 from topicflow.sources.catalog import check_name, fetch_schema
-from topicflow.sources.log import heads, read_batches, read_topic_stream
+from topicflow.sources.log import commits_dir, heads, read_batches, read_topic_stream
 from topicflow.storage import Store
 
 BEFORE_ALL = -(1 << 63)
@@ -64,12 +68,24 @@ def unsubscribe(spark: SparkSession, root: str, name: str) -> str:
     return name
 
 
-def after_start(start: dict[str, int]) -> Column:
-    """Rows of batches newer than the start. Tests partition columns only, so older folders are not read."""
+def after_start(start: dict[str, int], producer: Column | None = None, batch_id: Column | None = None) -> Column:
+    """Batches newer than the start. Tests folder or file names only, so older ones are not read."""
+    producer = F.col("tp_producer") if producer is None else producer
+    batch_id = F.col("tp_batch_id") if batch_id is None else batch_id
     if not start:
         return F.lit(True)
     known = F.create_map(*(F.lit(part) for pair in start.items() for part in pair))
-    return F.col("tp_batch_id") > F.coalesce(F.element_at(known, F.col("tp_producer")), F.lit(BEFORE_ALL))
+    return batch_id > F.coalesce(F.element_at(known, producer), F.lit(BEFORE_ALL))
+
+
+def announced(spark: SparkSession, root: str, subscription: Subscription, *, stream: bool = True, **options) -> DataFrame:
+    """Producer and batch id of each batch announced since the start, taken from the file names."""
+    reader = (spark.readStream if stream else spark.read).schema("rows bigint").options(**options)
+    files = reader.json(commits_dir(root, subscription.topic))
+    name = F.col("_metadata.file_name")
+    producer, batch_id = F.regexp_replace(name, r"^-?\d+\.|\.json$", ""), F.substring_index(name, ".", 1).cast("bigint")
+    newer = files.where(after_start(subscription.start, producer, batch_id))
+    return newer.select(producer.alias("tp_producer"), batch_id.alias("tp_batch_id"))
 
 
 def subscription_stream(spark: SparkSession, root: str, name: str, **options) -> DataFrame:
@@ -78,29 +94,44 @@ def subscription_stream(spark: SparkSession, root: str, name: str, **options) ->
     return read_topic_stream(spark, root, subscription.topic, **options).where(after_start(subscription.start))
 
 
-def fetch(spark: SparkSession, root: str, name: str, **options) -> DataFrame:
+def fetch(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Everything not fetched yet, as a table over the log; afterwards it counts as fetched.
 
-    Only folder names move: the checkpointed stream notes which batches arrived, and the result reads those folders.
+    If the caller fails while using the table, its rows are not given again; :func:`drain` gives them again.
     """
     subscription = open_subscription(spark, root, name)
     arrived: set[tuple[str, int]] = set()
-
-    def note(batch: DataFrame, _: int) -> None:
-        arrived.update((row["tp_producer"], row["tp_batch_id"]) for row in batch.distinct().collect())
-
-    stream = subscription_stream(spark, root, name, **options).select("tp_producer", "tp_batch_id")
-    _drain(stream, note, f"{_folder(root, name)}/checkpoint")
+    _follow(spark, root, subscription, lambda batches, _: arrived.update(batches))
     return read_batches(spark, root, subscription.topic, sorted(arrived))
 
 
 def drain(
-    spark: SparkSession, root: str, name: str, each_batch: Callable[[DataFrame, int], None], **options
+    spark: SparkSession, root: str, name: str, each: Callable[[DataFrame, int], None], max_batches: int | None = None
+) -> None:
+    """Give everything not fetched yet to ``each``, at most ``max_batches`` published batches at a time.
+
+    The second argument numbers the calls. After a failure the same rows come again under the same number.
+    """
+    subscription = open_subscription(spark, root, name)
+
+    def give(batches: list[tuple[str, int]], number: int) -> None:
+        each(read_batches(spark, root, subscription.topic, batches), number)
+
+    options = {} if max_batches is None else {"maxFilesPerTrigger": max_batches}
+    _follow(spark, root, subscription, give, **options)
+
+
+def _follow(
+    spark: SparkSession, root: str, subscription: Subscription, each: Callable[[list[tuple[str, int]], int], None], **options
 ) -> None:
-    """Give everything not fetched yet to ``each_batch``. After a failure the same micro-batch is given again."""
-    _drain(subscription_stream(spark, root, name, **options), each_batch, f"{_folder(root, name)}/checkpoint")
+    """Call ``each`` with the batches announced since the last time."""
 
+    def micro_batch(lines: DataFrame, number: int) -> None:
+        batches = sorted((row["tp_producer"], row["tp_batch_id"]) for row in lines.collect())
+        if batches:
+            each(batches, number)
 
-def _drain(stream: DataFrame, each_batch: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    writer = stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)
+    stream = announced(spark, root, subscription, **options)
+    writer = stream.writeStream.foreachBatch(micro_batch)
+    writer = writer.option("checkpointLocation", f"{_folder(root, subscription.name)}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()
