@@ -82,7 +82,7 @@ def test_against_a_hub(spark, tmp_path, seed, width, fan_width):
     status, intervals, deliveries, fetched = play(actions, {"a", "b"})
     frame = spark.createDataFrame(random.Random(seed).sample(actions, len(actions)), SCHEMA)
     topics = spark.createDataFrame([("a",), ("b",), ("b",)], "topic string")
-    found = audit.audit(frame, topics, str(tmp_path), width, fan_width)
+    found = audit.Audit(frame, topics, str(tmp_path), width, fan_width)
 
     assert {r.seq: r.status for r in found.requests.collect()} == status
     assert {r.subscriber_id: (r.topic, r.start_seq, r.end_seq) for r in found.intervals.collect()} == intervals
@@ -90,7 +90,7 @@ def test_against_a_hub(spark, tmp_path, seed, width, fan_width):
     assigned = found.assigned.collect()
     assert len(assigned) == len(deliveries)
     assert {(r.seq, r.subscriber_id): r.fetch_seq for r in assigned if r.fetch_seq is not None} == fetched
-    lost = {(r.seq, r.subscriber_id) for r in audit.lost_copies(found.assigned).collect()}
+    lost = {(r.seq, r.subscriber_id) for r in found.lost_copies.collect()}
     assert lost == {(seq, who) for seq, _, who in deliveries} - set(fetched)
     sends = {row[0] for row in actions if row[1] == audit.SEND and status[row[0]] == "ok"}
     assert {r.seq for r in found.undelivered.collect()} == sends - {seq for seq, _ in fetched}
@@ -103,7 +103,7 @@ def test_same_with_and_without_broadcast(spark, tmp_path, threshold):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         topics = spark.createDataFrame([("a",), ("b",)], "topic string")
-        found = audit.audit(spark.createDataFrame(actions, SCHEMA), topics, str(tmp_path), 128, 32)
+        found = audit.Audit(spark.createDataFrame(actions, SCHEMA), topics, str(tmp_path), 128, 32)
         assert found.deliveries.count() == len(deliveries)
         assert found.assigned.where("fetch_seq is not null").count() == len(fetched)
     finally:
@@ -125,8 +125,9 @@ def test_other_hubs(spark):
 
 def test_nothing_happened(spark, tmp_path):
     topics = spark.createDataFrame([("a",)], "topic string")
-    found = audit.audit(spark.createDataFrame([], SCHEMA), topics, str(tmp_path))
-    assert [frame.count() for frame in found] == [0] * 6
+    found = audit.Audit(spark.createDataFrame([], SCHEMA), topics, str(tmp_path))
+    steps = ("intervals", "requests", "sends", "fetches", "deliveries", "assigned", "undelivered", "lost_copies")
+    assert [getattr(found, step).count() for step in steps] == [0] * 8
 
 
 def test_topic_filter(spark):

@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,21 +132,54 @@ def lost_copies(assigned: DataFrame) -> DataFrame:
     return assigned.where(F.col("fetch_seq").isNull()).drop("fetch_seq")
 
 
-class Audit(NamedTuple):
-    intervals: DataFrame
-    requests: DataFrame
-    sends: DataFrame
-    deliveries: DataFrame
-    assigned: DataFrame
-    undelivered: DataFrame
-
-
-def audit(actions: DataFrame, topics: DataFrame, folder: str, width: int = WIDTH, fan_width: int = FAN_OUT_WIDTH) -> Audit:
-    """All of the above. Every step is stored in ``folder`` and read by the next ones, so none is computed twice."""
-    intervals = stored(subscription_intervals(actions, topics, width), f"{folder}/intervals")
-    requests = stored(classify_requests(actions, topics, intervals=intervals), f"{folder}/requests")
-    passed = requests.where(F.col("status") == "ok")
-    sends, fetches = (passed.where(F.col("action") == action) for action in (SEND, FETCH))
-    deliveries = stored(fan_out(sends, intervals, fan_width), f"{folder}/deliveries")
-    assigned = stored(drain_assignment(deliveries, fetches, width), f"{folder}/assigned")
-    return Audit(intervals, requests, sends, deliveries, assigned, undelivered(sends, assigned))
+class Audit:
+    """All of the above over one log. Each step is stored in ``folder`` when first asked for and read by later ones."""
+
+    def __init__(
+        self,
+        actions: DataFrame,
+        topics: DataFrame,
+        folder: str,
+        width: int = WIDTH,
+        fan_width: int = FAN_OUT_WIDTH,
+    ):
+        self.actions, self.topics, self.folder = actions, topics, folder
+        self.width, self.fan_width = width, fan_width
+
+    def _stored(self, frame: DataFrame, step: str) -> DataFrame:
+        return stored(frame, f"{self.folder}/{step}")
+
+    @cached_property
+    def intervals(self) -> DataFrame:
+        return self._stored(subscription_intervals(self.actions, self.topics, self.width), "intervals")
+
+    @cached_property
+    def requests(self) -> DataFrame:
+        return self._stored(classify_requests(self.actions, self.topics, intervals=self.intervals), "requests")
+
+    def _passed(self, action: str) -> DataFrame:
+        return self.requests.where((F.col("status") == "ok") & (F.col("action") == action))
+
+    @property
+    def sends(self) -> DataFrame:
+        return self._passed(SEND)
+
+    @property
+    def fetches(self) -> DataFrame:
+        return self._passed(FETCH)
+
+    @cached_property
+    def deliveries(self) -> DataFrame:
+        return self._stored(fan_out(self.sends, self.intervals, self.fan_width), "deliveries")
+
+    @cached_property
+    def assigned(self) -> DataFrame:
+        return self._stored(drain_assignment(self.deliveries, self.fetches, self.width), "assigned")
+
+    @property
+    def undelivered(self) -> DataFrame:
+        return undelivered(self.sends, self.assigned)
+
+    @property
+    def lost_copies(self) -> DataFrame:
+        return lost_copies(self.assigned)

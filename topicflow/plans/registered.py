@@ -11,7 +11,7 @@ from topicflow.functions import codec, rows, text
 from topicflow.operators import audit, dedup, kafka, packets, push
 from topicflow.sources import catalog, log
 from topicflow.sources.packets import read_packets
-from topicflow.storage import fresh_folder, stored
+from topicflow.storage import fresh_folder
 from topicflow.streaming import sink, subscriptions
 from topicflow.streaming.listeners import Collector, printed_lines
 
@@ -105,7 +105,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
 
 
 def audited(spark: SparkSession, sf_dir: str) -> audit.Audit:
-    return audit.audit(*request_log(spark, sf_dir), fresh_folder(spark, "audit"))
+    return audit.Audit(*request_log(spark, sf_dir), fresh_folder(spark, "audit"))
 
 
 # --- publish and read ------------------------------------------------------------------------------------------------
@@ -422,9 +422,8 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def classify_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    actions, topics = request_log(spark, sf_dir)
-    intervals = stored(audit.subscription_intervals(actions, topics), fresh_folder(spark, "intervals"))
-    return audit.classify_requests(actions, topics, intervals=intervals).select("seq", "status")
+    steps = audited(spark, sf_dir)
+    return audit.classify_requests(steps.actions, steps.topics, intervals=steps.intervals).select("seq", "status")
 
 
 @query
@@ -440,19 +439,23 @@ def subscription_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audited(spark, sf_dir).deliveries
+    steps = audited(spark, sf_dir)
+    return audit.fan_out(steps.sends, steps.intervals)
 
 
 @query
 def drain_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audited(spark, sf_dir).assigned
+    steps = audited(spark, sf_dir)
+    return audit.drain_assignment(steps.deliveries, steps.fetches)
 
 
 @query
 def undelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audited(spark, sf_dir).undelivered
+    steps = audited(spark, sf_dir)
+    return audit.undelivered(steps.sends, audit.drain_assignment(steps.deliveries, steps.fetches))
 
 
 @query
 def lost_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.lost_copies(audited(spark, sf_dir).assigned)
+    steps = audited(spark, sf_dir)
+    return audit.lost_copies(audit.drain_assignment(steps.deliveries, steps.fetches))
