@@ -169,7 +169,9 @@ def test_receive_time_can_be_given(spark, root, topic):
     }
 
 
-def test_offset_range_over_batches_and_producers(spark, root, topic):
+@pytest.mark.parametrize("broadcast", [100_000, 1])
+def test_offset_range_over_batches_and_producers(spark, root, topic, broadcast, monkeypatch):
+    monkeypatch.setattr(log, "BROADCAST_BATCHES", broadcast)
     for batch_id, (low, high) in enumerate([(0, 10), (10, 25), (25, 30)]):
         part = numbers(spark, 30, 3).where((F.col("n") >= low) & (F.col("n") < high))
         log.publish(spark, root, topic, part, producer="p", batch_id=batch_id * 10, order_by=["n"])

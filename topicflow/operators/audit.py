@@ -107,7 +107,8 @@ def fan_out(sends: DataFrame, intervals: DataFrame, width: int = FAN_OUT_WIDTH)
     parts = int(sends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     messages = sends.select("seq", "topic", bucket_of("seq", width).alias("tp_bucket"))
     messages = messages.repartition(parts, "topic", "tp_bucket")
-    met = messages.join(spans, ["topic", "tp_bucket"]).where(
+    # Spark would guess the repeated subscriptions to be as small as the plain ones and might broadcast them
+    met = messages.join(spans.hint("merge"), ["topic", "tp_bucket"]).where(
         (F.col("seq") > F.col("start_seq")) & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))
     )
     return met.select("seq", "topic", "subscriber_id")

@@ -36,6 +36,7 @@ from topicflow.storage import Store
 TASK_BITS = 33  # Spark's row ids: task number above, row number within the task in the low 33 bits
 ROW_MASK = (1 << TASK_BITS) - 1
 BASE_DIGITS = 19
+BROADCAST_BATCHES = 100_000  # batches of a range, two numbers each, that may be broadcast
 
 
 class Receipt(NamedTuple):
@@ -293,10 +294,14 @@ def offset_range(spark: SparkSession, root: str, topic: str, producer: str, end:
     rows = read_topic(spark, root, topic).where(F.col("tp_producer") == producer)
     batches = batch_positions(spark, root, topic, producer)
     touched = batches.where((F.col("first") <= end) & (F.col("first") + F.col("rows") - 1 > start))
-    lowest, highest = touched.agg(F.min("tp_batch_id"), F.max("tp_batch_id")).first()
-    if lowest is None:
+    firsts = touched.select("tp_batch_id", "first")
+    few = firsts.limit(BROADCAST_BATCHES + 1).collect()
+    if not few:
         return rows.withColumn("tp_position", F.lit(None).cast("bigint")).limit(0)
-    placed = rows.where(F.col("tp_batch_id").between(lowest, highest))
-    placed = placed.join(touched.select("tp_batch_id", "first"), "tp_batch_id")
+    if len(few) <= BROADCAST_BATCHES:  # the usual case: no shuffle, and only the folders between these are read
+        ids = [row["tp_batch_id"] for row in few]
+        rows = rows.where(F.col("tp_batch_id").between(min(ids), max(ids)))
+        firsts = F.broadcast(spark.createDataFrame(few, firsts.schema))
+    placed = rows.join(firsts, "tp_batch_id")
     position = (F.col("first") + F.col("tp_offset")).alias("tp_position")
     return placed.select(*map(quoted, rows.columns), position).where(F.col("tp_position").between(start + 1, end))
