@@ -62,3 +62,9 @@ def test_rows_must_fit(spark, root, ddl):
     frame = spark.createDataFrame([], ddl)
     with pytest.raises(SchemaMismatch):
         log.publish(spark, root, "t", frame, producer="p", batch_id=0)
+
+
+@pytest.mark.parametrize("folder", ["/tmp/a,b", "/tmp/{a}", "/tmp/*"])
+def test_folders_that_cannot_be_listed(spark, folder):
+    with pytest.raises(InvalidName):
+        catalog.create_topic(spark, folder, "t", "a int")

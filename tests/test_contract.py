@@ -17,3 +17,12 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", contract.queries())
 def test_query(spark, name):
     assert difference(spark, SMALL, contract.queries()[name], contract.oracle_sql()[name]) is None
+
+
+def test_tables_may_be_folders(spark, tmp_path):
+    """On a cluster a table is a folder of many files."""
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(1).write.parquet(str(tmp_path / "other.parquet"))
+    found = contract.queries()["topic_roundtrip"](spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, events.collect()))

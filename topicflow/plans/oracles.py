@@ -152,6 +152,9 @@ def oracle_sql() -> dict[str, str]:
                    row_number() over (partition by user_id, packet order by event_id) - 1 as packet_offset from r""",
         "json_roundtrip": "select * from events",
         "json_roundtrip_items": "select * from lineitem",
+        "json_roundtrip_arrays": """
+            select vec_id, label, cast(unnest(range(len(embedding))) as integer) as place,
+                   cast(unnest(embedding) as double) as element from embeddings""",
         "packet_push_ingest": STAMPED_EVENTS,
         "dedup_redelivery": STAMPED_EVENTS,
         "dedup_table": STAMPED_EVENTS,
@@ -161,6 +164,10 @@ def oracle_sql() -> dict[str, str]:
         "kafka_records": """
             select '7-' || (row_number() over (order by event_id) - 1) as key, cast(event_id as varchar) as value,
                    'events' as topic from events""",
+        "kafka_records_json": """
+            select '3-' || (row_number() over (order by conv_id, turn) - 1) as key,
+                   '{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '"}' as value,
+                   'turns' as topic from conversations""",
         "classify_requests": f"with {ACTIONS} select seq, status from judged",
         "classify_requests_kafka": f"""
             with {ACTIONS}

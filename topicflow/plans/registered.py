@@ -365,6 +365,19 @@ def json_roundtrip_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.accepted(codec.decode(codec.encode(items), items.schema))
 
 
+@query
+def json_roundtrip_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors through a topic and through JSON, then one row per element."""
+    vectors = table(spark, sf_dir, "embeddings")
+    root = space_for(spark, {"vectors": vectors})
+    log.publish(spark, root, "vectors", vectors, producer="site-a", batch_id=0)
+    lines = codec.encode(log.topic_source(spark, root, "vectors", stream=False))
+    back = codec.accepted(codec.decode(lines, vectors.schema))
+    return back.select("vec_id", "label", F.posexplode("embedding").alias("place", "element")).withColumn(
+        "element", F.col("element").cast("double")
+    )
+
+
 def pushed(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
     """The events, pushed as packets ``times`` times to a landing folder and taken in again as a stream."""
     events = table(spark, sf_dir, "events")
@@ -417,6 +430,15 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kafka.kafka_records(log.read_topic(spark, events_topic(spark, sf_dir), "events"), "events")
 
 
+@query
+def kafka_records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that carry the whole row."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    root = space_for(spark, {"turns": turns})
+    log.publish(spark, root, "turns", turns, producer="site-a", batch_id=3, order_by=["conv_id", "turn"])
+    return kafka.kafka_records(log.read_topic(spark, root, "turns"), "turns", "json")
+
+
 # --- audit -----------------------------------------------------------------------------------------------------------
 
 

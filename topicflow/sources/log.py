@@ -109,11 +109,10 @@ def _name_files(spark: SparkSession, store: Store, written: str, ready: str) ->
         .parquet(written)
         .groupBy(F.col("_metadata.file_name").alias("file"))
         .agg(F.count(F.lit(1)).alias("rows"), F.min("tp_seq").alias("first"))
-        .orderBy("first")
         .collect()
     )
     moves, rows, base, task = [], 0, 0, None
-    for number, file in enumerate(files):
+    for number, file in enumerate(sorted(files, key=lambda file: file["first"])):
         if file["first"] >> TASK_BITS != task:  # one task may have written several files
             task, base = file["first"] >> TASK_BITS, rows
         moves.append((f"{written}/{file['file']}", f"{ready}/{base:0{BASE_DIGITS}d}-{number:06d}.parquet"))

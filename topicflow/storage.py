@@ -12,6 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
+from topicflow.errors import InvalidName
+
 RENAME_THREADS = 16
 
 
@@ -19,6 +21,8 @@ class Store:
     """The Hadoop file system that holds ``root``."""
 
     def __init__(self, spark: SparkSession, root: str):
+        if re.search(r"[,{}*?\[\]]", root):
+            raise InvalidName(f"folder {root!r}: commas, brackets and wildcards cannot be used")
         self._hadoop = spark._jvm.org.apache.hadoop.fs
         self._commons = spark._jvm.org.apache.commons
         conf = spark._jsc.hadoopConfiguration()
