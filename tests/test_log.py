@@ -152,6 +152,24 @@ def test_losing_the_race_for_a_batch_keeps_the_first(spark, root, topic, monkeyp
     assert log.read_topic(spark, root, topic).count() == 10
 
 
+@pytest.mark.parametrize("order_by", [[], ["n"]])
+def test_a_task_that_fails_half_way_is_repeated(spark, root, topic, tmp_path, order_by):
+    flag = tmp_path / "failed"
+
+    def stumble(batches):
+        for batch in batches:
+            yield batch
+            if not flag.exists():
+                flag.write_text("")
+                raise OSError("worker lost")
+
+    frame = numbers(spark, 1000, 4).mapInArrow(stumble, "n bigint")
+    assert log.publish(spark, root, topic, frame, producer="p", batch_id=0, order_by=order_by).rows == 1000
+    assert flag.exists()
+    found = log.read_topic(spark, root, topic).orderBy("tp_offset").collect()
+    assert [(row.tp_offset, row.n) for row in found] == [(n, n) for n in range(1000)]
+
+
 def test_failing_rows_leave_no_staging(spark, root, topic):
     frame = numbers(spark, 10, 2).select(F.raise_error("bad").cast("bigint").alias("n"))
     with pytest.raises(Exception, match="bad"):

@@ -168,6 +168,18 @@ def test_attempts_are_reported_per_packet(space):
     assert {row.attempts for row in receipts.collect()} == {2}
 
 
+def test_every_packet_is_sent_once(space, tmp_path):
+    sent = tmp_path / "sent"
+
+    def deliver(packet_id, body):
+        with open(sent, "a") as out:
+            out.write(packet_id + "\n")
+
+    receipts = pushing.push(space.rows("t"), "t", deliver=deliver, limit=2000, shard_rows=100)
+    receipts.count()
+    assert sorted(sent.read_text().split()) == sorted(row.packet_id for row in receipts.collect())
+
+
 def test_failed_push_fails_the_job(space):
     def deliver(packet_id, body):
         raise OSError("down")
@@ -176,6 +188,23 @@ def test_failed_push_fails_the_job(space):
         pushing.push(space.rows("t"), "t", deliver=deliver, pause=0.001)
 
 
+def test_a_repeated_task_sends_the_same_packets(spark, space, tmp_path):
+    """A task gives up in the middle; its second run writes the packets again, under the same names."""
+    landing, flag = str(tmp_path / "landing"), tmp_path / "down"
+    write = pushing.file_delivery(f"file://{landing}")
+
+    def deliver(packet_id, body):
+        if packet_id.startswith("t/p-5-0-2-") and (not flag.exists() or flag.read_text() != "....."):
+            flag.write_text((flag.read_text() if flag.exists() else "") + ".")
+            raise OSError("down")
+        write(packet_id, body)
+
+    receipts = pushing.push(space.rows("t"), "t", deliver=deliver, limit=2000, shard_rows=250, pause=0.001)
+    assert flag.read_text() == "....."
+    assert receipts.count() == len(packet_files(f"{landing}/t"))
+    assert accepted(read_packets(spark, landing, "t", SCHEMA, stream=False)).count() == 500
+
+
 class Answer:
     def __init__(self, status):
         self.status = status

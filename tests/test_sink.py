@@ -104,6 +104,26 @@ def test_listeners_in_order_with_stored_stamps(spark, root):
     assert len(heard) == 4
 
 
+def test_a_failing_listener_hears_the_batch_again(spark, root, inbox, tmp_path):
+    folder, add = inbox
+    add([(value,) for value in ROWS2])
+    heard = []
+
+    def listener(topic, rows, batch_id):
+        heard.append((batch_id, rows.count()))
+        if len(heard) == 1:
+            raise RuntimeError("not now")
+
+    space = TopicSpace(spark, root).create_topic("t", "value string").add_listener(listener)
+    stream = spark.readStream.schema("value string").parquet(folder)
+    options = dict(producer="p", checkpoint=str(tmp_path / "cp"), trigger=ONCE)
+    with pytest.raises(Exception, match="not now"):
+        space.publish_stream("t", stream, **options).awaitTermination()
+    space.publish_stream("t", stream, **options).awaitTermination()
+    assert heard == [(0, 4), (0, 4)]
+    assert space.rows("t").count() == 4
+
+
 def test_collector_overwrites_on_replay(spark, root, tmp_path):
     collector = Collector(str(tmp_path / "kept"))
     space = TopicSpace(spark, root).create_topic("t", "value string").add_listener(collector)

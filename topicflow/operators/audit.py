@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicflow.operators.asof import WIDTH, bucket_of, first_after, ranked
-from topicflow.storage import stored
+from topicflow.storage import fresh_folder, stored
 
 # Action names of the request protocol.
 SEND = "actionSendStream"
@@ -45,6 +45,7 @@ def subscription_intervals(actions: DataFrame, topics: DataFrame, width: int = W
     opened = attempts.join(topics.select("topic"), "topic", "left_semi").select(
         F.concat(F.lit("subscriber-"), F.col("tp_number").cast("string")).alias("subscriber_id"), "topic", "seq"
     )
+    opened = stored(opened, fresh_folder(actions.sparkSession, "opened"))  # the next step reads it twice
     stops = actions.where((F.col("action") == UNSUBSCRIBE) & F.col("subscriber_id").isNotNull())
     closed = first_after(opened, stops, key="subscriber_id", seq="seq", out="end_seq", width=width)
     return closed.select("subscriber_id", "topic", F.col("seq").alias("start_seq"), "end_seq")
