@@ -44,7 +44,8 @@ def test_inferred_schemas(spark, root):
     assert catalog.infer_schema(spark, [("a", 1)]).fieldNames() == ["_1", "_2"]
     frame = spark.createDataFrame(ROWS1, SEVEN)
     assert catalog.create_topic_like(spark, root, "t", frame) == frame.schema
-    assert catalog.infer_schema(spark, ["a"]) == catalog.infer_schema(spark, spark.createDataFrame([("a",)], "value string"))
+    named = spark.createDataFrame([("a",)], "value string")
+    assert catalog.infer_schema(spark, ["a"]) == catalog.infer_schema(spark, named)
 
 
 def test_source_schema():

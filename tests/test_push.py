@@ -45,7 +45,7 @@ def packet_files(folder):
 def test_push_and_ingest(spark, space, tmp_path):
     landing = str(tmp_path / "landing")
     receipts = space.push("t", space.rows("t"), f"file://{landing}", limit=2000, shard_rows=100)
-    assert {name.split("/")[1] for name in (r.packet_id for r in receipts.collect())} == set(packet_files(f"{landing}/t"))
+    assert {row.packet_id.split("/")[1] for row in receipts.collect()} == set(packet_files(f"{landing}/t"))
     assert receipts.agg(F.sum("rows"), F.max("attempts")).first()[:] == (500, 1)
     for receipt in receipts.collect():
         body = open(f"{landing}/{receipt.packet_id}", "rb").read()

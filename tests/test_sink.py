@@ -139,7 +139,8 @@ def test_printer(spark, root):
     space = TopicSpace(spark, root).create_topic("topic-1", SEVEN).add_listener(Printer(out=lines.append))
     at = F.lit("2017-08-27 20:37:56.432").cast("timestamp")
     rows = [*ROWS1[:1], (None, 2, False, 0.5, 1e10, None, 50)]
-    space.publish("topic-1", spark.createDataFrame(rows, SEVEN), producer="p", batch_id=1, order_by=["_2"], received_at=at)
+    frame = spark.createDataFrame(rows, SEVEN)
+    space.publish("topic-1", frame, producer="p", batch_id=1, order_by=["_2"], received_at=at)
     assert lines == [
         "++++++++topic=topic-1++++++++",
         "RowEx([hello1,1,true,0.1,0.1,1,49],1,0,2017-08-27 20:37:56.432)",

@@ -60,7 +60,9 @@ class TopicSpace:
         frame = log.local_frame(self.spark, self.fetch_schema(topic), rows)
         return self.publish(topic, frame, producer=producer, batch_id=batch_id, **options)
 
-    def publish_stream(self, topic: str, rows: DataFrame, *, producer: str, checkpoint: str, **options) -> StreamingQuery:
+    def publish_stream(
+        self, topic: str, rows: DataFrame, *, producer: str, checkpoint: str, **options
+    ) -> StreamingQuery:
         return sink.publish_stream(
             rows, self.root, topic, producer=producer, checkpoint=checkpoint, listeners=self.listeners, **options
         )

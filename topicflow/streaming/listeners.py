@@ -42,7 +42,8 @@ def printed_lines(topic: str, rows: DataFrame) -> DataFrame:
     stamps = F.concat_ws(",", "tp_batch_id", "tp_offset", _shown_time(F.col("tp_ts")))
     line = F.concat(F.lit("RowEx(["), values, F.lit("],"), stamps, F.lit(")"))  # fixed format
     batch = [F.col("tp_producer"), F.col("tp_batch_id")]
-    titles = rows.select(*batch).distinct().select(*batch, F.lit(-1).cast("bigint").alias("line_no"), title.alias("line"))
+    before = F.lit(-1).cast("bigint").alias("line_no")
+    titles = rows.select(*batch).distinct().select(*batch, before, title.alias("line"))
     return titles.unionByName(rows.select(*batch, F.col("tp_offset").alias("line_no"), line.alias("line")))
 
 

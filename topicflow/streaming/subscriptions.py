@@ -78,7 +78,9 @@ def after_start(start: dict[str, int], producer: Column | None = None, batch_id:
     return batch_id > F.coalesce(F.element_at(known, producer), F.lit(BEFORE_ALL))
 
 
-def announced(spark: SparkSession, root: str, subscription: Subscription, *, stream: bool = True, **options) -> DataFrame:
+def announced(
+    spark: SparkSession, root: str, subscription: Subscription, *, stream: bool = True, **options
+) -> DataFrame:
     """Producer and batch id of each batch announced since the start, taken from the file names."""
     reader = (spark.readStream if stream else spark.read).schema("rows bigint").options(**options)
     files = reader.json(commits_dir(root, subscription.topic))
@@ -122,7 +124,11 @@ def drain(
 
 
 def _follow(
-    spark: SparkSession, root: str, subscription: Subscription, each: Callable[[list[tuple[str, int]], int], None], **options
+    spark: SparkSession,
+    root: str,
+    subscription: Subscription,
+    each: Callable[[list[tuple[str, int]], int], None],
+    **options,
 ) -> None:
     """Call ``each`` with the batches announced since the last time."""
 
