@@ -11,6 +11,7 @@ import urllib.request
 import uuid
 from collections.abc import Callable, Iterable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame
@@ -95,12 +96,20 @@ def with_retry(deliver: Deliver, packet_id: str, body: bytes, pause: float = PAU
         attempt += 1
 
 
+def _text_slicer(column: pa.Array) -> Callable[[int, int], bytes]:
+    """The bytes of rows ``begin`` to ``end`` of a text column, which lie side by side in memory."""
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, ends, data = column.buffers()
+    borders = np.frombuffer(ends, kind)[column.offset : column.offset + len(column) + 1]
+    return lambda begin, end: data.slice(borders[begin], borders[end] - borders[begin]).to_pybytes()
+
+
 def _pusher(topic: str, deliver: Deliver, limit: int, pause: float):
-    def send(shard: tuple, packet: int, first: int, lines: list[str]) -> tuple:
-        body = "".join(line + "\n" for line in lines).encode("utf-8")
+    def send(shard: tuple, packet: int, first: int, rows: int, parts: list[bytes]) -> tuple:
+        body = b"".join(parts)
         packet_id = f"{topic}/{shard[0]}-{shard[1]}-{shard[2]}-{packet}-{first}.jsonl"
         attempts = with_retry(deliver, packet_id, body, pause)
-        return (*shard, packet, packet_id, len(lines), len(body), attempts)
+        return (*shard, packet, packet_id, rows, len(body), attempts)
 
     def receipts(rows: list[tuple]) -> pa.RecordBatch:
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
@@ -110,29 +119,30 @@ def _pusher(topic: str, deliver: Deliver, limit: int, pause: float):
 
     def run(batches: Iterable[pa.RecordBatch]):
         shard = cutter = None
-        packet, first, lines = 0, 0, []  # the open packet
+        packet, first, rows, parts = 0, 0, 0, []  # the open packet
         for batch in batches:
             sent = []
             keys, sizes, offsets = batch.column("tp_key"), _numbers(batch, "tp_size"), _numbers(batch, "tp_offset")
-            texts = batch.column("tp_line").to_pylist()
+            text = _text_slicer(batch.column("tp_line"))
             for begin, end in _runs(keys) if batch.num_rows else ():
                 here = tuple(batch.column(name)[begin].as_py() for name in ("tp_producer", "tp_batch_id", "tp_shard"))
                 if here != shard:
-                    if lines:
-                        sent.append(send(shard, packet, first, lines))
-                    shard, cutter, packet, lines = here, Cutter(limit), 0, []
+                    if parts:
+                        sent.append(send(shard, packet, first, rows, parts))
+                    shard, cutter, parts = here, Cutter(limit), []
                 packets, _ = cutter.number(sizes[begin:end])
-                for row, number in zip(range(begin, end), packets.tolist()):
-                    if lines and number != packet:
-                        sent.append(send(shard, packet, first, lines))
-                        lines = []
-                    if not lines:
-                        packet, first = number, int(offsets[row])
-                    lines.append(texts[row])
+                for left, right in _runs(pa.array(packets)):
+                    if parts and packets[left] != packet:
+                        sent.append(send(shard, packet, first, rows, parts))
+                        parts = []
+                    if not parts:
+                        packet, first, rows = int(packets[left]), int(offsets[begin + left]), 0
+                    parts.append(text(begin + left, begin + right))
+                    rows += right - left
             if sent:
                 yield receipts(sent)
-        if lines:
-            yield receipts([send(shard, packet, first, lines)])
+        if parts:
+            yield receipts([send(shard, packet, first, rows, parts)])
 
     return run
 
@@ -160,9 +170,9 @@ def push(
         "tp_batch_id",
         F.expr(f"tp_offset div {int(shard_rows)}").alias("tp_shard"),
         "tp_offset",
-        envelope(rows).alias("tp_line"),
+        F.concat(envelope(rows), F.lit("\n")).alias("tp_line"),
     )
-    lines = lines.withColumn("tp_size", F.octet_length("tp_line").cast("bigint") + 1)
+    lines = lines.withColumn("tp_size", F.octet_length("tp_line").cast("bigint"))
     lines = lines.withColumn("tp_key", F.concat_ws("/", *shard))
     sorted_lines = lines.repartition(*shard).sortWithinPartitions(*shard, "tp_offset")
     return written_once(sorted_lines.mapInArrow(_pusher(topic, deliver, limit, pause), _RECEIPT))
