@@ -69,6 +69,26 @@ def test_both_ways_agree_with_counting_by_hand(spark, seed, constant):
             assert {(r.shard, r.at, r["size"]): (r.tp_packet, r.tp_packet_offset) for r in found.collect()} == wanted
 
 
+@pytest.mark.parametrize("shard_rows", [1, 10**9])
+def test_arrow_batches_do_not_matter(spark, shard_rows):
+    chance = random.Random(5)
+    data = [(chance.choice([0, 0, 0, 1, 2]), at, chance.randrange(1, 30)) for at in range(1500)]
+    frame = spark.createDataFrame(data, "shard int, at bigint, size int")
+    found = []
+    for size in ("17", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", str(size == "17").lower())
+        try:
+            packets = packetize(
+                frame, shard=["shard"], order=["at"], size=F.col("size"), limit=99, shard_rows=shard_rows
+            )
+            found.append(sorted(map(tuple, packets.collect())))
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+    assert found[0] == found[1] and len(found[0]) == 1500
+
+
 def test_large_shards_are_spread(spark):
     frame = spark.range(0, 100_000, 1, 4).select(F.lit(1).alias("shard"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")

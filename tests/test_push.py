@@ -72,6 +72,23 @@ def test_packets_do_not_depend_on_partitions(space, tmp_path):
     assert names[0] == names[1]
 
 
+@pytest.mark.parametrize("large", ["true", "false"])
+def test_packets_do_not_depend_on_arrow_batches(spark, space, tmp_path, large):
+    bodies = []
+    for number, size in enumerate(("37", "10000")):
+        landing = str(tmp_path / f"landing{number}")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", large)
+        try:
+            receipts = space.push("t", space.rows("t"), f"file://{landing}", limit=3000, shard_rows=120)
+            assert receipts.agg(F.sum("rows")).first()[0] == 500
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+            spark.conf.unset("spark.sql.execution.arrow.useLargeVarTypes")
+        bodies.append({name: open(f"{landing}/t/{name}").read() for name in packet_files(f"{landing}/t")})
+    assert bodies[0] == bodies[1]
+
+
 def test_a_second_push_changes_nothing(spark, space, tmp_path):
     landing = str(tmp_path / "landing")
     for _ in range(2):

@@ -1,0 +1,26 @@
+"""Executors need not have the package installed."""
+
+import subprocess
+import sys
+
+import pytest
+from pyspark import cloudpickle
+
+from topicflow.operators import packets, push
+
+TASKS = {
+    "number": lambda: packets._numberer(10, {0: (0, 0, 0)}),
+    "describe": lambda: packets._describer(10),
+    "chain": lambda: packets._chainer(10),
+    "push to a folder": lambda: push._pusher("t", push.delivery("file:///nowhere"), 10, 0.1),
+    "push to a site": lambda: push._pusher("t", push.delivery("https://example.org"), 10, 0.1),
+}
+
+
+@pytest.mark.parametrize("name", TASKS)
+def test_task_functions_load_without_the_package(tmp_path, name):
+    (tmp_path / "task").write_bytes(cloudpickle.dumps(TASKS[name]()))
+    load = f"import pickle, sys; list(pickle.load(open({str(tmp_path / 'task')!r}, 'rb'))([])); print(sorted(sys.modules))"
+    done = subprocess.run([sys.executable, "-I", "-c", load], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    assert "'topicflow" not in done.stdout
