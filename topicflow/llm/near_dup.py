@@ -12,8 +12,10 @@ Pairs are never listed for whole groups:
 * within each key, members are paired with one representative, the class whose keys are the fullest (the original of a
   group of edited copies), and confirmed; confirmed links give components;
 * then, within each key, only classes of *different* components remain to be paired, each with the members outside its
-  component; a pair must also pass the signature distance and the size ratio before it is emitted. This step is
-  complete, so no link within the signature distance is lost.
+  component. The members of a key are dealt into blocks, and blocks are compared in tasks of bounded size. A pair is
+  looked at once, at the first key it shares, and must be within the signature distance and the size ratio; a longer
+  signature made from the full sets drops the pairs that are clearly below the threshold. What is left is confirmed.
+  This step is complete, so no link within the signature distance is lost.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +35,9 @@ from topicflow.llm.words import SPACED, mixed, shingle_sets, text_blocks, word_h
 from topicflow.storage import fresh_folder, stored
 
 SYMBOLS = 64
-LANES = SYMBOLS // 4  # four symbols in a bigint, for the distance filter
+LONG = 512  # symbols of 8 bits of the longer signature
+BLOCK = 256  # members of a key that are compared with as many others in one task
 SET_WORDS = 1 << 18  # shingles hashed at a time
-LANE_BITS = 15  # 14 bits of each symbol and a blank one; four lanes leave a bigint's sign alone
-LOW = f"{sum(0x3FFF << LANE_BITS * i for i in range(4))}L"
-HIGH = f"{sum(0x4000 << LANE_BITS * i for i in range(4))}L"
 
 
 def plan_chunks(percent: int, miss: float = 1e-4) -> tuple[int, list[np.ndarray]]:
@@ -49,12 +50,23 @@ def plan_chunks(percent: int, miss: float = 1e-4) -> tuple[int, list[np.ndarray]
     return distance, [np.arange(start, SYMBOLS, chunks) for start in range(chunks)]
 
 
-def signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """MinHash symbols (sets x 64, 16 bits) of concatenated sets that are not empty."""
-    seeds = mixed(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64))
+def least_agreements(percent: int, miss: float = 1e-6) -> int:
+    """In how many of ``LONG`` symbols a pair at the threshold agrees at least, but for probability ``miss``."""
+    agrees = percent / 100 + (1 - percent / 100) / 256
+    total, count = 0.0, -1
+    while total < miss and count < LONG:
+        count += 1
+        ways = math.lgamma(LONG + 1) - math.lgamma(count + 1) - math.lgamma(LONG - count + 1)
+        total += math.exp(ways + count * math.log(agrees) + (LONG - count) * math.log1p(-min(agrees, 1 - 1e-12)))
+    return max(count - 1, 0)
+
+
+def signatures(values: np.ndarray, bounds: np.ndarray, symbols: int = SYMBOLS, seed: int = 0) -> np.ndarray:
+    """MinHash symbols (sets x symbols, 16 bits) of concatenated sets that are not empty."""
+    seeds = mixed(np.arange(1, 2 * symbols + 1, dtype=np.uint64) + np.uint64(seed << 32))
     low = (values >> np.uint64(32)).astype(np.uint32)
-    out = np.empty((len(bounds) - 1, SYMBOLS), np.uint16)
-    for symbol in range(SYMBOLS):
+    out = np.empty((len(bounds) - 1, symbols), np.uint16)
+    for symbol in range(symbols):
         flip = np.uint32(seeds[2 * symbol] & np.uint64(0xFFFFFFFF))
         odd = np.uint32(seeds[2 * symbol + 1] & np.uint64(0xFFFFFFFF)) | np.uint32(1)
         least = np.minimum.reduceat((low ^ flip) * odd, bounds[:-1])
@@ -87,7 +99,7 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Reco
 
 
 def _keyed(batches: Iterator[pa.RecordBatch], chunks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """node, key: for each chunk and each symbol left out, a hash of the chunk's other symbols."""
+    """node, key, slot: for each chunk and symbol left out (the slot), a hash of the chunk's other symbols."""
     for batch in batches:
         nodes = batch.column("node").to_numpy(zero_copy_only=False)
         signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
@@ -98,19 +110,65 @@ def _keyed(batches: Iterator[pa.RecordBatch], chunks: list[np.ndarray]) -> Itera
             for place in range(len(chunk)):
                 tag = np.uint64((number << 8 | place) + 1)
                 key = mixed(whole - parts[:, place] + mixed(np.array([tag]))[0])
-                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(key.view(np.int64))], ["node", "key"])
+                slots = np.full(len(nodes), number << 8 | place, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes), pa.array(key.view(np.int64)), pa.array(slots)], ["node", "key", "slot"]
+                )
 
 
-def _lanes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """node and its signature as ``LANES`` bigints."""
+def _long_signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node and the longer signature of its full set."""
     for batch in batches:
-        signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, LANES, 4)
-        lanes = ((signs.astype(np.int64) & 0x3FFF) << (LANE_BITS * np.arange(4))).sum(axis=2)
-        columns = [pa.array(np.ascontiguousarray(lanes[:, i])) for i in range(LANES)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("node"), batch.column("n_shingles"), *columns],
-            ["node", "size", *(f"s{i}" for i in range(LANES))],
+        signs = []
+        for members in batch.column("members").to_pylist():
+            values = np.frombuffer(members, np.uint64)
+            signs.append(signatures(values, np.array([0, len(values)]), LONG, seed=1).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signs, pa.binary())], ["node", "long"])
+
+
+def _blocks_compared(table: pa.Table, percent: int, distance: int, chunks: list[np.ndarray], agree: int) -> pa.Table:
+    """Candidate pairs (a, b) between the open and the other members of one block pair of a key."""
+    sides = []
+    for role in ("open", "all"):
+        side = table.filter(pa.compute.equal(table.column("role"), role))
+        columns = {n: side.column(n).to_numpy() for n in ("node", "label", "n_shingles")}
+        for name, kind, width in (("signature", np.uint16, SYMBOLS), ("long", np.uint8, LONG)):
+            columns[name] = np.frombuffer(b"".join(side.column(name).to_pylist()), kind).reshape(-1, width)
+        sides.append(columns)
+    one, two = sides
+    slot = table.column("slot")[0].as_py()
+    main = table.column("main")[0].as_py()
+    out: list[np.ndarray] = []
+    for first in range(0, len(one["node"]), 32):
+        part = slice(first, first + 32)
+        differs = (one["signature"][part, None] != two["signature"][None]).sum(axis=2)
+        small = np.minimum(one["n_shingles"][part, None], two["n_shingles"][None])
+        large = np.maximum(one["n_shingles"][part, None], two["n_shingles"][None])
+        wanted = (differs <= distance) & (one["label"][part, None] != two["label"][None])
+        wanted &= (two["label"] == main)[None] | (one["node"][part, None] < two["node"][None])
+        wanted &= 100 * small >= percent * large
+        a, b = np.nonzero(wanted)
+        a += first
+        unlike = one["signature"][a] != two["signature"][b]
+        bad = np.stack([unlike[:, chunk].sum(axis=1) for chunk in chunks], axis=1)
+        chunk = (bad <= 1).argmax(axis=1)  # the first key they share
+        place = np.zeros(len(a), np.int64)
+        for number, symbols in enumerate(chunks):
+            mine = chunk == number
+            place[mine] = unlike[mine][:, symbols].argmax(axis=1)
+        here = (chunk << 8 | place) == slot
+        a, b = a[here], b[here]
+        near = np.concatenate(
+            [np.empty(0, bool)]
+            + [
+                (one["long"][a[i : i + 4096]] == two["long"][b[i : i + 4096]]).sum(axis=1) >= agree
+                for i in range(0, len(a), 4096)
+            ]
         )
+        x, y = one["node"][a[near]], two["node"][b[near]]
+        out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
+    pairs = np.concatenate([np.empty((0, 2), np.int64), *out]).astype(np.int64)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -150,11 +208,6 @@ def _confirmed(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         yield batch.select(["a", "b"]).take(pa.array(held, pa.int64()))
 
 
-def _differing(left: str, right: str) -> str:
-    """SQL: in how many symbols two signatures in lanes differ; chance may hide a difference, never add one."""
-    return " + ".join(f"bit_count((({left}.s{i} ^ {right}.s{i}) + {LOW}) & {HIGH})" for i in range(LANES))
-
-
 class _Join:
     """The join of one table: its stored classes, shared keys and confirmed links."""
 
@@ -188,7 +241,7 @@ class _Join:
         """(node, label): the component of every class that has a link."""
         chunks = self.chunks
         keys = self.classes.select("node", "signature").mapInArrow(
-            lambda batches: _keyed(batches, chunks), "node bigint, key bigint"
+            lambda batches: _keyed(batches, chunks), "node bigint, key bigint, slot int"
         )
         shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
         keyed = self._store(keys.join(shared, "key"), "keyed")
@@ -207,7 +260,7 @@ class _Join:
         sets = self._store(self._sets(involved), "sets")
         links = self._store(self._confirm(tried, sets), "links")
         labels = components(links)
-        rest = self._store(self._across(keyed, labels).join(tried, ["a", "b"], "left_anti"), "pairs")
+        rest = self._store(self._across(keyed, labels, sets).join(tried, ["a", "b"], "left_anti"), "pairs")
         if rest.isEmpty():
             return labels
         more = self._store(self._confirm(rest, sets), "links")
@@ -233,33 +286,46 @@ class _Join:
             .mapInArrow(lambda batches: _confirmed(batches, percent), "a bigint, b bigint")
         )
 
-    def _across(self, keyed: DataFrame, labels: DataFrame) -> DataFrame:
-        """Pairs that share a key, lie in different components and are within the signature distance and size ratio."""
+    def _across(self, keyed: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+        """Candidate pairs that share a key and lie in different components."""
         placed = keyed.join(labels, "node", "left").select(
-            "key", "node", F.coalesce("label", "node").alias("label")
+            "key", "slot", "node", F.coalesce("label", "node").alias("label")
+        )
+        placed = self._store(placed, "placed")
+        parts = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+        open_keys = (
+            parts.groupBy("key")
+            .agg(F.count(F.lit(1)).alias("labels"), F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("most"))
+            .where("labels > 1")
+            .select(
+                "key",
+                F.col("most.label").alias("main"),
+                F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                F.ceil((F.col("n") - F.col("most.n")) / BLOCK).cast("int").alias("open_blocks"),
+            )
         )
-        mixed_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        counted = placed.groupBy("key", "label").agg(F.count(F.lit(1)).alias("count"))
-        main = counted.groupBy("key").agg(F.max(F.struct("count", "label"))["label"].alias("main"))
-        open_keys = mixed_keys.where("low < high").join(main, "key").select("key", "main")
         members = self._store(placed.join(open_keys, "key"), "open")
+        longer = sets.join(members.select("node").distinct(), "node").mapInArrow(_long_signs, "node bigint, long binary")
         signs = self._store(
-            self.classes.select("node", "n_shingles", "signature").mapInArrow(
-                _lanes, "node bigint, size bigint, " + ", ".join(f"s{i} bigint" for i in range(LANES))
-            ),
-            "lanes",
+            self.classes.select("node", "n_shingles", "signature").join(longer, "node"), "longer"
         )
-        near = F.expr(
-            f"""l.label <> r.label and (r.label = r.main or l.node < r.node)
-            and 100 * least(l.size, r.size) >= {self.percent} * greatest(l.size, r.size)
-            and {_differing('l', 'r')} <= {self.distance}"""
+        block = "pmod(xxhash64(node), {})"
+        rows = (
+            members.withColumn("role", F.explode(F.expr("if(label <> main, array('open', 'all'), array('all'))")))
+            .withColumn("own", F.expr(f"if(role = 'open', {block.format('open_blocks')}, {block.format('blocks')})"))
+            .withColumn("other", F.explode(F.expr("sequence(0, if(role = 'open', blocks, open_blocks) - 1)")))
+            .withColumn("i", F.expr("if(role = 'open', cast(own as int), other)"))
+            .withColumn("j", F.expr("if(role = 'open', other, cast(own as int))"))
+            .select("key", "slot", "i", "j", "role", "node", "label", "main")
         )
-        left = members.where("label <> main").join(signs, "node").alias("l")
-        right = members.join(signs, "node").alias("r")
+        percent, distance, chunks = self.percent, self.distance, self.chunks
+        agree = least_agreements(percent)
         return (
-            left.join(right, (F.col("l.key") == F.col("r.key")) & near)
-            .select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
-            .distinct()
+            rows.join(signs, "node")
+            .groupBy("key", "slot", "i", "j")
+            .applyInArrow(
+                lambda table: _blocks_compared(table, percent, distance, chunks, agree), "a bigint, b bigint"
+            )
         )
 
 
