@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicflow.llm import decontaminate, langid, licenses, near_dup, packing, pii, url_filter
+from topicflow.llm import (
+    decontaminate,
+    langid,
+    licenses,
+    near_dup,
+    neighbours,
+    packing,
+    pii,
+    secrets,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -47,6 +58,22 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def secret_scanner(docs: DataFrame):
+    """Letter statistics of all documents, and a forest trained outside the held-out fold on rule-labelled findings."""
+    known = secrets.dictionary(docs)
+    return known, secrets.train(learnable(docs).withColumn("path", F.col("source")), known)
+
+
+def redacted(docs: DataFrame) -> DataFrame:
+    return secrets.redacted(docs, *secret_scanner(docs), path_column="source")
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs.withColumn("path", F.col("source")), *secret_scanner(docs))
+
+
 @query
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
@@ -57,6 +84,12 @@ def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(table(spark, sf_dir, "documents"), PII_KEY)
 
 
+@query
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,6 +108,15 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), encoder, size=1024, end_id=2)
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = learnable(table(spark, sf_dir, "labels")).select("doc_id", "toxic")
+    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", F.expr(f"coalesce({HELD_OUT}, true)").alias("held_out"), "score", "predicted")
+
+
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(
