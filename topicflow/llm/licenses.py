@@ -8,6 +8,7 @@ the same sentence the longest wins, and a match inside a longer one is not repor
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,18 +57,20 @@ def normalised(sentence: F.Column) -> F.Column:
 
 
 def known_sentences(spark: SparkSession, sentences: dict[int, str] = SENTENCES) -> DataFrame:
-    rows = spark.createDataFrame([(n, text) for n, text in sentences.items()], "sentence_id int, sentence string")
+    rows = spark.createDataFrame(pa.table({"sentence_id": pa.array(sentences, pa.int32()), "sentence": [*sentences.values()]}))
     return rows.select("sentence_id", normalised(F.col("sentence")).alias("sentence"))
 
 
 def known_rules(spark: SparkSession, rules: list[tuple[str, list[int]]] = RULES) -> DataFrame:
-    return spark.createDataFrame(rules, "license string, sequence array<int>")
+    sequences = pa.array([sequence for _, sequence in rules], pa.list_(pa.int32()))
+    return spark.createDataFrame(pa.table({"license": [name for name, _ in rules], "sequence": sequences}))
 
 
 def recognised(docs: DataFrame, sentences: DataFrame) -> DataFrame:
     """(doc_id, row, place, sentence_id): the known sentences of every text; ``row`` tells repeated rows apart.
 
-    ``sentences`` (sentence_id, sentence) is joined by equality, as small tables are sent to the tasks by Spark itself.
+    ``sentences`` (sentence_id, sentence) is joined by equality; Spark knows its size and sends it to the tasks if it is
+    small.
     """
     return (
         docs.select(
