@@ -1,0 +1,32 @@
+"""Small tables with every awkward row, and plain Python versions of word rules."""
+
+from __future__ import annotations
+
+import re
+
+ODD = "doc_id bigint, text string, lang string, source string, n_chars bigint, node string, label string, key string, row string, score string, rank string"
+
+
+def lowered(text: str | None) -> str:
+    return re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+
+
+def spaced_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", lowered(text))
+
+
+def plain_words(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
+
+
+def frame(spark, rows):
+    """A documents table with columns whose names operators use inside. Each row: doc_id, text, and perhaps lang."""
+    full = [(r[0], r[1], r[2] if len(r) > 2 else None, "s", None, "n", "l", "k", "r", "s", "r") for r in rows]
+    return spark.createDataFrame(full, ODD)
+
+
+AWKWARD = [
+    (1, None), (2, ""), (3, "   \n\t "), (4, "one"), (5, "?!.,;"), (None, None), (None, "some words without an id here now"),
+    (7, "repeated row of seven words here today"), (7, "repeated row of seven words here today"),
+    (8, "ÄÖÜ ñandú 漢字 и кириллица " * 3), (9, "word " * 60_000), (10, "x" * 300_000), (11, "\x00 null byte \x7f"),
+]

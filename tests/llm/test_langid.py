@@ -1,0 +1,63 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import AWKWARD, frame
+
+from topicflow.llm import langid
+
+SYLLABLES = {"aa": "ka lo mi ru te", "bb": "schen ver ung keit auf", "cc": "éau oi ç tion è"}
+
+
+def text(rng, lang, words=30):
+    return " ".join("".join(rng.choice(SYLLABLES[lang].split()) for _ in range(rng.randrange(1, 4))) for _ in range(words))
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rng = random.Random(3)
+    rows = [(i, text(rng, lang), lang) for i, lang in enumerate(list(SYLLABLES) * 60)]
+    return langid.train(frame(spark, [*rows, (1, None, "aa"), (2, "ka", None), (3, "?!", "dd")]), per_language=50)
+
+
+def test_held_out_accuracy(spark, model):
+    rng = random.Random(4)
+    truth = {i: lang for i, lang in enumerate(list(SYLLABLES) * 40)}
+    found = langid.predict(frame(spark, [(i, text(rng, lang)) for i, lang in truth.items()]), model).collect()
+    assert sum(truth[r.doc_id] == r.lang_pred for r in found) >= 0.97 * len(truth)
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_awkward_rows(spark, model):
+    docs = frame(spark, AWKWARD)
+    found = langid.predict(docs, model).collect()
+    assert len(found) == len(AWKWARD)
+    unknown = {r.doc_id for r in found if r.lang_pred == "und"}
+    assert unknown == {1, 2, 3, 5, None} and all(r.score == 0 and r.ambiguous for r in found if r.lang_pred == "und")
+    kept = langid.accepted(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in found if not r.ambiguous)
+
+
+def test_without_training_or_input(spark):
+    empty = langid.train(frame(spark, []))
+    assert {r.lang_pred for r in langid.predict(frame(spark, AWKWARD), empty).collect()} == {"und"}
+    one = langid.train(frame(spark, [(1, "some words", "aa")]))
+    assert {r.lang_pred for r in langid.predict(frame(spark, [(1, "other")]), one).collect()} == {"aa"}
+    assert langid.predict(frame(spark, []), one).collect() == []
+
+
+def test_codewords_keep_their_distance():
+    for n in range(2, 30):
+        code = langid.codewords(n).astype(int)
+        distance = (code.shape[1] - code @ code.T) // 2 + np.eye(n, dtype=int) * 99
+        assert distance.min() >= (1 if n == 2 else 2) and (abs(code.sum(axis=0)) < n).all()
+    assert langid.codewords(1).shape == (1, 0) and langid.codewords(0).shape == (0, 0)
+
+
+def test_grams_stay_within_texts():
+    import pyarrow as pa
+
+    alone = [next(langid.features(pa.array([t])))[1][0] for t in ("abc", "de", None, "fgh")]
+    together = next(langid.features(pa.array(["abc", "de", None, "fgh"])))[1]
+    assert np.array_equal(together, np.stack(alone))

@@ -1,0 +1,54 @@
+import re
+
+from helpers import AWKWARD, frame
+
+from topicflow.llm import licenses
+
+SENTENCES = {1: "Alpha one", 2: "Beta: two", 3: "Gamma three", 4: "Delta"}
+RULES = [("L-A", [1]), ("L-AB", [1, 2]), ("L-ABC", [1, 2, 3]), ("L-C", [3]), ("L-A2", [1]), ("L-BD", [2, 4])]
+TEXTS = [
+    (20, "Alpha one. beta TWO!\nsome prose.\nGamma, three"), (21, "ALPHA   ONE\nx y z\nalpha one."), (22, "Gamma three. Beta two."),
+    (23, "beta two. Delta. Alpha one. Beta two. Delta."), (24, "Alpha one more"), (24, "Alpha one"), (24, "Alpha one"),
+    (25, "Delta"), (26, "Alpha one.\n" * 3000),
+]
+
+
+def brute(text):
+    clean = lambda s: " ".join(re.findall(r"[^\W_]+", s.lower()))
+    numbers = {clean(s): n for n, s in SENTENCES.items()}
+    known = []
+    for place, part in enumerate(re.split(r"(?<=[.;!?])[ \t]+|[\r\n]+", text or "")):
+        if clean(part) in numbers:
+            known.append((place, numbers[clean(part)]))
+    out, reach = [], 0
+    for at in range(len(known)):
+        fits = [
+            (-len(seq), name) for name, seq in RULES if [n for _, n in known[at : at + len(seq)]] == seq
+        ]
+        if fits and at - min(fits)[0] > reach:
+            size, name = min(fits)
+            out.append((name, known[at][0], -size, ",".join(str(n) for _, n in known[at : at - size])))
+            reach = at - size
+    return out
+
+
+def test_like_brute_force(spark):
+    rows = list(AWKWARD) + TEXTS
+    found = licenses.licenses(
+        frame(spark, rows), licenses.known_sentences(spark, SENTENCES), licenses.known_rules(spark, RULES)
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(((r[0], *x) for r in rows for x in brute(r[1])), key=str)
+
+
+def test_empty_tables(spark):
+    known, rules = licenses.known_sentences(spark), licenses.known_rules(spark)
+    docs = frame(spark, TEXTS)
+    assert licenses.licenses(docs.limit(0), known, rules).collect() == []
+    assert licenses.licenses(docs, known.limit(0), rules).collect() == []
+    assert licenses.licenses(docs, known, rules.limit(0)).collect() == []
+
+
+def test_every_known_sentence_is_found(spark):
+    docs = frame(spark, [(n, f"prose here.\n{s}.\nmore") for n, s in licenses.SENTENCES.items()])
+    found = licenses.recognised(docs, licenses.known_sentences(spark))
+    assert sorted((r.doc_id, r.sentence_id) for r in found.collect()) == [(n, n) for n in sorted(licenses.SENTENCES)]

@@ -1,0 +1,81 @@
+import random
+
+import numpy as np
+import pytest
+from helpers import AWKWARD, frame
+
+from topicflow.llm import toxicity
+
+INSULTS = ["idiot", "scum", "worthless"]
+
+
+def prose(rng, n=60):
+    words = ["".join(rng.choice(["th", "er", "on", "an", "re", "ing", "le", "qu"]) for _ in range(rng.randrange(1, 4))) for _ in range(n)]
+    return " ".join(w + ("." if rng.random() < 0.1 else "") for w in words)
+
+
+def labelled(seed, count):
+    rng, rows = random.Random(seed), []
+    for i in range(count):
+        words = prose(rng).split()
+        if i % 3 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(INSULTS))
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = [*labelled(1, 450), (900, None, 1), (901, "odd", 7), (902, "odd", None)]
+    return toxicity.train(spark.createDataFrame(rows, "doc_id int, text string, toxic int"), per_label=200)
+
+
+def test_held_out_auc_and_labels(spark, model):
+    rows = labelled(2, 300)
+    found = {r.doc_id: r for r in toxicity.score(frame(spark, [r[:2] for r in rows]), model).collect()}
+    truth = np.array([r[2] for r in rows])
+    scores = np.array([found[r[0]].score for r in rows])
+    wins = (scores[truth == 1][:, None] > scores[truth == 0][None]).mean()
+    assert wins > 0.97 and np.mean([found[i].predicted == k for i, _, k in rows]) > 0.93
+    assert all((r.score >= 0.5) == (r.predicted == 1) and 0 <= r.score <= 1 for r in found.values())
+
+
+def test_gaps_and_inserted_letters(model):
+    plain, dotted, spread, other = model.scores(["an idiot here", "an id.iot here", "an idi-ot here", "an indoor other"])
+    assert plain > 0.5 and min(dotted, spread) > other + 0.1
+
+
+def test_awkward_rows(spark, model):
+    found = toxicity.score(frame(spark, AWKWARD), model).collect()
+    assert len(found) == len(AWKWARD) and len({r.score for r in found if r.doc_id in (1, 2, 3)}) == 1
+    assert toxicity.score(frame(spark, []), model).collect() == []
+
+
+def test_single_label_or_nothing(spark):
+    for rows, expected in (([], 0), ([(1, "a b", 0)], 0), ([(1, "a b", 1)], 1)):
+        one = toxicity.train(spark.createDataFrame(rows, "doc_id int, text string, toxic int"))
+        assert [r.predicted for r in toxicity.score(frame(spark, [(1, "text")]), one).collect()] == [expected]
+
+
+def test_sentences_do_not_reach_into_other_texts(model):
+    texts = ["idi", "ot there. scum", "", "plain words"]
+    together = model.scores(texts)
+    assert np.allclose(together, [model.scores([t])[0] for t in texts])
+
+
+def test_kernel_counts_gapped_subsequences():
+    """The folded weights of one landmark equal the kernel computed from all index tuples."""
+    from itertools import combinations
+
+    def profile(group):
+        out = {}
+        for places in combinations(range(len(group)), toxicity.ORDER):
+            span = places[-1] - places[0] + 1
+            if span <= toxicity.SPAN:
+                key = "".join(group[p] for p in places)
+                out[key] = out.get(key, 0) + toxicity.DECAY**span
+        return out
+
+    for word in ("idiot", "abcabcab", " scum ", "xy"):
+        mine, theirs = toxicity._profile(word), profile(word)
+        assert np.isclose(sum(mine.values()), sum(theirs.values())) and len(mine) == len(theirs)

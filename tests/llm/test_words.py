@@ -1,0 +1,42 @@
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from helpers import plain_words, spaced_words
+
+from topicflow.llm import words
+
+
+def hashed(texts, kind):
+    out = []
+    for _, data, offsets in words.text_blocks(pa.array(texts, pa.string()), limit=64):
+        found, bounds = words.word_hashes(data, offsets, kind)
+        out += [found[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB7 \t\n-é漢_\x00\x1c", max_size=40)), max_size=12))
+def test_hashes_follow_words(texts):
+    for kind, split in ((words.PLAIN, plain_words), (words.SPACED, spaced_words)):
+        expected = [split(text) for text in texts]
+        found = hashed(texts, kind)
+        assert [len(f) for f in found] == [len(e) for e in expected]
+        pairs = {(w, h) for e, f in zip(expected, found, strict=True) for w, h in zip(e, f, strict=True)}
+        assert len(pairs) == len({w for w, _ in pairs}) == len({h for _, h in pairs})
+
+
+def test_very_long_words_and_texts(monkeypatch):
+    monkeypatch.setattr(words, "BLOCK_BYTES", 8)
+    text = "a" * 50 + " b " + "c" * 33 + " " * 40 + "a" * 50
+    (found,) = hashed([text], words.SPACED)
+    assert len(found) == 4 and found[0] == found[3] and len(set(found)) == 3
+
+
+def test_shingles_are_distinct_runs():
+    sets = {}
+    for text in ("a b c d e f", "a b c d e", "b c d e f", "a b", "a b c d e a b c d e a b c d e", ""):
+        data = np.frombuffer(text.encode(), np.uint8)
+        (sets[text],) = words.shingle_sets(*words.word_hashes(data, np.array([0, len(data)]), words.SPACED), 5)
+    assert [len(s) for s in sets.values()] == [2, 1, 1, 1, 5, 0]
+    assert set(sets["a b c d e f"]) == set(sets["a b c d e"]) | set(sets["b c d e f"])

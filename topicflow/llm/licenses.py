@@ -9,7 +9,7 @@ the same sentence the longest wins, and a match inside a longer one is not repor
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Well-known sentences of public license texts and notices, and the rules over them.
@@ -117,12 +117,8 @@ def licenses(docs: DataFrame, sentences: DataFrame, rules: DataFrame) -> DataFra
     best = matched.groupBy("doc_id", "row", "at").agg(
         F.min_by(F.struct("license", "place", "n", "ids"), F.struct(-F.col("n"), F.col("license"))).alias("best")
     )
-    per_text = best.groupBy("doc_id", "row").agg(
-        F.sort_array(
-            F.collect_list(F.struct("at", "best.n", "best.license", "best.place", "best.ids"))
-        ).alias("all")
-    )
-    outer = F.expr("filter(all, x -> not exists(all, y -> y.at < x.at and y.at + y.n >= x.at + x.n))")
-    return per_text.select("doc_id", F.explode(outer).alias("x")).select(
-        "doc_id", "x.license", "x.place", F.col("x.n").alias("n_sentences"), F.col("x.ids").alias("sentence_ids")
+    before = Window.partitionBy("doc_id", "row").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ended = best.select("doc_id", "row", "at", "best.*").withColumn("reach", F.max(F.col("at") + F.col("n")).over(before))
+    return ended.where("reach is null or reach < at + n").select(
+        "doc_id", "license", "place", F.col("n").alias("n_sentences"), F.col("ids").alias("sentence_ids")
     )
