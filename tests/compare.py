@@ -61,7 +61,7 @@ def main() -> int:
     )
     spark.sparkContext.setLogLevel("ERROR")
     for name, query in contract.queries().items():
-        if sys.argv[2:] and name not in sys.argv[2:]:
+        if name not in sqls or sys.argv[2:] and name not in sys.argv[2:]:
             continue
         began = time.time()
         try:

@@ -31,8 +31,8 @@ def root(tmp_path):
 
 SEVEN = "_1 string, _2 int, _3 boolean, _4 float, _5 double, _6 bigint, _7 tinyint"
 ROWS1 = [
-    ("hello1", 1, True, 0.1, 0.1, 1, 49),
-    ("hello2", 2, False, 0.2, 0.2, 2, 50),
-    ("hello3", 3, True, 0.3, 0.3, 3, 51),
+    ("plum", 7, False, -2.5, 1e300, 2**63 - 1, -128),
+    (None, 8, None, None, -0.0, None, 127),
+    ("", 9, True, 3.5, 6.25, -(2**63), None),
 ]
-ROWS2 = ["hello", "world", "bye", "world"]
+ROWS2 = ["oak", "elm", "ash", "oak", ""]

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicflow.operators import audit
-from topicflow.operators.asof import first_after, ranked
+from topicflow.operators.asof import first_after, largest_before, ranked
 
 SCHEMA = "seq bigint, action string, topic string, subscriber_id string, batch_id bigint, has_rows boolean"
 
@@ -135,11 +135,11 @@ def test_topic_filter(spark):
     assert [row.n for row in audit.for_topic(frame, "b").collect()] == [2]
 
 
-@pytest.mark.parametrize("width", [1, 7, 10**6])
+@pytest.mark.parametrize("width", [1, 3, 7])
 def test_rank(spark, width):
     values = random.Random(width).sample(range(-500, 500), 200)
     frame = spark.createDataFrame([(value, f"x{value}") for value in values], "seq bigint, x string")
-    found = {row.seq: row.tp_rank for row in ranked(frame, "seq", width=width).collect()}
+    found = {row.seq: row.tp_rank for row in ranked(frame.repartition(width), "seq").collect()}
     assert found == {value: rank for rank, value in enumerate(sorted(values), 1)}
 
 
@@ -161,3 +161,52 @@ def test_first_after(spark, width):
     )
     assert {(row.k, row.seq): row.next for row in found.collect()} == wanted
     assert found.where(F.col("x") != F.concat(F.lit("l"), F.col("seq"))).count() == 0
+
+
+def test_first_after_keeps_every_left_row(spark):
+    left = spark.createDataFrame([(1, None), (2, "a"), (None, "a"), (3, "a")], "seq bigint, k string")
+    right = spark.createDataFrame([(3, "a"), (9, None), (None, "a")], "seq bigint, k string")
+    for width in (1, 100):
+        found = first_after(left, right, key="k", seq="seq", out="next", width=width).collect()
+        assert sorted(map(tuple, found), key=str) == sorted(
+            [(1, None, None), (2, "a", 3), (None, "a", None), (3, "a", None)], key=str
+        )
+
+
+@pytest.mark.parametrize("width", [1, 5, 10**6])
+def test_largest_before(spark, width):
+    chance = random.Random(width)
+    left = [(chance.choice("ab"), seq) for seq in chance.sample(range(200), 80)]
+    right = [(chance.choice("abc"), chance.randrange(200), chance.randrange(1000)) for _ in range(60)]
+    found = largest_before(
+        spark.createDataFrame(left, "k string, seq bigint"),
+        spark.createDataFrame(right, "k string, seq bigint, v bigint"),
+        key="k",
+        seq="seq",
+        value="v",
+        width=width,
+    )
+    wanted = {(k, s): max((v for other, at, v in right if other == k and at < s), default=None) for k, s in left}
+    assert {(row.k, row.seq): row.v for row in found.collect()} == wanted
+
+
+def test_numbers_in_nanoseconds(spark, tmp_path):
+    """A day of nanoseconds between neighbours: nothing may depend on the distance of numbers."""
+    step = 86_400 * 10**9 // 50
+    actions = [(seq * step, *rest) for seq, *rest in random_actions(7, 200)]
+    _, intervals, deliveries, fetched = play(actions, {"a", "b"})
+    topics = spark.createDataFrame([("a",), ("b",)], "topic string")
+    found = audit.Audit(spark.createDataFrame(actions, SCHEMA), topics, str(tmp_path), 50, 20)
+    assert {r.subscriber_id: (r.topic, r.start_seq, r.end_seq) for r in found.intervals.collect()} == intervals
+    assigned = found.assigned.collect()
+    assert {(r.seq, r.topic, r.subscriber_id) for r in assigned} == deliveries
+    assert {(r.seq, r.subscriber_id): r.fetch_seq for r in assigned if r.fetch_seq is not None} == fetched
+
+
+def test_a_finished_audit_leaves_nothing_behind(spark, tmp_path):
+    folder = tmp_path / "audit"
+    topics = spark.createDataFrame([("a",), ("b",)], "topic string")
+    with audit.Audit(spark.createDataFrame(random_actions(8, 50), SCHEMA), topics, str(folder)) as found:
+        found.assigned.count()
+        assert folder.exists()
+    assert not folder.exists()

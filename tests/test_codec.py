@@ -54,7 +54,7 @@ def test_seven_types(spark):
     frame = spark.createDataFrame(ROWS1, SEVEN)
     decoded = codec.accepted(codec.decode(codec.encode(frame), frame.schema))
     assert decoded.schema.simpleString() == frame.schema.simpleString()
-    assert sorted(decoded.collect()) == sorted(frame.collect())
+    assert sorted(decoded.collect(), key=str) == sorted(frame.collect(), key=str)
 
 
 def test_bad_lines_are_set_aside(spark):

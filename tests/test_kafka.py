@@ -9,7 +9,7 @@ from topicflow.operators.kafka import forward_to_kafka, kafka_records
 @pytest.fixture
 def stored(spark, root):
     space = TopicSpace(spark, root).create_topic("topic-2", "value string, n bigint")
-    frame = spark.createDataFrame([*zip(ROWS2, range(4)), (None, None)], "value string, n bigint")
+    frame = spark.createDataFrame([*zip(ROWS2, range(5)), (None, None)], "value string, n bigint")
     space.publish("topic-2", frame, producer="p", batch_id=3, order_by=["n"])
     return space.rows("topic-2")
 
@@ -18,16 +18,17 @@ def test_records(stored):
     found = {row.key: (row.value, row.topic) for row in kafka_records(stored, "out").collect()}
     assert found == {
         "3-0": (None, "out"),
-        "3-1": ("hello", "out"),
-        "3-2": ("world", "out"),
-        "3-3": ("bye", "out"),
-        "3-4": ("world", "out"),
+        "3-1": ("oak", "out"),
+        "3-2": ("elm", "out"),
+        "3-3": ("ash", "out"),
+        "3-4": ("oak", "out"),
+        "3-5": ("", "out"),
     }
 
 
 def test_whole_rows(stored):
     found = {row.key: row.value for row in kafka_records(stored, "out", "json").collect()}
-    assert found["3-0"] == '{"value":null,"n":null}' and found["3-1"] == '{"value":"hello","n":0}'
+    assert found["3-0"] == '{"value":null,"n":null}' and found["3-1"] == '{"value":"oak","n":0}'
     with pytest.raises(ValueError):
         kafka_records(stored, "out", "xml")
 

@@ -48,7 +48,7 @@ def test_exits_foresee_every_entry(sizes, limit, filled, rows):
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("constant", [False, True])
-def test_both_ways_agree_with_counting_by_hand(spark, seed, constant):
+def test_agrees_with_counting_by_hand(spark, seed, constant):
     """One shard holds most rows; every size class of packets is tried."""
     chance = random.Random(seed)
     data = [
@@ -62,15 +62,11 @@ def test_both_ways_agree_with_counting_by_hand(spark, seed, constant):
             rows = [row for row in data if row[0] == shard]
             for row, place in zip(rows, naive([row[2] for row in rows], limit)):
                 wanted[row] = place
-        for shard_rows in (10**9, 100):
-            found = packetize(
-                frame, shard=["shard"], order=["at"], size=F.col("size"), limit=limit, shard_rows=shard_rows
-            )
-            assert {(r.shard, r.at, r["size"]): (r.tp_packet, r.tp_packet_offset) for r in found.collect()} == wanted
+        found = packetize(frame, shard=["shard"], order=["at"], size=F.col("size"), limit=limit)
+        assert {(r.shard, r.at, r["size"]): (r.tp_packet, r.tp_packet_offset) for r in found.collect()} == wanted
 
 
-@pytest.mark.parametrize("shard_rows", [1, 10**9])
-def test_arrow_batches_do_not_matter(spark, shard_rows):
+def test_arrow_batches_do_not_matter(spark):
     chance = random.Random(5)
     data = [(chance.choice([0, 0, 0, 1, 2]), at, chance.randrange(1, 30)) for at in range(1500)]
     frame = spark.createDataFrame(data, "shard int, at bigint, size int")
@@ -80,7 +76,7 @@ def test_arrow_batches_do_not_matter(spark, shard_rows):
         spark.conf.set("spark.sql.execution.arrow.useLargeVarTypes", str(size == "17").lower())
         try:
             packets = packetize(
-                frame, shard=["shard"], order=["at"], size=F.col("size"), limit=99, shard_rows=shard_rows
+                frame, shard=["shard"], order=["at"], size=F.col("size"), limit=99
             )
             found.append(sorted(map(tuple, packets.collect())))
         finally:
@@ -93,7 +89,7 @@ def test_large_shards_are_spread(spark):
     frame = spark.range(0, 100_000, 1, 4).select(F.lit(1).alias("shard"), "id")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found = packetize(frame, shard=["shard"], order=["id"], size=F.lit(10), limit=95, shard_rows=1000)
+        found = packetize(frame, shard=["shard"], order=["id"], size=F.lit(10), limit=95)
         parts = found.withColumn("part", F.spark_partition_id()).groupBy("part").count().collect()
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -1,6 +1,8 @@
 import json
 import os
 
+from urllib.error import HTTPError
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from topicflow.errors import PushFailed
 from topicflow.functions.codec import accepted, rejected
 from topicflow.operators import push as pushing
 from topicflow.operators.dedup import drop_redelivered
-from topicflow.sources.packets import read_packets
+from topicflow.sources.packets import ingest, ingested, read_packets
 
 ONCE = {"availableNow": True}
 SCHEMA = "n bigint, s string, t timestamp_ntz, a array<double>"
@@ -102,14 +104,32 @@ def test_redelivered_rows_are_dropped(spark, space, tmp_path):
         space.push("t", space.rows("t"), f"file://{landing}/t/{link}", limit=2000, shard_rows=100)
     options = {"recursiveFileLookup": "true", "maxFilesPerTrigger": 4}
     arrived = accepted(read_packets(spark, landing, "t", SCHEMA, **options))
-    once = run(drop_redelivered(arrived, "1 hour"), "once", tmp_path)
+    once = run(drop_redelivered(arrived), "once", tmp_path)
     assert texts(once) == texts(space.rows("t").select(*once.columns))
-    with pytest.raises(ValueError):
-        drop_redelivered(arrived)
     table = accepted(read_packets(spark, landing, "t", SCHEMA, stream=False, recursiveFileLookup="true"))
     assert table.count() == 1000 and drop_redelivered(table).count() == 500
 
 
+def test_late_and_old_packets_are_stored_once(spark, space, tmp_path):
+    """Rows sent long ago come after newer ones, in files with old times, and again later: none is lost or doubled."""
+    landing, folder = tmp_path / "landing", str(tmp_path / "in")
+    sent = space.rows("t").withColumn("tp_ts", F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, 0, tp_offset)"))
+
+    def take(rows, link):
+        space.push("t", rows, f"file://{landing}/t/{link}", limit=2000, shard_rows=100)
+        for file in (landing / "t" / link).rglob("*.jsonl"):
+            os.utime(file, (1e9, 1e9) if link == "old" else None)
+        options = dict(checkpoint=str(tmp_path / "cp"), trigger=ONCE, recursiveFileLookup="true")
+        ingest(spark, str(landing), "t", SCHEMA, folder, **options).awaitTermination()
+        return ingested(spark, folder, SCHEMA)
+
+    assert ingested(spark, folder, SCHEMA).count() == 0
+    assert take(sent.where("tp_offset >= 400"), "new").count() == 100
+    assert take(sent.where("tp_offset < 450"), "old").count() == 500
+    found = take(sent, "all")
+    assert texts(found) == texts(sent.select(*found.columns))
+
+
 def test_damaged_lines_are_set_aside(spark, space, tmp_path):
     landing = tmp_path / "landing"
     space.push("t", space.rows("t"), f"file://{landing}")
@@ -124,7 +144,7 @@ def test_ingested_rows_can_be_published_onward(spark, space, tmp_path):
     landing = str(tmp_path / "landing")
     space.push("t", space.rows("t"), f"file://{landing}")
     other = TopicSpace(spark, str(tmp_path / "other")).create_topic("t", SCHEMA)
-    arrived = drop_redelivered(accepted(read_packets(spark, landing, "t", SCHEMA)), "1 hour").select("n", "s", "t", "a")
+    arrived = drop_redelivered(accepted(read_packets(spark, landing, "t", SCHEMA))).select("n", "s", "t", "a")
     other.publish_stream("t", arrived, producer="link", checkpoint=str(tmp_path / "cp"), trigger=ONCE).awaitTermination()
     assert texts(other.source("t", stream=False)) == texts(space.source("t", stream=False))
 
@@ -173,6 +193,25 @@ def test_giving_up(monkeypatch):
     assert flaky.calls == 5
 
 
+def test_only_passing_errors_are_tried_again(monkeypatch):
+    monkeypatch.setattr(pushing.time, "sleep", lambda _: None)
+
+    def failing(error):
+        calls = []
+
+        def deliver(packet_id, body):
+            calls.append(packet_id)
+            raise error
+
+        with pytest.raises((PushFailed, type(error))):
+            pushing.with_retry(deliver, "id", b"")
+        return len(calls)
+
+    answer = lambda code: HTTPError("http://example.org", code, "no", {}, None)
+    assert failing(answer(400)) == failing(answer(404)) == failing(TypeError("mistake")) == 1
+    assert failing(answer(503)) == failing(answer(429)) == failing(TimeoutError()) == 5
+
+
 def test_attempts_are_reported_per_packet(space):
     seen = {}
 
@@ -236,7 +275,8 @@ class Answer:
 def test_http_delivery():
     requests = []
 
-    def opener(request):
+    def opener(request, timeout):
+        assert timeout == pushing.TIMEOUT
         requests.append(request)
         return Answer(200 if len(requests) > 1 else 503)
 

@@ -1,5 +1,5 @@
 import pytest
-from conftest import ROWS1, ROWS2, SEVEN
+from conftest import ROWS2, SEVEN
 from pyspark.sql import functions as F
 
 from topicflow import TopicSpace
@@ -17,31 +17,25 @@ def plain(space, name):
     return sorted(map(tuple, space.fetch_original(name).collect()))
 
 
-def test_scenario(spark, space):
-    """Delivery per subscriber, each row once, nothing from before the subscription."""
-    wanted1 = sorted(map(tuple, spark.createDataFrame(ROWS1, SEVEN).collect()))
-    wanted2 = sorted((value,) for value in ROWS2)
-    s1, schema = space.subscribe("topic-1")
-    s2, _ = space.subscribe("topic-2")
-    assert (s1, s2) == ("subscriber-1", "subscriber-2")
-    assert schema == space.fetch_schema("topic-1")
-    assert space.publish_rows("topic-1", ROWS1, producer="p", batch_id=1).rows == 3
-    s4, _ = space.subscribe("topic-1")
-    s5, _ = space.subscribe("topic-2")
-    assert space.publish_rows("topic-2", ROWS2, producer="p", batch_id=1).rows == 4
-
-    assert plain(space, s1) == wanted1
-    assert plain(space, s1) == []
-    assert plain(space, s2) == wanted2
-    assert plain(space, s4) == []
-    assert plain(space, s5) == wanted2
-    assert plain(space, s5) == []
-
-    space.unsubscribe(s4)
-    with pytest.raises(InvalidSubscription):
-        space.fetch(s4)
-    with pytest.raises(InvalidSubscription):
-        space.unsubscribe(s4)
+def test_each_subscription_gets_its_own_part(space):
+    """Three subscriptions opened at different times on one topic, one on another; ends don't touch the others."""
+    first, schema = space.subscribe("topic-2", "first")
+    assert schema.simpleString() == "struct<value:string>"
+    space.publish_rows("topic-2", ["one"], producer="p", batch_id=1)
+    second, _ = space.subscribe("topic-2")
+    other, _ = space.subscribe("topic-1")
+    assert (first, second, other) == ("first", "subscriber-1", "subscriber-2")
+    space.publish_rows("topic-2", ["two", "two"], producer="q", batch_id=9)
+    third, _ = space.subscribe("topic-2", "third")
+    assert plain(space, second) == [("two",), ("two",)]
+    space.publish_rows("topic-2", ["three"], producer="p", batch_id=2)
+    space.unsubscribe(second)
+    assert plain(space, first) == [("one",), ("three",), ("two",), ("two",)]
+    assert plain(space, third) == [("three",)] and plain(space, other) == []
+    assert plain(space, first) == plain(space, third) == []
+    for call in (space.fetch, space.unsubscribe, space.subscription_stream):
+        with pytest.raises(InvalidSubscription):
+            call(second)
 
 
 def test_unknown_names(space):
@@ -60,7 +54,7 @@ def test_fetched_tables_stay_valid(space):
     first = space.fetch(name)
     space.publish_rows("topic-2", ["new"], producer="p", batch_id=2)
     second = space.fetch(name)
-    assert first.count() == 4 and [row.value for row in second.collect()] == ["new"]
+    assert first.count() == 5 and [row.value for row in second.collect()] == ["new"]
 
 
 def test_late_subscriber_and_new_producers(space):
@@ -132,7 +126,7 @@ def test_drain_gives_a_failed_batch_again(space):
     space.drain(name, lambda batch, number: got.extend(row.value for row in batch.collect()))
     assert sorted(got) == sorted(ROWS2)
     space.drain(name, lambda batch, number: got.append("again"))
-    assert len(got) == 4
+    assert len(got) == 5
 
 
 def test_stream_with_its_own_checkpoint(spark, space, tmp_path):
@@ -144,4 +138,16 @@ def test_stream_with_its_own_checkpoint(spark, space, tmp_path):
     query = query.outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
     query.start().awaitTermination()
     found = {row.value: row.n for row in spark.table("counted").collect()}
-    assert found == {"hello": 1, "world": 2, "bye": 1}
+    assert found == {"oak": 2, "elm": 1, "ash": 1, "": 1}
+
+
+def test_source_from_now_with_receive_time(spark, space, tmp_path):
+    space.publish_rows("topic-2", ["old"], producer="p", batch_id=1)
+    for values in (["new"], ["newer"]):  # the second time the program is started again
+        stream = subscriptions.source_from_now(spark, space.root, "topic-2", "mine", includes_timestamp=True)
+        assert stream.columns == ["value", "_TIMESTAMP_"]
+        space.publish_rows("topic-2", values, producer="p", batch_id=len(values[0]))
+        query = stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp"))
+        query.trigger(availableNow=True).start(str(tmp_path / "rows")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "rows")).collect()
+    assert sorted(row.value for row in found) == ["new", "newer"] and all(row["_TIMESTAMP_"] for row in found)

@@ -31,3 +31,7 @@ class InvalidSubscription(TopicflowError):
 
 class PushFailed(TopicflowError):
     """A packet could not be delivered within the allowed attempts."""
+
+
+class NoSharedFolder(TopicflowError):
+    """Intermediate data needs a folder that all executors can reach, and none is named."""

@@ -11,8 +11,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.operators.asof import WIDTH, bucket_of, first_after, ranked
-from topicflow.storage import fresh_folder, stored
+from topicflow.operators.asof import WIDTH, first_after, largest_before, ranked
+from topicflow.storage import Store, fresh_folder, stored
 
 # Action names of the request protocol.
 SEND = "actionSendStream"
@@ -41,7 +41,7 @@ def subscription_intervals(actions: DataFrame, topics: DataFrame, width: int = W
 
     Numbers count all attempts, failed ones too.
     """
-    attempts = ranked(actions.where(F.col("action") == SUBSCRIBE).select("seq", "topic"), "seq", "tp_number", width)
+    attempts = ranked(actions.where(F.col("action") == SUBSCRIBE).select("seq", "topic"), "seq", out="tp_number")
     opened = attempts.join(topics.select("topic"), "topic", "left_semi").select(
         F.concat(F.lit("subscriber-"), F.col("tp_number").cast("string")).alias("subscriber_id"), "topic", "seq"
     )
@@ -81,7 +81,9 @@ def classify_requests(
         # requests without a subscriber to look up get keys of their own, so that they do not meet in one partition
         nobody = F.concat(F.lit("#"), F.pmod(F.col("seq"), F.lit(SPREAD)).cast("string"))
         wanted = F.coalesce(F.when(by_subscriber, F.col("subscriber_id")), nobody)
-        rows = rows.join(known, "topic", "left").withColumn("tp_wanted", wanted).join(valid, "tp_wanted", "left")
+        rows = rows.withColumns({"tp_wanted": wanted, "tp_topic": F.coalesce("topic", nobody)})
+        known = known.withColumnRenamed("topic", "tp_topic")
+        rows = rows.join(known, "tp_topic", "left").join(valid, "tp_wanted", "left")
         during = (F.col("seq") > F.col("start_seq")) & (F.col("end_seq").isNull() | (F.col("seq") <= F.col("end_seq")))
         checks += [
             F.when(by_topic & F.col("tp_known").isNull(), "unknown topic"),
@@ -90,52 +92,85 @@ def classify_requests(
     return rows.select(*actions.columns, F.coalesce(*checks, F.lit("ok")).alias("status"))
 
 
-def fan_out(sends: DataFrame, intervals: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
-    """One row per message and subscription open on its topic at that moment: ``seq``, ``topic``, ``subscriber_id``.
+def spans_joined(sends: DataFrame, spans: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
+    """Each message with each span open on its topic: ``span`` columns and ``seq`` with start_seq < seq < end_seq.
 
-    Subscriptions are repeated for each bucket of the sequence they span and joined on (topic, bucket), so a message
-    meets only subscriptions around its own time, and a busy topic is spread over its buckets.
+    ``spans``: ``topic``, ``start_seq``, ``end_seq`` (null: open to the end) and more. All numbers are ranked together, so
+    a stretch of ``width`` ranks holds that many events at most, however sparse the numbers are. Spans are repeated for
+    each stretch they touch and joined on (topic, stretch): a message meets only spans around its own place, and a
+    busy topic is spread over its stretches.
     """
-    last = sends.agg(F.max(bucket_of("seq", width))).scalar()
-    spans = (
-        intervals.withColumn("tp_from", bucket_of("start_seq", width))
-        .withColumn("tp_to", F.least(bucket_of("end_seq", width), last))  # least skips nulls
-        .where(F.col("tp_from") <= F.col("tp_to"))
-        .withColumn("tp_bucket", F.explode(F.sequence("tp_from", "tp_to")))
-        .select("topic", "tp_bucket", "subscriber_id", "start_seq", "end_seq")
-    )
+    marks = sends.select("seq").union(spans.select("start_seq")).union(spans.select("end_seq"))
+    places = ranked(marks.where("seq is not null").distinct(), "seq")
+    places = places.select(F.col("seq").alias("tp_seq"), F.expr(f"tp_rank div {int(width)}L").alias("tp_bucket"))
+    last = places.agg(F.max("tp_bucket")).scalar()
+
+    def placed(frame: DataFrame, column: str, out: str) -> DataFrame:
+        at = places.withColumnRenamed("tp_bucket", out)
+        return frame.join(at, F.col(column) == F.col("tp_seq"), "left").drop("tp_seq")
+
+    touched = placed(placed(spans, "start_seq", "tp_from"), "end_seq", "tp_to")
+    touched = touched.withColumn("tp_to", F.coalesce(F.col("tp_to"), last)).where("tp_from <= tp_to")
+    touched = touched.withColumn("tp_bucket", F.explode(F.sequence("tp_from", "tp_to"))).drop("tp_from", "tp_to")
     # the join multiplies rows: spread the messages first, over a fixed number of partitions that stay apart
     parts = int(sends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    messages = sends.select("seq", "topic", bucket_of("seq", width).alias("tp_bucket"))
-    messages = messages.repartition(parts, "topic", "tp_bucket")
-    # Spark would guess the repeated subscriptions to be as small as the plain ones and might broadcast them
-    met = messages.join(spans.hint("merge"), ["topic", "tp_bucket"]).where(
+    messages = placed(sends.select("seq", "topic"), "seq", "tp_bucket").repartition(parts, "topic", "tp_bucket")
+    # Spark would guess the repeated spans to be as small as the plain ones and might broadcast them
+    met = messages.join(touched.hint("merge"), ["topic", "tp_bucket"]).where(
         (F.col("seq") > F.col("start_seq")) & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))
     )
-    return met.select("seq", "topic", "subscriber_id")
+    return met.drop("tp_bucket")
+
+
+def fan_out(sends: DataFrame, intervals: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
+    """One row per message and subscription open on its topic at that moment: ``seq``, ``topic``, ``subscriber_id``."""
+    return spans_joined(sends, intervals, width).select("seq", "topic", "subscriber_id")
 
 
-def drain_assignment(deliveries: DataFrame, fetches: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Add ``fetch_seq``: the subscriber's first fetch after the delivery, null when there was none.
+def fetch_spans(intervals: DataFrame, fetches: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Each subscription cut at its fetches: ``start_seq``, ``end_seq`` and ``fetch_seq``, the fetch that ends the span.
 
-    ``fetches`` are successful ones, so a fetch after the subscription ended is not among them.
+    Messages sent within a span are drained by its fetch; those of the last span, whose ``fetch_seq`` is null, by none.
+    ``fetches`` are successful ones, so they lie within their subscription.
     """
-    return first_after(deliveries, fetches, key="subscriber_id", seq="seq", out="fetch_seq", width=width)
+    starts = intervals.select("subscriber_id", "topic", F.col("start_seq").alias("seq"), "end_seq")
+    cuts = fetches.select("subscriber_id", "seq").join(
+        intervals.select("subscriber_id", "topic", "end_seq"), "subscriber_id"
+    )
+    begun = starts.unionByName(cuts.select(starts.columns))
+    ended = first_after(begun, fetches, key="subscriber_id", seq="seq", out="fetch_seq", width=width)
+    return ended.select(
+        "subscriber_id", "topic", F.col("seq").alias("start_seq"), F.coalesce("fetch_seq", "end_seq").alias("end_seq"), "fetch_seq"
+    )
 
 
-def undelivered(sends: DataFrame, assigned: DataFrame) -> DataFrame:
-    """Messages nobody ever fetched: no open subscription, or none that fetched in time."""
-    fetched = assigned.where(F.col("fetch_seq").isNotNull()).select("seq").distinct()
-    return sends.select("seq", "topic").join(fetched, "seq", "left_anti")
+def drain_assignment(sends: DataFrame, spans: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
+    """The deliveries with ``fetch_seq``: the subscriber's first fetch after the message, null when there was none."""
+    return spans_joined(sends, spans, width).select("seq", "topic", "subscriber_id", "fetch_seq")
 
 
-def lost_copies(assigned: DataFrame) -> DataFrame:
-    """Copies that were put aside for a subscription and never fetched."""
-    return assigned.where(F.col("fetch_seq").isNull()).drop("fetch_seq")
+def undelivered(sends: DataFrame, intervals: DataFrame, fetches: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Messages nobody ever fetched: no open subscription, or none that fetched in time.
+
+    A message was fetched when a subscription of its topic had begun before it and has its last fetch after it. So the
+    largest last fetch among the subscriptions begun before is enough; no copies are made.
+    """
+    last = fetches.groupBy("subscriber_id").agg(F.max("seq").alias("last_fetch"))
+    begun = intervals.join(last, "subscriber_id").select("topic", F.col("start_seq").alias("seq"), "last_fetch")
+    judged = largest_before(sends.select("seq", "topic"), begun, key="topic", seq="seq", value="last_fetch", width=width)
+    return judged.where("last_fetch is null or last_fetch < seq").select("seq", "topic")
+
+
+def lost_copies(sends: DataFrame, spans: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
+    """Copies that were put aside for a subscription and never fetched: those of the spans that no fetch ends."""
+    return spans_joined(sends, spans.where("fetch_seq is null"), width).select("seq", "topic", "subscriber_id")
 
 
 class Audit:
-    """All of the above over one log. Each step is stored in ``folder`` when first asked for and read by later ones."""
+    """All of the above over one log. Each step is stored in ``folder`` when first asked for and read by later ones.
+
+    As a context manager it removes what it has stored at the end.
+    """
 
     def __init__(
         self,
@@ -174,14 +209,24 @@ class Audit:
     def deliveries(self) -> DataFrame:
         return self._stored(fan_out(self.sends, self.intervals, self.fan_width), "deliveries")
 
+    @cached_property
+    def spans(self) -> DataFrame:
+        return self._stored(fetch_spans(self.intervals, self.fetches, self.width), "spans")
+
     @cached_property
     def assigned(self) -> DataFrame:
-        return self._stored(drain_assignment(self.deliveries, self.fetches, self.width), "assigned")
+        return self._stored(drain_assignment(self.sends, self.spans, self.fan_width), "assigned")
 
     @property
     def undelivered(self) -> DataFrame:
-        return undelivered(self.sends, self.assigned)
+        return undelivered(self.sends, self.intervals, self.fetches, self.width)
 
     @property
     def lost_copies(self) -> DataFrame:
-        return lost_copies(self.assigned)
+        return lost_copies(self.sends, self.spans, self.fan_width)
+
+    def __enter__(self) -> Audit:
+        return self
+
+    def __exit__(self, *_) -> None:
+        Store(self.actions.sparkSession, self.folder).drop(self.folder)

@@ -3,17 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from topicflow.storage import Store
 
 KEYS = ["tp_producer", "tp_batch_id", "tp_offset"]
 
 
-def drop_redelivered(rows: DataFrame, delay: str | None = None) -> DataFrame:
-    """One copy of each (producer, batch id, offset).
+def drop_redelivered(rows: DataFrame) -> DataFrame:
+    """One copy of each (producer, batch id, offset), however late a copy comes.
 
-    A stream needs ``delay``: copies arriving within it after the first one are caught.
+    On a stream Spark keeps every key as state, for ever; :func:`store_arrivals` needs no such state.
     """
-    if rows.isStreaming:
-        if delay is None:
-            raise ValueError("a stream needs a delay")
-        return rows.withWatermark("tp_ts", delay).dropDuplicatesWithinWatermark(KEYS)
     return rows.dropDuplicates(KEYS)
+
+
+def stored_arrivals(rows: DataFrame, folder: str) -> DataFrame:
+    """What :func:`store_arrivals` has stored so far of rows like these, with their columns."""
+    spark = rows.sparkSession
+    if not Store(spark, folder).exists(folder):
+        return spark.createDataFrame([], rows.schema)
+    kept = [field for field in rows.schema if field.name not in KEYS[:2]]
+    partitions = [field for field in rows.schema if field.name in KEYS[:2]]
+    return spark.read.schema(type(rows.schema)(kept + partitions)).parquet(folder).select(rows.columns)
+
+
+def store_batch(batch: DataFrame, folder: str) -> None:
+    """Add the rows that ``folder`` doesn't have yet, in one folder per producer and batch."""
+    fresh = batch.dropDuplicates(KEYS)
+    touched = fresh.select(*KEYS[:2]).distinct()
+    seen = stored_arrivals(batch, folder).select(*KEYS).join(touched, KEYS[:2], "left_semi")
+    new = fresh.join(seen, KEYS, "left_anti")
+    new.write.mode("append").partitionBy(*KEYS[:2]).parquet(folder)
+
+
+def store_arrivals(
+    rows: DataFrame, folder: str, *, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Start a query that stores each row of a stream once.
+
+    Rows of a micro-batch are compared with what is stored of their own batches, by a join on the partition columns, so
+    only those folders are read. Nothing is discarded for being late, and a repeated micro-batch stores nothing twice.
+    """
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, _: store_batch(batch, folder)
+    )
+    return writer.trigger(**trigger).start() if trigger else writer.start()

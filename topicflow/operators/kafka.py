@@ -24,9 +24,18 @@ def kafka_records(rows: DataFrame, topic: str, value: str = "first") -> DataFram
 
 
 def forward_to_kafka(
-    rows: DataFrame, topic: str, servers: str, value: str = "first", checkpoint: str | None = None, **options
+    rows: DataFrame,
+    topic: str,
+    servers: str,
+    value: str = "first",
+    checkpoint: str | None = None,
+    trigger: dict | None = None,
+    **options,
 ) -> StreamingQuery | None:
-    """Write the records with the Kafka connector (needed on the class path). A failed send fails the batch."""
+    """Write the records with the Kafka connector (needed on the class path). A failed send fails the batch.
+
+    ``trigger`` says when a stream runs, as for ``DataStreamWriter.trigger``; without it as soon as it can.
+    """
     records = kafka_records(rows, topic, value)
     settings = {"kafka.bootstrap.servers": servers, **options}
     if not rows.isStreaming:
@@ -34,4 +43,4 @@ def forward_to_kafka(
     if checkpoint is None:
         raise ValueError("a stream needs a checkpoint")
     writer = records.writeStream.format("kafka").options(**settings).option("checkpointLocation", checkpoint)
-    return writer.start()
+    return writer.trigger(**trigger).start() if trigger else writer.start()

@@ -1,14 +1,10 @@
 """Cut the rows of each shard, in order, into packets of bounded size.
 
 A packet ends with the first row that brings it to the limit, so it may pass the limit by one row. Where a packet ends
-depends on where the one before it ended, which makes the cut sequential within a shard. Two ways lead to it:
-
-* No shard is large: shards are hashed to partitions and each is walked in order.
-* Some shard is large: rows are range-partitioned by (shard, order), so a large shard covers many partitions (blocks).
-  Each block describes, in a small table, how it would leave the packet state for every state it could be entered
-  with; these tables are chained to find the state each block is entered with; then all blocks are walked in parallel.
-
-Both give the same packets.
+depends on where the one before it ended, which makes the cut sequential within a shard. So rows are range-partitioned by
+(shard, order), and a large shard covers many partitions (blocks). Each block describes, in a small table, how it would
+leave the packet state for every state it could be entered with; these tables are chained to find the state each block
+is entered with; then all blocks are walked in parallel.
 """
 
 from __future__ import annotations
@@ -26,8 +22,7 @@ from topicflow.functions.codec import to_line
 from topicflow.functions.rows import quoted
 from topicflow.storage import written_once
 
-MAX_PACKET_SIZE = 10 * 1024 * 1024
-SHARD_ROWS = 5_000_000  # shards above this are spread over several partitions
+MAX_PACKET_SIZE = 10 * 1024 * 1024  # fixed value: the default limit of a packet
 
 
 class Cutter:
@@ -97,7 +92,7 @@ def _numberer(limit: int, entered: dict[int, tuple[int, int, int]] | None):
     return run
 
 
-# --- large shards ----------------------------------------------------------------------------------------------------
+# --- blocks ----------------------------------------------------------------------------------------------------
 
 _BLOCK = (
     "tp_block int, tp_step bigint, first_key string, last_key string, single boolean, "
@@ -223,7 +218,6 @@ def packetize(
     order: Sequence[str],
     size: Column | None = None,
     limit: int = MAX_PACKET_SIZE,
-    shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """Add ``tp_size``, ``tp_packet`` and ``tp_packet_offset`` (both from 0) to each row.
 
@@ -242,10 +236,6 @@ def packetize(
         to_line(F.struct(*map(quoted, shard))).alias("tp_key"),
     )
     sort = [quoted(name) for name in (*shard, *order)]
-    largest = rows.groupBy(*map(quoted, shard)).count().agg(F.max("count")).first()[0]
-    if largest is None or largest <= shard_rows:
-        walked = sized.repartition(*map(quoted, shard)).sortWithinPartitions(*sort)
-        return walked.mapInArrow(_numberer(limit, None), kept)
     # the entry states hold only for these very partitions, so they must not be computed anew
     ranged = sized.repartitionByRange(*sort).sortWithinPartitions(*sort)
     blocks = written_once(ranged.withColumn("tp_block", F.spark_partition_id()))

@@ -10,6 +10,7 @@ import time
 import urllib.request
 import uuid
 from collections.abc import Callable, Iterable
+from urllib.error import HTTPError
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,7 @@ from topicflow.sources.catalog import check_name
 from topicflow.storage import written_once
 
 ATTEMPTS = 5
+TIMEOUT = 60.0  # seconds a receiver may take to answer
 PAUSE = 0.1  # seconds, times the number of attempts so far
 SHARD_ROWS = 1_000_000
 
@@ -65,13 +67,15 @@ def file_delivery(destination: str) -> Deliver:
     return deliver
 
 
-def http_delivery(destination: str, opener: Callable = urllib.request.urlopen) -> Deliver:
-    """POST packets to a URL. Any answer but 200 is a failure."""
+def http_delivery(
+    destination: str, opener: Callable = urllib.request.urlopen, timeout: float = TIMEOUT
+) -> Deliver:
+    """POST packets to a URL. Any answer but 200 is a failure, as is none within ``timeout`` seconds."""
 
     def deliver(packet_id: str, body: bytes) -> None:
         headers = {"Content-Type": "application/x-ndjson", "X-Packet-Id": packet_id}
         request = urllib.request.Request(destination, data=body, headers=headers, method="POST")
-        with opener(request) as answer:
+        with opener(request, timeout=timeout) as answer:
             if answer.status != 200:
                 raise OSError(f"{destination} answered {answer.status}")
 
@@ -83,15 +87,19 @@ def delivery(destination: str) -> Deliver:
 
 
 def with_retry(deliver: Deliver, packet_id: str, body: bytes, pause: float = PAUSE) -> int:
-    """Deliver, trying again after a growing pause. Returns the number of attempts."""
+    """Deliver, trying again after a growing pause. Returns the number of attempts.
+
+    Only what may pass is tried again: errors of input and output, but not an answer that blames the request.
+    """
     attempt = 1
     while True:
         try:
             deliver(packet_id, body)
             return attempt
-        except Exception as error:
-            if attempt == ATTEMPTS:
-                raise PushFailed(f"{packet_id}: {ATTEMPTS} attempts failed, last with {error!r}") from error
+        except OSError as error:
+            refused = isinstance(error, HTTPError) and 400 <= error.code < 500 and error.code not in (408, 429)
+            if refused or attempt == ATTEMPTS:
+                raise PushFailed(f"{packet_id}: {attempt} attempts failed, last with {error!r}") from error
         time.sleep(pause * attempt)
         attempt += 1
 
@@ -165,16 +173,12 @@ def push(
     check_encodable(rows.select(*map(quoted, user_columns(rows))).schema)
     deliver = deliver or delivery(destination)
     shard = [F.col("tp_producer"), F.col("tp_batch_id"), F.col("tp_shard")]
-    lines = rows.select(
-        "tp_producer",
-        "tp_batch_id",
-        F.expr(f"tp_offset div {int(shard_rows)}").alias("tp_shard"),
-        "tp_offset",
-        F.concat(envelope(rows), F.lit("\n")).alias("tp_line"),
-    )
+    # columns are shuffled, not their text
+    dealt = rows.withColumn("tp_shard", F.expr(f"tp_offset div {int(shard_rows)}"))
+    dealt = dealt.repartition(*shard).sortWithinPartitions(*shard, "tp_offset")
+    lines = dealt.select(*shard, "tp_offset", F.concat(envelope(rows), F.lit("\n")).alias("tp_line"))
     lines = lines.withColumn("tp_size", F.octet_length("tp_line").cast("bigint"))
-    lines = lines.withColumn("tp_key", F.concat_ws("/", *shard))
-    sorted_lines = lines.repartition(*shard).sortWithinPartitions(*shard, "tp_offset")
+    sorted_lines = lines.withColumn("tp_key", F.concat_ws("/", *shard))
     return written_once(sorted_lines.mapInArrow(_pusher(topic, deliver, limit, pause), _RECEIPT))
 
 

@@ -5,17 +5,17 @@ from __future__ import annotations
 ACTIONS = """
 actions as (
   select event_id as seq,
-    case when event_id % 103 = 9 then null
-         when event_id % 50 = 0 then 'actionSubscribe'
+    case when event_id % 50 = 0 then 'actionSubscribe'
          when event_id % 50 = 49 then 'actionUnsubscribe'
+         when event_id % 103 = 9 then null
          when event_id % 10 = 5 then 'actionFetchStream'
          when event_id % 97 = 3 then 'actionFetchSchema'
          when event_id % 101 = 7 then 'actionBogus'
          else 'actionSendStream' end as action,
-    case when event_id % 61 = 4 then null
+    case when event_id % 61 = 4 and event_id % 50 not in (0, 49) then null
          when event_id % 67 = 5 then 'topic-x'
          else concat('topic-', cast(user_id % 3 as varchar(9))) end as topic,
-    case when event_id % 59 = 2 then null
+    case when event_id % 59 = 2 and event_id % 50 not in (0, 49) then null
          when event_id % 50 = 49
            then concat('subscriber-', cast(cast(floor(event_id / 50.0) as bigint) - 2 as varchar(9)))
          else concat('subscriber-', cast(cast(floor(event_id / 50.0) as bigint) + 1 - user_id % 5 as varchar(9)))
@@ -67,15 +67,15 @@ assigned as (
 
 PACKETS = """
 with recursive e as (
-  select user_id, event_id, (16 + strlen(event_type) + strlen(props))::bigint as sz,
-         row_number() over (partition by user_id order by event_id) as rn from events),
+  select {shard} as shard, event_id, (16 + strlen(event_type) + strlen(props))::bigint as sz,
+         row_number() over (partition by {shard} order by event_id) as rn from events),
 r as (
-  select user_id, event_id, sz, rn, 0::bigint as packet, sz as acc from e where rn = 1
+  select shard, event_id, sz, rn, 0::bigint as packet, sz as acc from e where rn = 1
   union all
-  select e.user_id, e.event_id, e.sz, e.rn,
+  select e.shard, e.event_id, e.sz, e.rn,
          r.packet + case when r.acc >= 200 then 1 else 0 end,
          case when r.acc >= 200 then e.sz else r.acc + e.sz end
-  from r join e on e.user_id = r.user_id and e.rn = r.rn + 1)
+  from r join e on e.shard = r.shard and e.rn = r.rn + 1)
 """
 
 WORDS = """
@@ -93,23 +93,23 @@ from events
 
 
 def oracle_sql() -> dict[str, str]:
-    packets = f"{PACKETS} select user_id, event_id, sz as size, packet from r"
+    packets = f"{PACKETS} select events.*, sz as size, packet from r join events using (event_id)"
     return {
         "topic_roundtrip": "select * from events",
         "topic_table": "select * from lineitem",
         "topic_replay_idempotent": "select * from events",
-        "with_receive_time": "select event_id, '2024-03-01 12:30:45.678' as received from events",
+        "with_receive_time": "select *, '2024-03-01 12:30:45.678' as received from events",
         "row_ids": "select *, '7-' || (row_number() over (order by event_id) - 1) as id from events",
         "row_extra": """
-            select event_id, cast(7 as bigint) as batch_id,
-                   row_number() over (order by event_id) - 1 as offset_in_batch from events""",
+            select cast(7 as bigint) as batch_id, row_number() over (order by event_id) - 1 as offset_in_batch,
+                   '2024-03-01 12:30:45.678' as received from events""",
         "original_rows": "select * from events",
         "offset_range": """
             with placed as (
               select *, row_number() over (
                 order by case o_orderstatus when 'F' then 0 when 'O' then 1 else 2 end, o_orderkey) - 1 as position
-              from orders where o_orderstatus in ('F', 'O', 'P'))
-            select o_orderkey, o_custkey, o_totalprice, position from placed
+              from orders)
+            select * from placed
             where position > (select count(*) // 4 from orders)
               and position <= (select 3 * count(*) // 4 from orders)""",
         "batch_receipts": """
@@ -119,14 +119,31 @@ def oracle_sql() -> dict[str, str]:
                    cast(sum(strlen(cast(l_orderkey as varchar))) as bigint) as bytes
             from lineitem group by 1, 2""",
         "topic_filter": """
-            select event_id, event_type as topic, user_id, props from events where event_type = 'purchase'""",
+            select * rename (event_type as topic) from events where event_type = 'purchase'""",
         "subscribe_from_now": """
-            select 'early' as subscriber, event_id, event_type, props from events
+            select 'early' as subscriber, * from events
             union all
-            select 'late', event_id, event_type, props from events where event_type not in ('view', 'click')""",
+            select 'late', * from events where coalesce(event_type not in ('view', 'click'), true)""",
+        "unsubscribe": """
+            select 'stays' as subscriber, * from events
+            union all
+            select 'leaves', * from events where event_type in ('view', 'click')""",
+        "source_from_now": """
+            select *, '2024-03-01 12:30:45.678' as _TIMESTAMP_ from events
+            where coalesce(event_type not in ('view', 'click'), true)""",
+        "topic_schema": """
+            with counted as (unpivot (select count(columns(*)) from events) on columns(*) into name name value "values")
+            select cast(d.place as integer) as place, d.column_name as name,
+                   case d.column_type when 'BIGINT' then 'bigint' when 'DOUBLE' then 'double'
+                        when 'VARCHAR' then 'string' when 'TIMESTAMP' then 'timestamp_ntz' end as type,
+                   c."values"
+            from (select *, row_number() over () - 1 as place from (describe events)) d
+            join counted c on c.name = d.column_name
+            union all
+            select (select count(*) from (describe events)), '_TIMESTAMP_', 'timestamp', count(*) from events""",
         "fetch_incremental": """
-            select cast(case when event_type in ('view', 'click') then 1 else 2 end as integer) as fetch_no,
-                   event_id, user_id, event_type from events""",
+            select cast(case when event_type in ('view', 'click') then 1 else 2 end as integer) as fetch_no, *
+            from events""",
         "word_count": WORD_COUNT,
         "word_count_stream": WORD_COUNT,
         "split_words": """
@@ -140,16 +157,23 @@ def oracle_sql() -> dict[str, str]:
             with o as (select *, row_number() over (order by conv_id, turn) - 1 as line_no from conversations)
             select cast(-1 as bigint) as line_no, '++++++++topic=turns++++++++' as line
             union all
-            select line_no, 'RowEx([' || conv_id || ',' || turn || ',' || role || '],3,' || line_no
+            select line_no, 'RowEx([' || coalesce(conv_id::varchar, 'null') || ',' || coalesce(turn::varchar, 'null')
+                            || ',' || coalesce(role, 'null') || ',' || coalesce(text, 'null') || '],3,' || line_no
                             || ',2024-03-01 12:30:45.678)' from o""",
         "collector_rows": """
-            select event_id, user_id, event_type, props, row_number() over (order by event_id) - 1 as tp_offset,
+            select *, row_number() over (order by event_id) - 1 as tp_offset,
                    'site-a' as tp_producer, cast(0 as bigint) as tp_batch_id from events""",
-        "packetize": packets,
-        "packetize_large_shards": packets,
-        "packet_offsets": f"""{PACKETS}
-            select user_id, event_id, packet,
-                   row_number() over (partition by user_id, packet order by event_id) - 1 as packet_offset from r""",
+        "collector_producers": """
+            with parted as (
+              select *, case when event_type in ('view', 'click') then '007' else '7' end as tp_producer from events)
+            select *, row_number() over (partition by tp_producer order by event_id) - 1 as tp_offset,
+                   cast(5 as bigint) as tp_batch_id from parted""",
+        "packetize": packets.format(shard="user_id"),
+        "packetize_large_shards": packets.format(shard="event_type"),
+        "packet_offsets": f"""{PACKETS.format(shard="user_id")}
+            select events.*, packet,
+                   row_number() over (partition by shard, packet order by event_id) - 1 as packet_offset
+            from r join events using (event_id)""",
         "json_roundtrip": "select * from events",
         "json_roundtrip_items": "select * from lineitem",
         "json_roundtrip_arrays": """
@@ -157,6 +181,8 @@ def oracle_sql() -> dict[str, str]:
                    cast(unnest(embedding) as double) as element from embeddings""",
         "packet_push_ingest": STAMPED_EVENTS,
         "dedup_redelivery": STAMPED_EVENTS,
+        "dedup_late_rows": STAMPED_EVENTS,
+        "ingest_topic": STAMPED_EVENTS,
         "dedup_table": STAMPED_EVENTS,
         "push_receipts": """
             select (n - 1) // 1000 as shard, cast(count(*) as bigint) as rows, cast(1 as integer) as attempts
@@ -166,7 +192,7 @@ def oracle_sql() -> dict[str, str]:
                    'events' as topic from events""",
         "kafka_records_json": """
             select '3-' || (row_number() over (order by conv_id, turn) - 1) as key,
-                   '{"conv_id":' || conv_id || ',"turn":' || turn || ',"role":"' || role || '"}' as value,
+                   cast(json_object('conv_id', conv_id, 'turn', turn, 'role', role, 'text', text) as varchar) as value,
                    'turns' as topic from conversations""",
         "classify_requests": f"with {ACTIONS} select seq, status from judged",
         "classify_requests_kafka": f"""

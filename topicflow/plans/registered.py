@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicflow.errors import InvalidSubscription
 from topicflow.functions import codec, rows, text
 from topicflow.operators import audit, dedup, kafka, packets, push
 from topicflow.sources import catalog, log
-from topicflow.sources.packets import read_packets
+from topicflow.sources.packets import ingest, ingested, read_packets
 from topicflow.storage import fresh_folder
 from topicflow.streaming import sink, subscriptions
 from topicflow.streaming.listeners import Collector, printed_lines
@@ -75,26 +77,29 @@ BROWSING = ("view", "click")
 
 def in_two_parts(events: DataFrame) -> list[DataFrame]:
     """First the browsing events, then all others."""
-    browsing = F.col("event_type").isin(*BROWSING)
+    browsing = F.coalesce(F.col("event_type").isin(*BROWSING), F.lit(False))
     return [events.where(browsing), events.where(~browsing)]
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The events read as a log of requests, and the topics that exist."""
+    """The events read as a log of requests, and the topics that exist.
+
+    Subscribing and unsubscribing requests lack nothing, so numbers given to subscriptions and named later agree.
+    """
     number = "cast(cast(floor(event_id / 50.0) as bigint) %s as varchar(9))"
     actions = table(spark, sf_dir, "events").selectExpr(
         "event_id as seq",
-        """case when event_id % 103 = 9 then null
-                when event_id % 50 = 0 then 'actionSubscribe'
+        """case when event_id % 50 = 0 then 'actionSubscribe'
                 when event_id % 50 = 49 then 'actionUnsubscribe'
+                when event_id % 103 = 9 then null
                 when event_id % 10 = 5 then 'actionFetchStream'
                 when event_id % 97 = 3 then 'actionFetchSchema'
                 when event_id % 101 = 7 then 'actionBogus'
                 else 'actionSendStream' end as action""",
-        """case when event_id % 61 = 4 then null
+        """case when event_id % 61 = 4 and event_id % 50 not in (0, 49) then null
                 when event_id % 67 = 5 then 'topic-x'
                 else concat('topic-', cast(user_id % 3 as varchar(9))) end as topic""",
-        f"""case when event_id % 59 = 2 then null
+        f"""case when event_id % 59 = 2 and event_id % 50 not in (0, 49) then null
                 when event_id % 50 = 49 then concat('subscriber-', {number % '- 2'})
                 else concat('subscriber-', {number % '+ 1 - user_id % 5'}) end as subscriber_id""",
         "case when event_id % 71 = 6 then null else event_id end as batch_id",
@@ -153,7 +158,9 @@ def with_receive_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed = F.lit(FIXED_TIME).cast("timestamp")
     root = events_topic(spark, sf_dir, received_at=fixed)
     timed = drained(log.topic_source(spark, root, "events", includes_timestamp=True))
-    return timed.select("event_id", F.col(catalog.TIMESTAMP_COLUMN).cast("string").alias("received"))
+    return timed.select(
+        *timed.columns[:-1], F.col(catalog.TIMESTAMP_COLUMN).cast("string").alias("received")
+    )
 
 
 @query
@@ -163,10 +170,13 @@ def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stamps as a struct, flattened without the time."""
-    stored_rows = log.read_topic(spark, events_topic(spark, sf_dir), "events")
-    return stored_rows.select("event_id", "tp_batch_id", "tp_offset").withColumnsRenamed(
-        {"tp_batch_id": "batch_id", "tp_offset": "offset_in_batch"}
+    """The stamps as a struct, flattened."""
+    root = events_topic(spark, sf_dir, received_at=F.lit(FIXED_TIME).cast("timestamp"))
+    extra = rows.extra(log.read_topic(spark, root, "events")).select("extra.*")
+    return extra.select(
+        F.col("tp_batch_id").alias("batch_id"),
+        F.col("tp_offset").alias("offset_in_batch"),
+        F.col("tp_ts").cast("string").alias("received"),
     )
 
 
@@ -180,12 +190,13 @@ def offset_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The middle half of a producer's rows, by position over its three batches."""
     orders = table(spark, sf_dir, "orders")
     root = space_for(spark, {"orders": orders})
-    for batch_id, status in enumerate("FOP"):
-        part = orders.where(F.col("o_orderstatus") == status)
+    part_of = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    for batch_id in range(3):
+        part = orders.where(part_of == batch_id)
         log.publish(spark, root, "orders", part, producer="site-a", batch_id=batch_id, order_by=["o_orderkey"])
     count = orders.count()
     found = log.offset_range(spark, root, "orders", "site-a", start=count // 4, end=3 * count // 4)
-    return found.select("o_orderkey", "o_custkey", "o_totalprice", F.col("tp_position").alias("position"))
+    return found.select(*orders.columns, F.col("tp_position").alias("position"))
 
 
 @query
@@ -193,9 +204,11 @@ def batch_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Receipts of two producers on one topic, one batch per return flag."""
     items = table(spark, sf_dir, "lineitem")
     root = space_for(spark, {"items": items})
-    for batch_id, flag in enumerate("ANR"):
-        for producer, status in (("site-f", "F"), ("site-o", "O")):
-            part = items.where((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status))
+    part_of = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    filled = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    for batch_id in range(3):
+        for producer, chosen in (("site-f", filled), ("site-o", ~filled)):
+            part = items.where((part_of == batch_id) & chosen)
             log.publish(spark, root, "items", part, producer=producer, batch_id=batch_id)
     return log.receipts(log.read_topic(spark, root, "items"), size=F.length(F.col("l_orderkey").cast("string")))
 
@@ -204,7 +217,7 @@ def batch_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as messages, the event type being the topic: what a subscription to one topic gets."""
     messages = table(spark, sf_dir, "events").withColumnRenamed("event_type", "topic")
-    return audit.for_topic(messages, "purchase").select("event_id", "topic", "user_id", "props")
+    return audit.for_topic(messages, "purchase")
 
 
 # --- subscriptions ---------------------------------------------------------------------------------------------------
@@ -221,7 +234,7 @@ def subscribe_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
         if batch_id == 0:
             subscriptions.subscribe(spark, root, "events", "late")
     early, late = (
-        subscriptions.fetch(spark, root, name).select(F.lit(name).alias("subscriber"), "event_id", "event_type", "props")
+        subscriptions.fetch(spark, root, name).select(F.lit(name).alias("subscriber"), *events.columns)
         for name in ("early", "late")
     )
     return early.unionByName(late)
@@ -238,10 +251,66 @@ def fetch_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         if part is not None:
             log.publish(spark, root, "events", part, producer="site-a", batch_id=batch_id)
         got = subscriptions.fetch(spark, root, "reader")
-        fetched.append(got.select(F.lit(batch_id + 1).alias("fetch_no"), "event_id", "user_id", "event_type"))
+        fetched.append(got.select(F.lit(batch_id + 1).alias("fetch_no"), *events.columns))
     return fetched[0].unionByName(fetched[1]).unionByName(fetched[2])
 
 
+@query
+def unsubscribe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One of two subscriptions ends between two batches: its name gives nothing any more, the other one goes on."""
+    events = table(spark, sf_dir, "events")
+    root = space_for(spark, {"events": events})
+    got = []
+    for name in ("leaves", "stays"):
+        subscriptions.subscribe(spark, root, "events", name)
+    for batch_id, part in enumerate(in_two_parts(events)):
+        log.publish(spark, root, "events", part, producer="site-a", batch_id=batch_id)
+        for name in ("leaves", "stays"):
+            try:
+                fresh = subscriptions.fetch(spark, root, name)
+            except InvalidSubscription:
+                continue
+            got.append(fresh.select(F.lit(name).alias("subscriber"), *events.columns))
+        if batch_id == 0:
+            subscriptions.unsubscribe(spark, root, "leaves")
+    return reduce(DataFrame.unionByName, got)
+
+
+@query
+def source_from_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream source that begins between two batches, with the receive time."""
+    events = table(spark, sf_dir, "events")
+    root = space_for(spark, {"events": events})
+    before, after = in_two_parts(events)
+    log.publish(spark, root, "events", before, producer="site-a", batch_id=0)
+    stream = subscriptions.source_from_now(spark, root, "events", includes_timestamp=True)
+    fixed = F.lit(FIXED_TIME).cast("timestamp")
+    log.publish(spark, root, "events", after, producer="site-a", batch_id=1, received_at=fixed)
+    return drained(stream).withColumn(catalog.TIMESTAMP_COLUMN, F.col(catalog.TIMESTAMP_COLUMN).cast("string"))
+
+
+@query
+def topic_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A topic made from a sample: names and types as looked up, and how many values each column got."""
+    events = table(spark, sf_dir, "events")
+    root = fresh_folder(spark, "space")
+    catalog.create_topic_like(spark, root, "events", events.limit(1))
+    log.publish(spark, root, "events", events, producer="site-a", batch_id=0)
+    known = catalog.source_schema(catalog.fetch_schema(spark, root, "events"), includes_timestamp=True)
+    found = log.topic_source(spark, root, "events", stream=False, includes_timestamp=True)
+    counts = found.agg(*[F.count(rows.quoted(field.name)).alias(field.name) for field in known])
+    shown = [
+        F.struct(
+            F.lit(place).alias("place"),
+            F.lit(field.name).alias("name"),
+            F.lit(field.dataType.simpleString()).alias("type"),
+            rows.quoted(field.name).alias("values"),
+        )
+        for place, field in enumerate(known)
+    ]
+    return counts.select(F.inline(F.array(*shown)))
+
+
 # --- text ------------------------------------------------------------------------------------------------------------
 
 
@@ -281,7 +350,7 @@ def split_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def printed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines a printer shows for the conversations, received at a fixed time."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    turns = table(spark, sf_dir, "conversations")
     root = space_for(spark, {"turns": turns})
     log.publish(
         spark,
@@ -312,8 +381,19 @@ def collector_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_by=["event_id"],
         trigger=ONCE,
     ).awaitTermination()
-    kept = collector.get(spark, "events")
-    return kept.select("event_id", "user_id", "event_type", "props", "tp_offset", "tp_producer", "tp_batch_id")
+    return collector.get(spark, "events", source.schema).drop("tp_ts")
+
+
+@query
+def collector_producers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collector keeps apart what two producers with names like numbers sent under the same batch id."""
+    events = table(spark, sf_dir, "events")
+    root = space_for(spark, {"events": events})
+    collector = Collector(f"{root}/collected")
+    for producer, part in zip(("007", "7"), in_two_parts(events), strict=True):
+        options = dict(producer=producer, batch_id=5, order_by=["event_id"], listeners=[collector])
+        sink.publish_and_notify(spark, root, "events", part, **options)
+    return collector.get(spark, "events", events.schema).drop("tp_ts")
 
 
 # --- packets ---------------------------------------------------------------------------------------------------------
@@ -323,34 +403,29 @@ PUSH_LIMIT = 64 * 1024
 SHARD = 1000
 
 
-def sized_packets(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "props")
+def sized_packets(spark: SparkSession, sf_dir: str, shard: str) -> DataFrame:
+    events = table(spark, sf_dir, "events")
     size = F.lit(16) + F.octet_length("event_type") + F.octet_length("props")
-    return packets.packetize(events, shard=["user_id"], order=["event_id"], size=size, limit=PACKET_LIMIT, **options)
+    cut = packets.packetize(events, shard=[shard], order=["event_id"], size=size, limit=PACKET_LIMIT)
+    return cut.withColumnsRenamed({"tp_size": "size", "tp_packet": "packet", "tp_packet_offset": "packet_offset"})
 
 
 @query
 def packetize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packets of each user's events."""
-    return sized_packets(spark, sf_dir).select(
-        "user_id", "event_id", F.col("tp_size").alias("size"), F.col("tp_packet").alias("packet")
-    )
+    return sized_packets(spark, sf_dir, "user_id").drop("packet_offset")
 
 
 @query
 def packetize_large_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same packets when every shard counts as too large for one partition."""
-    return sized_packets(spark, sf_dir, shard_rows=1).select(
-        "user_id", "event_id", F.col("tp_size").alias("size"), F.col("tp_packet").alias("packet")
-    )
+    """Packets of each type of event: a few shards, each over many partitions."""
+    return sized_packets(spark, sf_dir, "event_type").drop("packet_offset")
 
 
 @query
 def packet_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of rows within their packets."""
-    return sized_packets(spark, sf_dir).select(
-        "user_id", "event_id", F.col("tp_packet").alias("packet"), F.col("tp_packet_offset").alias("packet_offset")
-    )
+    return sized_packets(spark, sf_dir, "user_id").drop("size")
 
 
 @query
@@ -388,7 +463,7 @@ def pushed(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
         # each round has a folder of its own, as if another link had delivered it
         push.push(stored_rows, "events", as_url(f"{landing}/events/link={copy}"), limit=PUSH_LIMIT, shard_rows=SHARD)
     arrived = codec.accepted(read_packets(spark, f"{landing}", "events", events.schema, recursiveFileLookup="true"))
-    return arrived if times == 1 else dedup.drop_redelivered(arrived, "1 hour")
+    return arrived if times == 1 else dedup.drop_redelivered(arrived)
 
 
 def as_url(path: str) -> str:
@@ -406,6 +481,36 @@ def dedup_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(pushed(spark, sf_dir, 2)).drop("tp_ts")
 
 
+def link_sends(spark: SparkSession, sf_dir: str, parts: list[str], together: bool) -> DataFrame:
+    """Parts of the stored events are pushed one after the other and taken in, each at once or all at the end."""
+    events = table(spark, sf_dir, "events")
+    fixed = F.lit(FIXED_TIME).cast("timestamp") + F.make_dt_interval(secs=F.col("event_id"))
+    root = space_for(spark, {"events": events})
+    log.publish(
+        spark, root, "events", events, producer="site-a", batch_id=7, order_by=["event_id"], received_at=fixed
+    )
+    stored_rows = log.read_topic(spark, root, "events")
+    for link, part in enumerate(parts):
+        landing = as_url(f"{root}/landing/events/link={link}")
+        push.push(stored_rows.where(part), "events", landing, limit=PUSH_LIMIT, shard_rows=SHARD)
+        if not together or link == len(parts) - 1:
+            options = dict(checkpoint=f"{root}/checkpoints/in", trigger=ONCE, recursiveFileLookup="true")
+            ingest(spark, f"{root}/landing", "events", events.schema, f"{root}/in", **options).awaitTermination()
+    return ingested(spark, f"{root}/in", events.schema).drop("tp_ts")
+
+
+@query
+def dedup_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newer rows arrive first, older ones in a later trigger, then all of them again: each is kept once."""
+    return link_sends(spark, sf_dir, ["tp_offset % 3 > 0", "tp_offset % 3 = 0", "true"], together=False)
+
+
+@query
+def ingest_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries that overlap, taken in with one trigger."""
+    return link_sends(spark, sf_dir, ["tp_offset % 2 = 0", "true"], together=True)
+
+
 @query
 def dedup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on a table."""
@@ -433,7 +538,7 @@ def kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kafka_records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that carry the whole row."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    turns = table(spark, sf_dir, "conversations")
     root = space_for(spark, {"turns": turns})
     log.publish(spark, root, "turns", turns, producer="site-a", batch_id=3, order_by=["conv_id", "turn"])
     return kafka.kafka_records(log.read_topic(spark, root, "turns"), "turns", "json")
@@ -468,16 +573,14 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def drain_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = audited(spark, sf_dir)
-    return audit.drain_assignment(steps.deliveries, steps.fetches)
+    return audit.drain_assignment(steps.sends, steps.spans)
 
 
 @query
 def undelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = audited(spark, sf_dir)
-    return audit.undelivered(steps.sends, audit.drain_assignment(steps.deliveries, steps.fetches))
+    return audited(spark, sf_dir).undelivered
 
 
 @query
 def lost_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    steps = audited(spark, sf_dir)
-    return audit.lost_copies(audit.drain_assignment(steps.deliveries, steps.fetches))
+    return audited(spark, sf_dir).lost_copies

@@ -36,7 +36,7 @@ from topicflow.storage import Store
 TASK_BITS = 33  # Spark's row ids: task number above, row number within the task in the low 33 bits
 ROW_MASK = (1 << TASK_BITS) - 1
 BASE_DIGITS = 19
-BROADCAST_BATCHES = 100_000  # batches of a range, two numbers each, that may be broadcast
+FOLLOW_ALL = {"maxFileAge": "36500d"}  # file streams skip files far older than the newest one, if not told otherwise
 
 
 class Receipt(NamedTuple):
@@ -217,9 +217,15 @@ def file_schema(schema: T.StructType) -> T.StructType:
     )
 
 
+def stamped_schema(schema: T.StructType) -> T.StructType:
+    """The topic's columns and the stamps, as reading a topic gives them."""
+    kinds = {"tp_producer": T.StringType(), "tp_ts": T.TimestampType()}
+    return T.StructType(schema.fields + [T.StructField(name, kinds.get(name, T.LongType())) for name in STAMPS])
+
+
 def _files(spark: SparkSession, root: str, topic: str, stream: bool = False, **options) -> DataFrame:
     """The topic's files as stored, without offsets: enough for plain rows and for counting."""
-    reader = spark.readStream if stream else spark.read
+    reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
     return reader.schema(file_schema(fetch_schema(spark, root, topic))).options(**options).parquet(log_dir(root, topic))
 
 
@@ -281,26 +287,32 @@ def receipts(rows: DataFrame, *more: str, size: Column | None = None) -> DataFra
 
 
 def batch_positions(spark: SparkSession, root: str, topic: str, producer: str) -> DataFrame:
-    """First position of each batch among its producer's rows; one line per batch, counted from the file footers."""
-    files = _files(spark, root, topic).where(F.col("tp_producer") == producer)
-    counted = files.groupBy("tp_producer", "tp_batch_id").agg(F.count(F.lit(1)).alias("rows"))
-    earlier = Window.partitionBy("tp_producer").orderBy("tp_batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    """First position of each announced batch among its producer's rows; one line per batch, from the announcements."""
+    lines = spark.read.schema("producer string, batch_id bigint, rows bigint").json(commits_dir(root, topic))
+    counted = lines.where(F.col("producer") == producer).select(F.col("batch_id").alias("tp_batch_id"), "rows")
+    earlier = Window.orderBy("tp_batch_id").rowsBetween(Window.unboundedPreceding, -1)
     return counted.withColumn("first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
 
 
 def offset_range(spark: SparkSession, root: str, topic: str, producer: str, end: int, start: int = -1) -> DataFrame:
-    """Rows of a producer at positions in (start, end], counted over all its batches, as column ``tp_position``."""
+    """Rows of a producer at positions in (start, end], counted over all its announced batches, as ``tp_position``.
+
+    Only the folders between the first and the last batch touched are read, and of the last one no files that begin
+    behind the end.
+    """
     rows = read_topic(spark, root, topic).where(F.col("tp_producer") == producer)
     batches = batch_positions(spark, root, topic, producer)
     touched = batches.where((F.col("first") <= end) & (F.col("first") + F.col("rows") - 1 > start))
-    firsts = touched.select("tp_batch_id", "first")
-    few = firsts.limit(BROADCAST_BATCHES + 1).collect()
-    if not few:
+    low, last = touched.agg(F.min("tp_batch_id"), F.max(F.struct("tp_batch_id", "first"))).first()
+    if last is None:
         return rows.withColumn("tp_position", F.lit(None).cast("bigint")).limit(0)
-    if len(few) <= BROADCAST_BATCHES:  # the usual case: no shuffle, and only the folders between these are read
-        ids = [row["tp_batch_id"] for row in few]
-        rows = rows.where(F.col("tp_batch_id").between(min(ids), max(ids)))
-        firsts = F.broadcast(spark.createDataFrame(few, firsts.schema))
-    placed = rows.join(firsts, "tp_batch_id")
+    schema = fetch_schema(spark, root, topic)
+    base = F.substring(F.col("_metadata.file_name"), 1, BASE_DIGITS).cast("bigint")
+    files = _files(spark, root, topic).where(
+        (F.col("tp_producer") == producer)
+        & F.col("tp_batch_id").between(low, last["tp_batch_id"])
+        & ((F.col("tp_batch_id") < last["tp_batch_id"]) | (base <= end - last["first"]))
+    )
+    placed = _stamped(files, schema).join(touched.select("tp_batch_id", "first"), "tp_batch_id")
     position = (F.col("first") + F.col("tp_offset")).alias("tp_position")
     return placed.select(*map(quoted, rows.columns), position).where(F.col("tp_position").between(start + 1, end))

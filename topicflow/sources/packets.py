@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from topicflow.functions.codec import CORRUPT, parse, unpacked
+from topicflow.functions.codec import CORRUPT, accepted, parse, rejected, unpacked
+from topicflow.operators.dedup import store_batch, stored_arrivals
 from topicflow.sources.catalog import as_schema, check_name
+from topicflow.sources.log import FOLLOW_ALL, stamped_schema
 
 
 def read_packets(
@@ -27,7 +30,7 @@ def read_packets(
             T.StructField("r", schema),
         ]
     )
-    reader = spark.readStream if stream else spark.read
+    reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
     lines = reader.options(**options).text(f"{landing}/{check_name('topic', topic)}")
     fields = lines.select("value", unpacked(parse(F.col("value"), line)))
     complete = F.col("p").isNotNull() & F.col("b").isNotNull() & F.col("o").isNotNull() & F.col("r").isNotNull()
@@ -39,3 +42,38 @@ def read_packets(
         F.col("t").alias("tp_ts"),
         F.coalesce(F.col(CORRUPT), F.when(~complete, F.col("value"))).alias(CORRUPT),
     )
+
+
+def ingest(
+    spark: SparkSession,
+    landing: str,
+    topic: str,
+    schema: T.StructType | str,
+    folder: str,
+    *,
+    checkpoint: str,
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """Start a query that takes in the packets of a topic and stores each row once, with the sender's stamps.
+
+    Rows go to ``<folder>/rows``, to be read with :func:`ingested`. Unreadable lines go to ``<folder>/rejected`` as text,
+    again when a micro-batch is repeated.
+    """
+    arrived = read_packets(spark, landing, topic, schema, **options)
+
+    def take(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            store_batch(accepted(batch), f"{folder}/rows")
+            rejected(batch).write.mode("overwrite").text(f"{folder}/rejected/{number}")
+        finally:
+            batch.unpersist()
+
+    writer = arrived.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take)
+    return writer.trigger(**trigger).start() if trigger else writer.start()
+
+
+def ingested(spark: SparkSession, folder: str, schema: T.StructType | str) -> DataFrame:
+    """The rows :func:`ingest` has stored so far, with their stamps."""
+    return stored_arrivals(spark.createDataFrame([], stamped_schema(as_schema(schema))), f"{folder}/rows")

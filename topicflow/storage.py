@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
-from topicflow.errors import InvalidName
+from topicflow.errors import InvalidName, NoSharedFolder
 
 RENAME_THREADS = 16
 
@@ -100,13 +100,21 @@ class Store:
         self._fs.delete(self._path(path), True)
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: the cluster's checkpoint folder, or a local one when none is set."""
+    """The folder all executors see: the one in ``spark.checkpoint.dir``.
+
+    Where it is unset, a program that runs in one process gets a temporary folder; a cluster has to name one.
+    """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="topicflow-")
-        context.setCheckpointDir(folder)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors can reach")
+        folder = _LOCAL_FOLDERS.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="topicflow-")
+        _LOCAL_FOLDERS[context.applicationId] = folder
     return folder.rstrip("/")
 
 
@@ -117,7 +125,9 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 def written_once(frame: DataFrame) -> DataFrame:
     """``frame`` with its partitions fixed on shared storage, so that later jobs see the same ones."""
-    shared_folder(frame.sparkSession)
+    context = frame.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
     return frame.checkpoint()
 
 

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicflow.functions.rows import quoted, user_columns
+from topicflow.sources.catalog import as_schema
+from topicflow.sources.log import stamped_schema
+from topicflow.storage import Store
 
 
 class Collector:
@@ -15,14 +19,20 @@ class Collector:
         self.folder = folder
 
     def __call__(self, topic: str, rows: DataFrame, batch_id: int) -> None:
-        # rows are one stored batch, so producer and batch id are the same in all of them
-        producer = rows.select("tp_producer").first()[0]
-        target = f"{self.folder}/tp_topic={topic}/tp_producer={producer}/tp_batch_id={batch_id}"
-        rows.drop("tp_producer", "tp_batch_id").write.mode("overwrite").parquet(target)
+        rows.write.mode("overwrite").parquet(_arrival(self.folder, topic, rows, batch_id))
 
-    def get(self, spark: SparkSession, topic: str) -> DataFrame:
-        """All arrivals of a topic so far."""
-        return spark.read.parquet(f"{self.folder}/tp_topic={topic}")
+    def get(self, spark: SparkSession, topic: str, schema: T.StructType | str) -> DataFrame:
+        """All arrivals so far of a topic with columns ``schema``, with their stamps. Empty before the first arrival."""
+        schema = stamped_schema(as_schema(schema))
+        folder = f"{self.folder}/{topic}"
+        if not Store(spark, self.folder).exists(folder):
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def _arrival(folder: str, topic: str, rows: DataFrame, batch_id: int) -> str:
+    # rows are one stored batch, so the producer is the same in all of them
+    return f"{folder}/{topic}/{rows.select('tp_producer').first()[0]}/{batch_id}"
 
 
 def _shown(column: Column) -> Column:
@@ -48,12 +58,14 @@ def printed_lines(topic: str, rows: DataFrame) -> DataFrame:
 
 
 class Printer:
-    """Shows the first ``limit`` lines of every arrival."""
+    """Writes the lines of every arrival as text, in order, one folder per (topic, producer, batch).
+
+    A replay overwrites its folder. To look at a few lines, ``show`` the text or :func:`printed_lines`.
+    """
 
-    def __init__(self, limit: int = 20, out=print):
-        self.limit = limit
-        self.out = out
+    def __init__(self, folder: str):
+        self.folder = folder
 
     def __call__(self, topic: str, rows: DataFrame, batch_id: int) -> None:
-        for row in printed_lines(topic, rows).orderBy("line_no").limit(self.limit).collect():
-            self.out(row["line"])
+        lines = printed_lines(topic, rows).orderBy("line_no").select("line")
+        lines.write.mode("overwrite").text(_arrival(self.folder, topic, rows, batch_id))

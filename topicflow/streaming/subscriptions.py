@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.errors import InvalidSubscription
-from topicflow.sources.catalog import check_name, fetch_schema
-from topicflow.sources.log import commits_dir, heads, read_batches, read_topic_stream
+from topicflow.functions.rows import quoted
+from topicflow.sources.catalog import TIMESTAMP_COLUMN, check_name, fetch_schema, source_schema
+from topicflow.sources.log import FOLLOW_ALL, commits_dir, heads, read_batches, read_topic_stream
 from topicflow.storage import Store
 
 BEFORE_ALL = -(1 << 63)
@@ -82,7 +83,8 @@ def announced(
     spark: SparkSession, root: str, subscription: Subscription, *, stream: bool = True, **options
 ) -> DataFrame:
     """Producer and batch id of each batch announced since the start, taken from the file names."""
-    reader = (spark.readStream if stream else spark.read).schema("rows bigint").options(**options)
+    reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
+    reader = reader.schema("rows bigint").options(**options)
     files = reader.json(commits_dir(root, subscription.topic))
     name = F.col("_metadata.file_name")
     producer, batch_id = F.regexp_replace(name, r"^-?\d+\.|\.json$", ""), F.substring_index(name, ".", 1).cast("bigint")
@@ -96,6 +98,31 @@ def subscription_stream(spark: SparkSession, root: str, name: str, **options) ->
     return read_topic_stream(spark, root, subscription.topic, **options).where(after_start(subscription.start))
 
 
+def source_from_now(
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    name: str | None = None,
+    *,
+    includes_timestamp: bool = False,
+    timestamp_column: str = TIMESTAMP_COLUMN,
+    **options,
+) -> DataFrame:
+    """The topic as a stream of what is published from now on: its columns and, when asked for, the receive time last.
+
+    A subscription is opened for it. With the ``name`` of an open subscription the stream begins where that one did, so
+    a restarted program goes on with its checkpoint.
+    """
+    schema = fetch_schema(spark, root, topic)
+    source_schema(schema, includes_timestamp, timestamp_column)
+    if name is None or not Store(spark, root).exists(f"{_folder(root, check_name('subscription', name))}/spec.json"):
+        name = subscribe(spark, root, topic, name).name
+    columns = [quoted(column) for column in schema.fieldNames()]
+    if includes_timestamp:
+        columns.append(F.col("tp_ts").alias(timestamp_column))
+    return subscription_stream(spark, root, name, **options).select(*columns)
+
+
 def fetch(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Everything not fetched yet, as a table over the log; afterwards it counts as fetched.
 
