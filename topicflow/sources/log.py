@@ -294,6 +294,22 @@ def batch_positions(spark: SparkSession, root: str, topic: str, producer: str) -
     return counted.withColumn("first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
 
 
+def _rows_between(
+    spark: SparkSession, root: str, topic: str, producer: str, low: int, last: int, last_offset: int
+) -> DataFrame:
+    """Stored rows of a producer's batches from ``low`` up to files of ``last`` that begin at ``last_offset`` at most.
+
+    All conditions are on folder and file names, so no other file is opened.
+    """
+    schema = fetch_schema(spark, root, topic)
+    files = _files(spark, root, topic).where(F.col("tp_producer") == producer)
+    base = F.substring(F.col("_metadata.file_name"), 1, BASE_DIGITS).cast("bigint")
+    final = _stamped(files.where(F.col("tp_batch_id") == last).where(base <= last_offset), schema)
+    if low == last:
+        return final
+    return _stamped(files.where((F.col("tp_batch_id") >= low) & (F.col("tp_batch_id") < last)), schema).union(final)
+
+
 def offset_range(spark: SparkSession, root: str, topic: str, producer: str, end: int, start: int = -1) -> DataFrame:
     """Rows of a producer at positions in (start, end], counted over all its announced batches, as ``tp_position``.
 
@@ -306,13 +322,6 @@ def offset_range(spark: SparkSession, root: str, topic: str, producer: str, end:
     low, last = touched.agg(F.min("tp_batch_id"), F.max(F.struct("tp_batch_id", "first"))).first()
     if last is None:
         return rows.withColumn("tp_position", F.lit(None).cast("bigint")).limit(0)
-    schema = fetch_schema(spark, root, topic)
-    base = F.substring(F.col("_metadata.file_name"), 1, BASE_DIGITS).cast("bigint")
-    files = _files(spark, root, topic).where(
-        (F.col("tp_producer") == producer)
-        & F.col("tp_batch_id").between(low, last["tp_batch_id"])
-        & ((F.col("tp_batch_id") < last["tp_batch_id"]) | (base <= end - last["first"]))
-    )
-    placed = _stamped(files, schema).join(touched.select("tp_batch_id", "first"), "tp_batch_id")
+    placed = _rows_between(spark, root, topic, producer, low, last["tp_batch_id"], end - last["first"]).join(touched.select("tp_batch_id", "first"), "tp_batch_id")
     position = (F.col("first") + F.col("tp_offset")).alias("tp_position")
     return placed.select(*map(quoted, rows.columns), position).where(F.col("tp_position").between(start + 1, end))
