@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -83,14 +82,10 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Reco
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             full = np.flatnonzero(sizes)
             signs: list[bytes | None] = [None] * len(sets)
-            begin = 0
-            while begin < len(full):
-                end = begin + max(1, int(np.searchsorted(np.cumsum(sizes[full[begin:]]), SET_WORDS, "right")))
-                bounds = np.concatenate([[0], np.cumsum(sizes[full[begin:end]])])
+            for begin, end, bounds in _set_runs(sizes[full]):
                 made = signatures(np.concatenate([sets[i] for i in full[begin:end]]), bounds)
                 for i, row in zip(full[begin:end].tolist(), made, strict=True):
                     signs[i] = row.tobytes()
-                begin = end
             ids = batch.column("doc_id").slice(first, len(sets)).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [ids, pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
@@ -116,59 +111,101 @@ def _keyed(batches: Iterator[pa.RecordBatch], chunks: list[np.ndarray]) -> Itera
                 )
 
 
+def _set_runs(sizes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first, end, bounds) of runs of sets with about ``SET_WORDS`` members together; ``sizes`` are not 0."""
+    begin = 0
+    while begin < len(sizes):
+        ends = np.cumsum(sizes[begin:])
+        count = max(1, int(np.searchsorted(ends, SET_WORDS, "right")))
+        yield begin, begin + count, np.concatenate([[0], ends[:count]])
+        begin += count
+
+
 def _long_signs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node and the longer signature of its full set."""
     for batch in batches:
-        signs = []
-        for members in batch.column("members").to_pylist():
-            values = np.frombuffer(members, np.uint64)
-            signs.append(signatures(values, np.array([0, len(values)]), LONG, seed=1).astype(np.uint8).tobytes())
+        sets = [np.frombuffer(members, np.uint64) for members in batch.column("members").to_pylist()]
+        signs: list[bytes] = []
+        for begin, end, bounds in _set_runs(np.array([len(s) for s in sets], np.int64)):
+            made = signatures(np.concatenate(sets[begin:end]), bounds, LONG, seed=1).astype(np.uint8)
+            signs += [row.tobytes() for row in made]
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(signs, pa.binary())], ["node", "long"])
 
 
-def _blocks_compared(table: pa.Table, percent: int, distance: int, chunks: list[np.ndarray], agree: int) -> pa.Table:
-    """Candidate pairs (a, b) between the open and the other members of one block pair of a key."""
-    sides = []
-    for role in ("open", "all"):
-        side = table.filter(pa.compute.equal(table.column("role"), role))
-        columns = {n: side.column(n).to_numpy() for n in ("node", "label", "n_shingles")}
-        for name, kind, width in (("signature", np.uint16, SYMBOLS), ("long", np.uint8, LONG)):
-            columns[name] = np.frombuffer(b"".join(side.column(name).to_pylist()), kind).reshape(-1, width)
-        sides.append(columns)
-    one, two = sides
-    slot = table.column("slot")[0].as_py()
-    main = table.column("main")[0].as_py()
-    out: list[np.ndarray] = []
-    for first in range(0, len(one["node"]), 32):
-        part = slice(first, first + 32)
-        differs = (one["signature"][part, None] != two["signature"][None]).sum(axis=2)
-        small = np.minimum(one["n_shingles"][part, None], two["n_shingles"][None])
-        large = np.maximum(one["n_shingles"][part, None], two["n_shingles"][None])
-        wanted = (differs <= distance) & (one["label"][part, None] != two["label"][None])
-        wanted &= (two["label"] == main)[None] | (one["node"][part, None] < two["node"][None])
-        wanted &= 100 * small >= percent * large
-        a, b = np.nonzero(wanted)
-        a += first
-        unlike = one["signature"][a] != two["signature"][b]
+class _Members:
+    """Rows of block pairs as arrays."""
+
+    def __init__(self, table: pa.Table):
+        self.open = table.column("open").to_numpy()
+        self.node, self.label, self.main, self.size, self.slot = (
+            table.column(name).to_numpy() for name in ("node", "label", "main", "n_shingles", "slot")
+        )
+        self.sign = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint16).reshape(-1, SYMBOLS)
+        self.long = np.frombuffer(b"".join(table.column("long").to_pylist()), np.uint8).reshape(-1, LONG)
+
+
+def _pairs(rows: _Members, begin: int, end: int, percent: int, distance: int, chunks, agree: int) -> np.ndarray:
+    """Candidate pairs between the open and the other members of one block pair, rows ``begin`` to ``end``."""
+    opened = rows.open[begin:end]
+    one, two = np.flatnonzero(opened) + begin, np.flatnonzero(~opened) + begin
+    out = [np.empty((0, 2), np.int64)]
+    for first in range(0, len(one) if len(two) else 0, 32):
+        part = one[first : first + 32]
+        left, right = rows.size[part][:, None], rows.size[two][None]
+        wanted = rows.label[part][:, None] != rows.label[two][None]
+        wanted &= (rows.label[two] == rows.main[begin])[None] | (rows.node[part][:, None] < rows.node[two][None])
+        wanted &= 100 * np.minimum(left, right) >= percent * np.maximum(left, right)
+        if not wanted.any():
+            continue
+        wanted &= (rows.sign[part][:, None] != rows.sign[two][None]).sum(axis=2) <= distance
+        x, y = np.nonzero(wanted)
+        if not len(x):
+            continue
+        a, b = part[x], two[y]
+        unlike = rows.sign[a] != rows.sign[b]
         bad = np.stack([unlike[:, chunk].sum(axis=1) for chunk in chunks], axis=1)
         chunk = (bad <= 1).argmax(axis=1)  # the first key they share
         place = np.zeros(len(a), np.int64)
-        for number, symbols in enumerate(chunks):
+        for number in set(chunk.tolist()):
             mine = chunk == number
-            place[mine] = unlike[mine][:, symbols].argmax(axis=1)
-        here = (chunk << 8 | place) == slot
+            place[mine] = unlike[mine][:, chunks[number]].argmax(axis=1)
+        here = (chunk << 8 | place) == rows.slot[begin]
         a, b = a[here], b[here]
-        near = np.concatenate(
-            [np.empty(0, bool)]
-            + [
-                (one["long"][a[i : i + 4096]] == two["long"][b[i : i + 4096]]).sum(axis=1) >= agree
-                for i in range(0, len(a), 4096)
-            ]
-        )
-        x, y = one["node"][a[near]], two["node"][b[near]]
-        out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-    pairs = np.concatenate([np.empty((0, 2), np.int64), *out]).astype(np.int64)
-    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+        for at in range(0, len(a), 4096):
+            i, j = a[at : at + 4096], b[at : at + 4096]
+            near = (rows.long[i] == rows.long[j]).sum(axis=1) >= agree
+            ends = np.stack([rows.node[i[near]], rows.node[j[near]]], 1)
+            out.append(np.sort(ends, axis=1))
+    return np.concatenate(out)
+
+
+def _blocks_compared(batches, percent: int, distance: int, chunks, agree: int) -> Iterator[pa.RecordBatch]:
+    """a, b: candidate pairs of all block pairs; rows come sorted by block pair, which may span batches."""
+    held: list[pa.RecordBatch] = []
+
+    def compared(table: pa.Table, whole: bool) -> tuple[np.ndarray, int]:
+        """The pairs of the finished block pairs, and where the unfinished one begins."""
+        marks = np.stack([table.column(n).to_numpy().astype(np.int64) for n in ("key", "slot", "i", "j")])
+        cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+        borders = [0, *cuts.tolist()] + ([table.num_rows] if whole else [])
+        rows = _Members(table)
+        found = [np.empty((0, 2), np.int64)]
+        for begin, end in zip(borders[:-1], borders[1:], strict=True):
+            if end - begin > 1:
+                found.append(_pairs(rows, begin, end, percent, distance, chunks, agree))
+        return np.concatenate(found), borders[-1]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        pairs, rest = compared(table, whole=False)
+        held = table.slice(rest).to_batches()
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+    if held:
+        pairs, _ = compared(pa.Table.from_batches(held), whole=True)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
@@ -311,20 +348,20 @@ class _Join:
         )
         block = "pmod(xxhash64(node), {})"
         rows = (
-            members.withColumn("role", F.explode(F.expr("if(label <> main, array('open', 'all'), array('all'))")))
-            .withColumn("own", F.expr(f"if(role = 'open', {block.format('open_blocks')}, {block.format('blocks')})"))
-            .withColumn("other", F.explode(F.expr("sequence(0, if(role = 'open', blocks, open_blocks) - 1)")))
-            .withColumn("i", F.expr("if(role = 'open', cast(own as int), other)"))
-            .withColumn("j", F.expr("if(role = 'open', other, cast(own as int))"))
-            .select("key", "slot", "i", "j", "role", "node", "label", "main")
+            members.withColumn("open", F.explode(F.expr("if(label <> main, array(true, false), array(false))")))
+            .withColumn("own", F.expr(f"cast(if(open, {block.format('open_blocks')}, {block.format('blocks')}) as int)"))
+            .withColumn("other", F.explode(F.expr("sequence(0, if(open, blocks, open_blocks) - 1)")))
+            .withColumns({"i": F.expr("if(open, own, other)"), "j": F.expr("if(open, other, own)")})
+            .select("key", "slot", "i", "j", "open", "node", "label", "main")
         )
         percent, distance, chunks = self.percent, self.distance, self.chunks
         agree = least_agreements(percent)
         return (
             rows.join(signs, "node")
-            .groupBy("key", "slot", "i", "j")
-            .applyInArrow(
-                lambda table: _blocks_compared(table, percent, distance, chunks, agree), "a bigint, b bigint"
+            .repartition("key", "slot", "i", "j")
+            .sortWithinPartitions("key", "slot", "i", "j")
+            .mapInArrow(
+                lambda batches: _blocks_compared(batches, percent, distance, chunks, agree), "a bigint, b bigint"
             )
         )
 
