@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from topicflow.llm import licenses
+
 _ORACLES: dict[str, str] = {}
 
 
@@ -27,3 +31,89 @@ fits as (
 select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict
 from urls left join fits using (host, path)
 """  # noqa: E501
+
+LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PLAIN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACED = r"[^\x20\x09-\x0D]+"
+
+
+def _words(pattern: str) -> str:
+    return f"coalesce(regexp_extract_all({LOWER.format('text')}, '{pattern}'), [])"
+
+
+_ORACLES["op3_near_duplicates"] = f"""
+with recursive docs as (
+    select row_number() over () as r, doc_id, {_words(SPACED)} as w from documents),
+sets as (
+    select r, doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] end) as s from docs),
+shingles as (select r, len(s) as n, unnest(s) as x from sets),
+links as (
+    select a.r as a, b.r as b from shingles a join shingles b on a.x = b.x and a.r <> b.r
+    group by a.r, b.r, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(a, b) as (
+    select r, r from sets union select reach.a, links.b from reach join links on reach.b = links.a),
+components as (select reach.a as r, min(s.doc_id) as component_id from reach join sets s on s.r = reach.b group by 1)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join components using (r)
+"""
+
+_ORACLES["op6_decontamination"] = f"""
+with docs as (select row_number() over () as r, doc_id, {_words(PLAIN)} as w from documents),
+items as (
+    select cast(item_id as varchar) as item, w, least(10, len(w)) as n
+    from (select item_id, {_words(PLAIN)} as w from benchmark where item_id is not null) where len(w) > 0),
+windows as (
+    select distinct item, n, array_to_string(w[i + 1:i + n], ' ') as x
+    from (select item, w, n, unnest(range(len(w) - n + 1)) as i from items)),
+places as (
+    select r, n, i, array_to_string(w[i + 1:i + n], ' ') as x
+    from (select r, w, n, unnest(range(len(w) - n + 1)) as i
+          from docs, (select distinct n from windows) where len(w) >= n)),
+hits as (select r, i, p.n as n, item from places p join windows using (n, x)),
+covered as (
+    select r, count(distinct pos) as n_hit
+    from (select r, unnest(range(i, i + n)) as pos from (select distinct r, i, n from hits)) group by r),
+found as (
+    select r, count(*) as n_items, string_agg(item, ',' order by item) as names
+    from (select distinct r, item from hits) group by r)
+select doc_id, len(w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (r) left join found using (r)
+"""
+
+
+def _license_sql() -> str:
+    known = ", ".join(
+        "({}, '{}')".format(n, " ".join(re.findall(r"[^\W_]+", text.lower()))) for n, text in licenses.SENTENCES.items()
+    )
+    rules = ", ".join(f"('{name}', {len(ids)}, '{','.join(map(str, ids))}')" for name, ids in licenses.RULES)
+    mark = "chr(1)"
+    cut = rf"regexp_replace(text, '([.;!?])[ \t]+', '\1' || {mark}, 'g')"
+    cut = rf"regexp_replace({cut}, '[\r\n]+', {mark}, 'g')"
+    cut = rf"regexp_replace({cut}, '\),[ \t]*', ')' || {mark}, 'g')"
+    return rf"""
+with known(sentence_id, sentence) as (values {known}),
+rules(license, n, ids) as (values {rules}),
+cut as (select row_number() over () as r, doc_id, string_split({cut}, {mark}) as parts from documents),
+sentences as (
+    select r, doc_id, unnest(range(len(parts))) as place,
+        trim(regexp_replace(lower(unnest(parts)), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) as sentence from cut),
+found as (
+    select r, doc_id, list({{'place': place, 'id': sentence_id}} order by place) as k
+    from sentences join known using (sentence) group by r, doc_id),
+starts as (select r, doc_id, k, unnest(range(len(k))) as pos from found),
+matched as (
+    select r, doc_id, pos, k[pos + 1].place as place, arg_min({{'license': license, 'n': n, 'ids': ids}}, (-n, license)) as best
+    from starts join rules on array_to_string([x.id for x in k[pos + 1:pos + n]], ',') = ids
+    group by all),
+ended as (
+    select *, max(pos + best.n) over (
+        partition by r order by pos rows between unbounded preceding and 1 preceding) as reach from matched)
+select doc_id, best.license as license, cast(place as integer) as place, cast(best.n as integer) as n_sentences,
+    best.ids as sentence_ids
+from ended where reach is null or reach < pos + best.n
+"""
+
+
+_ORACLES["op10_license_scan"] = _license_sql()

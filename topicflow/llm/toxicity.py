@@ -48,10 +48,13 @@ _TABLES = (mixed(np.arange(1, ORDER * 256 + 1, dtype=np.uint64)) >> np.uint64(64
 
 
 class Letters:
-    """Texts joined into one array of letter codes, with the starts of texts and of sentences."""
+    """Texts joined into one array of letter codes, with the starts of texts and of sentences.
+
+    A text begins at the blank before it, so that its first word has one as every other word.
+    """
 
     def __init__(self, texts: list[str]):
-        joined = "\n".join(texts) + "\n" * SPAN
+        joined = "\n" + "\n".join(texts) + "\n" * (SPAN + 1)
         # lower-casing letter by letter keeps the places
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         lowered = joined.lower()
@@ -64,7 +67,7 @@ class Letters:
         narrow = np.minimum(points, 255).astype(np.int64)
         self.space = _SPACE[narrow] & (points < 256)
         self.codes = ((low ^ (low >> 8) * 31) & 0xFF).astype(np.uint8)
-        self.points = low
+        self.points = np.where(self.space, np.uint32(32), low)
         count = len(self.codes)
         self.codes[self.space] = 32
         stops = np.where(self.space, np.arange(count), count)
@@ -122,7 +125,7 @@ def _profile(group: str) -> dict[int, float]:
     found: Counter[int] = Counter()
     for at, value, decay in Letters([group]).subsequences():
         last = round(np.log(decay) / np.log(DECAY)) - 1
-        for one in value[at + last < len(group)].tolist():
+        for one in value[(at > 0) & (at + last <= len(group))].tolist():
             found[one] += decay
     return dict(found)
 
