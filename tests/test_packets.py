@@ -1,12 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from topicflow.operators.packets import Cutter, _exits, packetize
+from topicflow.operators import packets
+from topicflow.operators.packets import Cutter, _Described, _describer, _exits, packetize
 
 
 def naive(sizes, limit):
@@ -46,10 +48,41 @@ def test_exits_foresee_every_entry(sizes, limit, filled, rows):
     assert left == (cutter.packet, cutter.filled, cutter.rows)
 
 
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(st.lists(st.tuples(st.sampled_from("aab"), st.integers(0, 12)), min_size=1, max_size=12), min_size=1, max_size=5),
+    st.integers(1, 30),
+    st.integers(0, 29),
+)
+def test_described_together_like_one_after_the_other(blocks, limit, filled):
+    """Blocks in order of their keys: entering them together leaves the same state as entering each in turn."""
+    rows = sorted((key, at, size) for at, (key, size) in enumerate(row for block in blocks for row in block))
+    cuts = np.cumsum([len(block) for block in blocks])[:-1]
+    described = []
+    for number, part in enumerate(np.split(np.array(rows, dtype=object), cuts)):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in part]), pa.array([number] * len(part), pa.int32()), pa.array([r[2] for r in part], pa.int64())],
+            ["tp_key", "tp_block", "tp_size"],
+        )
+        described.append(_Described(pa.Table.from_batches(list(_describer(limit)(iter([batch]))))))
+    state = (3, min(filled, limit - 1), 2)
+    wanted, last = state, described[0].first_key
+    for block in described:
+        wanted = block.leave(wanted if block.first_key == last else (0, 0, 0), limit)
+        last = block.last_key
+    whole = described[0]
+    for block in described[1:]:
+        whole.followed_by(block, limit)
+    again = _Described(whole.lines(0))  # through the lines it is sent as
+    assert whole.leave(state, limit) == again.leave(state, limit) == wanted and whole.last_key == last
+
+
+@pytest.mark.parametrize("group", [1, 2, 64])
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("constant", [False, True])
-def test_agrees_with_counting_by_hand(spark, seed, constant):
+def test_agrees_with_counting_by_hand(spark, monkeypatch, seed, constant, group):
     """One shard holds most rows; every size class of packets is tried."""
+    monkeypatch.setattr(packets, "GROUP_BLOCKS", group)
     chance = random.Random(seed)
     data = [
         (None if shard == 9 else f"s{shard}", at, 7 if constant else chance.randrange(0, 40))

@@ -3,8 +3,8 @@
 A packet ends with the first row that brings it to the limit, so it may pass the limit by one row. Where a packet ends
 depends on where the one before it ended, which makes the cut sequential within a shard. So rows are range-partitioned by
 (shard, order), and a large shard covers many partitions (blocks). Each block describes, in a small table, how it would
-leave the packet state for every state it could be entered with; these tables are chained to find the state each block
-is entered with; then all blocks are walked in parallel.
+leave the packet state for every state it could be entered with. Tables of neighbouring blocks are put together, these
+are chained, and so the state each block is entered with is found; then all blocks are walked in parallel.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 
 from topicflow.functions.codec import to_line
 from topicflow.functions.rows import quoted
-from topicflow.storage import written_once
+from topicflow.storage import fresh_folder, stored, written_once
 
+GROUP_BLOCKS = 64  # neighbouring blocks that are described as one
 MAX_PACKET_SIZE = 10 * 1024 * 1024  # fixed value: the default limit of a packet
 
 
@@ -204,11 +205,123 @@ def _chainer(limit: int):
     return run
 
 
+class _Described:
+    """A block, or several in a row, by how it would leave the packet state."""
+
+    def __init__(self, table: pa.Table):
+        head = table.slice(0, 1).to_pylist()[0]
+        self.first_key, self.last_key, self.single = head["first_key"], head["last_key"], head["single"]
+        self.left = (head["packets"], head["filled"], head["rows"])
+        names = ("need", "packets", "filled", "rows")
+        self.exits = {name: table.column(name).slice(1).to_numpy().astype(np.int64) for name in names}
+
+    def leave(self, state: tuple[int, int, int], limit: int) -> tuple[int, int, int]:
+        """The state after it, entered in the same shard with ``state``."""
+        if not self.single:
+            return self.left
+        packet, filled, rows = state
+        found = int(np.searchsorted(self.exits["need"], limit - filled))
+        if found == len(self.exits["need"]):
+            return packet, filled + self.left[1], rows + self.left[2]
+        return packet + int(self.exits["packets"][found]), *(int(self.exits[name][found]) for name in ("filled", "rows"))
+
+    def followed_by(self, other: _Described, limit: int) -> None:
+        """Become both together."""
+        same = other.first_key == self.last_key
+        if self.single and same and other.single:
+            mine, theirs = self.exits, other.exits
+            at = np.searchsorted(theirs["need"], limit - mine["filled"])
+            ends = at < len(theirs["need"])
+            after = {
+                "packets": mine["packets"].copy(),
+                "filled": mine["filled"] + other.left[1],
+                "rows": mine["rows"] + other.left[2],
+            }
+            after["packets"][ends] += theirs["packets"][at[ends]]
+            for name in ("filled", "rows"):
+                after[name][ends] = theirs[name][at[ends]]
+            # entries that pass all of this one: the other ends them, with more bytes missing
+            later = np.concatenate([[0], theirs["need"][:-1]])[: len(theirs["need"])] + self.left[1] < limit
+            after["need"] = mine["need"]
+            theirs = theirs | {"need": theirs["need"] + self.left[1]}
+            self.exits = {name: np.concatenate([after[name], theirs[name][later]]) for name in theirs}
+            self.left = (0, self.left[1] + other.left[1], self.left[2] + other.left[2])
+        elif self.single and same:
+            self.left = other.left
+        else:
+            self.left = other.leave(self.left if same else (0, 0, 0), limit)
+        if not (self.single and same and other.single):
+            self.single, self.exits = False, {name: column[:0] for name, column in self.exits.items()}
+        self.last_key = other.last_key
+
+    def lines(self, number: int) -> pa.Table:
+        count = 1 + len(self.exits["need"])
+        rest = [None] * (count - 1)
+        numbers = zip(("packets", "filled", "rows"), self.left, strict=True)
+        columns = {
+            "tp_block": pa.array([number] * count, pa.int32()),
+            "tp_step": pa.array(range(-1, count - 1), pa.int64()),
+            "first_key": pa.array([self.first_key, *rest], pa.string()),
+            "last_key": pa.array([self.last_key, *rest], pa.string()),
+            "single": pa.array([self.single, *rest], pa.bool_()),
+            "need": pa.array([None, *self.exits["need"].tolist()], pa.int64()),
+        }
+        columns |= {n: pa.array([head, *self.exits[n].tolist()], pa.int64()) for n, head in numbers}
+        return pa.table(columns)
+
+
+def _in_order(lines: pa.Table) -> Iterator[tuple[int, _Described]]:
+    """The blocks among lines of block descriptions."""
+    lines = lines.sort_by([("tp_block", "ascending"), ("tp_step", "ascending")]).combine_chunks()
+    for begin, end in _runs(lines.column("tp_block").combine_chunks()):
+        yield lines.column("tp_block")[begin].as_py(), _Described(lines.slice(begin, end - begin))
+
+
+def _joiner(limit: int, size: int):
+    """Describe a group of neighbouring blocks as one."""
+
+    def run(lines: pa.Table) -> pa.Table:
+        (first, whole), *others = _in_order(lines.drop_columns(["tp_group"]))
+        for _, block in others:
+            whole.followed_by(block, limit)
+        return whole.lines(first // size)
+
+    return run
+
+
+def _walker(limit: int, size: int, entered: dict[int, tuple[int, int, int]]):
+    """The states the blocks of a group are entered with."""
+
+    def run(lines: pa.Table) -> pa.Table:
+        entries, state, last = [], None, None
+        for number, block in _in_order(lines.drop_columns(["tp_group"])):
+            if state is None:
+                state = entered[number // size]
+            elif block.first_key != last:
+                state = (0, 0, 0)
+            entries.append((number, *state))
+            state, last = block.leave(state, limit), block.last_key
+        names = ("tp_block", "packet", "filled", "rows")
+        columns = dict(zip(names, zip(*entries, strict=True), strict=True))
+        return pa.table({n: pa.array(c, pa.int32() if n == "tp_block" else pa.int64()) for n, c in columns.items()})
+
+    return run
+
+
 def _entry_states(blocks: DataFrame, limit: int) -> dict[int, tuple[int, int, int]]:
-    """State at the start of each block: one short entry per partition."""
+    """State at the start of each block: one short entry per partition.
+
+    Groups of neighbouring blocks are described as one, in parallel; only these descriptions are chained by one task;
+    then the blocks of each group are walked, again in parallel.
+    """
     described = blocks.select("tp_key", "tp_block", "tp_size").mapInArrow(_describer(limit), _BLOCK)
-    chained = described.repartition(1).sortWithinPartitions("tp_block", "tp_step").mapInArrow(_chainer(limit), _ENTRY)
-    return {row["tp_block"]: (row["packet"], row["filled"], row["rows"]) for row in chained.collect()}
+    described = stored(described, fresh_folder(blocks.sparkSession, "blocks"))
+    grouped = described.withColumn("tp_group", F.expr(f"tp_block div {GROUP_BLOCKS}")).groupBy("tp_group")
+    groups = grouped.applyInArrow(_joiner(limit, GROUP_BLOCKS), _BLOCK)
+    chained = groups.repartition(1).sortWithinPartitions("tp_block", "tp_step").mapInArrow(_chainer(limit), _ENTRY)
+    entered = {row["tp_block"]: (row["packet"], row["filled"], row["rows"]) for row in chained.collect()}
+    walked = grouped.applyInArrow(_walker(limit, GROUP_BLOCKS, entered), _ENTRY)
+    return {row["tp_block"]: (row["packet"], row["filled"], row["rows"]) for row in walked.collect()}
 
 
 def packetize(
