@@ -146,7 +146,7 @@ def test_losing_the_race_for_a_batch_keeps_the_first(spark, root, topic, monkeyp
     original_exists = Store.exists
     with monkeypatch.context() as patch:
         patch.setattr(Store, "exists", blind_once)
-        patch.setattr(log, "newest_batch", lambda *_: None)
+        patch.setattr(log, "_settled_head", lambda *_: {})
         receipt = log.publish(spark, root, topic, numbers(spark, 99, 2), producer="p", batch_id=0)
     assert receipt == (topic, "p", 0, 10, True)
     assert log.read_topic(spark, root, topic).count() == 10
@@ -250,3 +250,23 @@ def test_columns_with_dots_and_spaces(spark, root):
     log.publish(spark, root, "t", frame, producer="p", batch_id=0)
     assert log.topic_source(spark, root, "t", stream=False).collect() == frame.collect()
     assert views.with_id(log.read_topic(spark, root, "t")).columns == ["a.b", "c d", "id"]
+
+
+def test_publishing_does_not_list_earlier_batches(spark, root, topic, monkeypatch):
+    for batch_id in range(3):
+        log.publish(spark, root, topic, numbers(spark, 4, 1), producer="p", batch_id=batch_id)
+    listed = []
+    original = Store.names
+    monkeypatch.setattr(Store, "names", lambda self, path: listed.append(path) or original(self, path))
+    log.publish(spark, root, topic, numbers(spark, 4, 1), producer="p", batch_id=3)
+    assert listed == [] and log.heads(Store(spark, root), root, topic) == {"p": 3}
+
+
+def test_a_damaged_head_is_made_up_for(spark, root, topic):
+    store = Store(spark, root)
+    for batch_id in (1, 2):
+        log.publish(spark, root, topic, numbers(spark, 4, 1), producer="p", batch_id=batch_id)
+    store.write_text(log.head_path(root, topic, "p"), '{"new')
+    with pytest.raises(StaleBatch):
+        log.publish(spark, root, topic, numbers(spark, 4, 1), producer="p", batch_id=0)
+    assert log.heads(store, root, topic) == {"p": 2}

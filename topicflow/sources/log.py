@@ -69,21 +69,42 @@ def announcement(root: str, topic: str, producer: str, batch_id: int) -> str:
     return f"{commits_dir(root, topic)}/{batch_id}.{producer}.json"
 
 
-def newest_batch(store: Store, root: str, topic: str, producer: str) -> int | None:
-    """Highest committed batch id of a producer."""
-    names = store.names(producer_dir(root, topic, producer))
-    ids = [int(name.removeprefix("tp_batch_id=")) for name in names if name.startswith("tp_batch_id=")]
-    return max(ids, default=None)
+def head_path(root: str, topic: str, producer: str) -> str:
+    return f"{root}/heads/{topic}/{producer}.json"
+
+
+def _read_head(store: Store, root: str, topic: str, producer: str) -> dict[str, int]:
+    """``newest``: highest announced batch id of a producer; ``pending``: a later one that may be stored already.
+
+    One small file per producer. A file damaged by a crash is made up for by looking at all of the producer's batches.
+    """
+    path = head_path(root, topic, producer)
+    if not store.exists(path):
+        return {}
+    try:
+        return json.loads(store.read_text(path))
+    except ValueError:
+        names = store.names(producer_dir(root, topic, producer))
+        ids = sorted(int(name.removeprefix("tp_batch_id=")) for name in names if name.startswith("tp_batch_id="))
+        return {"newest": ids[-2], "pending": ids[-1]} if ids[1:] else {"pending": ids[0]} if ids else {}
+
+
+def _settled_head(store: Store, root: str, topic: str, producer: str) -> dict[str, int]:
+    """The head after finishing what an earlier publisher may have left: a batch stored, but not announced."""
+    head = _read_head(store, root, topic, producer)
+    pending = head.pop("pending", None)
+    if pending is not None and store.exists(batch_dir(root, topic, producer, pending)):
+        _stored_receipt(store, root, topic, producer, pending)
+        head = {"newest": max(pending, head.get("newest", pending))}
+        store.write_text(head_path(root, topic, producer), json.dumps(head))
+    return head
 
 
 def heads(store: Store, root: str, topic: str) -> dict[str, int]:
     """Highest announced batch id of every producer of a topic."""
-    found: dict[str, int] = {}
-    for name in store.names(commits_dir(root, topic)):
-        if not name.startswith("_"):
-            batch_id, _, producer = name.removesuffix(".json").partition(".")
-            found[producer] = max(int(batch_id), found.get(producer, int(batch_id)))
-    return found
+    producers = [name.removesuffix(".json") for name in store.names(f"{root}/heads/{topic}") if name.endswith(".json")]
+    found = {producer: _read_head(store, root, topic, producer).get("newest") for producer in producers}
+    return {producer: newest for producer, newest in found.items() if newest is not None}
 
 
 # --- writing ---------------------------------------------------------------------------------------------------------
@@ -158,13 +179,11 @@ def publish(
     check_rows(rows.schema, fetch_schema(spark, root, topic))
     check_name("producer", producer)
     store, target = Store(spark, root), batch_dir(root, topic, producer, batch_id)
+    head = _settled_head(store, root, topic, producer)
     if store.exists(target):
         return _stored_receipt(store, root, topic, producer, batch_id)
-    newest = newest_batch(store, root, topic, producer)
-    if newest is not None:
-        if batch_id <= newest:
-            raise StaleBatch(f"{producer}: batch {batch_id} after batch {newest}")
-        _stored_receipt(store, root, topic, producer, newest)
+    if batch_id <= head.get("newest", batch_id - 1):
+        raise StaleBatch(f"{producer}: batch {batch_id} after batch {head['newest']}")
 
     staging = f"{root}/staging/{uuid.uuid4().hex}"
     try:
@@ -180,9 +199,14 @@ def publish(
         if count == 0:
             return Receipt(topic, producer, batch_id, 0, False)
         store.write_text(f"{staging}/ready/_receipt.json", json.dumps({"rows": count}))
+        place = head_path(root, topic, producer)
+        store.mkdirs(place.rpartition("/")[0])
+        store.write_text(place, json.dumps(head | {"pending": batch_id}))
         if not store.commit(f"{staging}/ready", target):
             return _stored_receipt(store, root, topic, producer, batch_id)
-        return _announce(store, root, Receipt(topic, producer, batch_id, count, False))
+        receipt = _announce(store, root, Receipt(topic, producer, batch_id, count, False))
+        store.write_text(place, json.dumps({"newest": batch_id}))
+        return receipt
     finally:
         store.drop(staging)
 
