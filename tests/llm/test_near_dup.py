@@ -83,6 +83,26 @@ def test_one_of_each_keeps_columns_and_one_row(spark):
     assert kept.where("text is null").count() == 2
 
 
+def test_groups_without_ids(spark):
+    """Copies and near copies whose rows have no id: one stays, and those with an id go first."""
+    words = [f"w{i}" for i in range(60)]
+    near = [*words[:-1], "x"]
+    other = [f"o{i}" for i in range(60)]
+    rows = [(None, " ".join(words))] * 5 + [(None, " ".join(near)), (None, " ".join(other)), (8, " ".join(other[:-1]))]
+    docs = frame(spark, rows)
+    assert found(docs, 80) == brute(rows, 80)
+    kept = near_dup.one_of_each(docs).collect()
+    assert sorted((r.doc_id is None, r.text[0]) for r in kept) == [(False, "o"), (True, "w")]
+
+
+def test_same_id_with_different_texts(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, one), (3, two), (3, one + " z"), (4, two)]
+    assert found(frame(spark, rows), 80) == brute(rows, 80)
+    kept = near_dup.one_of_each(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text[0]) for r in kept) == [(3, "a"), (3, "b")]
+
+
 def test_chunks_hold_every_pair_within_the_distance():
     distance, chunks = near_dup.plan_chunks(85)
     assert 2 * len(chunks) > distance

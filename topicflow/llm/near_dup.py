@@ -35,6 +35,8 @@ from topicflow.storage import fresh_folder, stored
 
 SYMBOLS = 64
 LONG = 512  # symbols of 8 bits of the longer signature
+# rows with an id come before those without; equal ids are told apart by their texts
+FIRST_ROW = "min(named_struct('no_id', doc_id is null, 'doc_id', doc_id, 'text_hash', text_hash)) as first_row"
 BLOCK = 256  # members of a key that are compared with as many others in one task
 SET_WORDS = 1 << 18  # shingles hashed at a time
 
@@ -74,7 +76,7 @@ def signatures(values: np.ndarray, bounds: np.ndarray, symbols: int = SYMBOLS, s
 
 
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, n_shingles, digest of the set, signature."""
+    """doc_id, hash of the text, n_shingles, digest of the set, signature."""
     for batch in batches:
         for first, data, offsets in text_blocks(batch.column("text")):
             sets = list(shingle_sets(*word_hashes(data, offsets, SPACED), shingle))
@@ -86,10 +88,10 @@ def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.Reco
                 made = signatures(np.concatenate([sets[i] for i in full[begin:end]]), bounds)
                 for i, row in zip(full[begin:end].tolist(), made, strict=True):
                     signs[i] = row.tobytes()
-            ids = batch.column("doc_id").slice(first, len(sets)).cast(pa.int64())
+            ids, hashes = (batch.column(name).slice(first, len(sets)) for name in ("doc_id", "text_hash"))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
-                ["doc_id", "n_shingles", "digest", "signature"],
+                [ids, hashes, pa.array(sizes), pa.array(digests, pa.binary()), pa.array(signs, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "digest", "signature"],
             )
 
 
@@ -250,12 +252,13 @@ class _Join:
 
     def __init__(self, docs: DataFrame, percent: int, shingle: int):
         self.spark, self.percent, self.shingle = docs.sparkSession, percent, shingle
-        self.texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string"))
+        texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.texts = texts.withColumn("text_hash", F.xxhash64("text"))
         self.distance, self.chunks = plan_chunks(percent)
         self.rows = self._store(
             self.texts.mapInArrow(
                 lambda batches: _signed(batches, shingle),
-                "doc_id bigint, n_shingles bigint, digest binary, signature binary",
+                "doc_id bigint, text_hash bigint, n_shingles bigint, digest binary, signature binary",
             ),
             "rows",
         )
@@ -263,10 +266,11 @@ class _Join:
             self.rows.where("digest is not null")
             .groupBy("digest")
             .agg(
-                F.min("doc_id").alias("doc_id"),
+                F.expr(FIRST_ROW),
                 F.first("n_shingles").alias("n_shingles"),
                 F.first("signature").alias("signature"),
             )
+            .select("digest", "first_row.*", "n_shingles", "signature")
             .withColumn("node", F.monotonically_increasing_id()),
             "classes",
         )
@@ -304,14 +308,24 @@ class _Join:
         return labels if more.isEmpty() else components(links.union(more))
 
     def _sets(self, involved: DataFrame) -> DataFrame:
-        wanted = self.classes.join(involved, "node").select("node", "digest", F.col("doc_id").alias("from_id"))
+        """The full sets of classes, from the texts of their first rows. Rows repeated in full are combined."""
+        wanted = self.classes.join(involved, "node").select(
+            "node", "digest", F.col("doc_id").alias("from_id"), F.col("text_hash").alias("from_hash")
+        )
         shingle = self.shingle
         return (
-            self.texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("from_id")))
+            self.texts.join(wanted, (F.col("text_hash") == F.col("from_hash")) & F.col("doc_id").eqNullSafe(F.col("from_id")))
             .select("node", "digest", "text")
             .mapInArrow(lambda batches: _full_sets(batches, shingle), "node bigint, members binary")
+            .groupBy("node")
+            .agg(F.first("members").alias("members"))
         )
 
+    def placed(self) -> DataFrame:
+        """digest, doc_id and text_hash of its first row, label: every class and its component."""
+        joined = self.classes.join(self.labels(), "node", "left")
+        return joined.select("digest", "no_id", "doc_id", "text_hash", F.coalesce("label", "node").alias("label"))
+
     def _confirm(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         percent = self.percent
         one = sets.select(F.col("node").alias("a"), F.col("members").alias("one"))
@@ -376,14 +390,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
     judged one by one, so rows that share the id are kept together. An empty table gives no rows.
     """
     join = _Join(docs, percent, shingle)
-    labels = join.labels()
-    placed = join.classes.join(labels, "node", "left").select(
-        "digest", "doc_id", F.coalesce("label", "node").alias("label")
-    )
+    placed = join.placed()
     smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     by_digest = join._store(placed.join(smallest, "label").select("digest", "component_id"), "classes")
     found = (
-        join.rows.drop("signature")
+        join.rows.drop("signature", "text_hash")
         .join(by_digest, "digest", "left")
         .withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     )
@@ -392,16 +403,16 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5) -> Dat
 
 def one_of_each(docs: DataFrame, percent: int = 80, shingle: int = 5) -> DataFrame:
     """``docs`` without near copies, all columns as they were: one row of each group stays, the one with the smallest
-    id. Rows without words all stay. Of repeated rows with the same id and shingle set one stays; so do, when ids are
-    null, single members of groups."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    kept_ids = near_duplicates(texts, percent, shingle).where("kept and n_shingles > 0").select("doc_id").distinct()
+    id (with any id before those without). Rows without words all stay; of rows with the same id and text one stays."""
+    join = _Join(docs, percent, shingle)
+    kept = join.placed().groupBy("label").agg(F.expr(FIRST_ROW)).select("first_row.*")
+    kept = kept.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash"))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    names = docs.columns
-    kept = (
+    same_id = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__kept_id"))
+    chosen = (
         docs.where(worded)
-        .join(kept_ids.withColumnRenamed("doc_id", "__kept_id"), F.col("doc_id").eqNullSafe(F.col("__kept_id")))
-        .select(names)
+        .join(kept, (F.xxhash64(F.col("text").cast("string")) == F.col("__kept_hash")) & same_id)
+        .select(docs.columns)
         .dropDuplicates(["doc_id", "text"])
     )
-    return docs.where(~worded).unionByName(kept)
+    return docs.where(~worded).unionByName(chosen)
