@@ -11,26 +11,31 @@ from topicflow.storage import fresh_folder
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents of unknown or ambiguous language. Null and letterless texts go."""
+    queries.small_batches(spark)
     return langid.accepted(docs, langid.train(queries.learnable(docs)))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles, similarity 0.8)."""
+    queries.small_batches(spark)
     return near_dup.one_of_each(docs, percent=80)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold ten consecutive words of a benchmark item."""
+    queries.small_batches(spark)
     return decontaminate.uncontaminated(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut secrets out of the texts; ``n_chars`` follows."""
+    queries.small_batches(spark)
     return queries.redacted(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 1024."""
+    queries.small_batches(spark)
     return packing.pack(docs, queries.encoder, size=1024, end_id=2)
 
 
