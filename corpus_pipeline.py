@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from topicflow.llm import decontaminate, langid, near_dup, packing, queries
 from topicflow.storage import fresh_folder
