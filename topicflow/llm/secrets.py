@@ -1,6 +1,7 @@
 """Secret scans: a random forest over candidates removes the false positives of a broad pattern.
 
-Candidates are long runs of token characters. Each is described by its length, its character transitions, how far the
+Candidates are long runs of token characters, shorter values that are directly assigned to a name that speaks of a secret,
+and the bodies of private keys. Each is described by its length, its character transitions, how far the
 letter groups of the corpus (its dictionary) cover it, the path of its document and the words around it. The forest is
 trained by Spark on labelled findings; its trees, a table of bounded size, then judge candidates where they lie, so
 neither findings nor texts are shuffled.
@@ -23,11 +24,27 @@ from pyspark.sql import functions as F
 from topicflow.llm.words import text_blocks
 from topicflow.storage import fresh_folder
 
-CANDIDATE = r"(?<![A-Za-z0-9+/=_-])(?:(?=[A-Za-z+/=_-]*[0-9])[A-Za-z0-9+/=_-]{16,}|[A-Za-z0-9+/=_-]{20,})"
+# '=' only ends a token (padding), so that in KEY=value the name stays in front of the value; the body of a PEM key is one
+CANDIDATE = (
+    r"(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]{20,}+)"
+    r"(?:={1,2}(?![A-Za-z0-9+/=_-]))?"
+    r"|(?<=PRIVATE KEY-----)(?:[A-Za-z0-9+/=\s]|\\[nr]){16,}+"
+)
 BEFORE, AFTER = 48, 24  # characters around a candidate that count as its neighbourhood
 SECRET_WORDS = re.compile(r"(?i)secret|token|passw|pwd|api.?key|access.?key|private.?key|credential|bearer|auth")
 MOCK_WORDS = re.compile(r"(?i)example|sample|dummy|placeholder|changeme|test|xxxx")
-ASSIGNED = re.compile(r"(?i)(?:secret|token|passw\w*|pwd|api[_-]?key|access[_-]?key|credential)\w*\s*[:=]\s*[\"']?$")
+# what stands before a secret: a name and a mark of assignment (an author is no such name), or 'Bearer'; BEFORE at most
+CONTEXT = (
+    r"(?:(?:secret|token|passw|pwd|(?:api|access|private)[ _-]?key|credential|auth(?!or(?!i[sz])))\w{0,20}[\"']?\s{0,4}"
+    r"(?::=|=>|[:=])\s{0,4}(?:[\"']?(?:bearer|basic|token)\s{1,4})?|(?<![A-Za-z])bearer\s{1,4}|PRIVATE KEY-----)[\"']?"
+)
+ASSIGNED = re.compile(rf"(?i){CONTEXT}$")
+# a directly assigned value may be shorter than other candidates: anything in quotes, or a token with a digit
+DIRECT = re.compile(
+    rf"(?i){CONTEXT}(?:(?<=[\"'])(?P<quoted>[!#-&(-~]{{6,}}+)(?=[\"'])|(?P<bare>(?=[A-Za-z+/_-]*+[0-9])"
+    r"[A-Za-z0-9+/_-]{6,}+(?:\.[A-Za-z0-9_-]{8,}+){0,2}(?:={1,2}(?![A-Za-z0-9+/=_-]))?))",
+    re.ASCII,
+)
 LETTERS = 27  # a to z and everything else
 WORD_BUCKETS, PATH_BUCKETS = 8, 4
 MASK = "[SECRET]"
@@ -122,7 +139,7 @@ def describe(value: str, before: str, after: str, path: str, known: Dictionary)
         float(hexes.mean()),
         len(share) / len(raw),
         float(near[-1:] in "\"'" and near != ""),
-        float(re.search(r"[:=]\s*[\"']?$", near) is not None),
+        float(re.search(r"[:=]\s*[\"']?$", near) is not None or ASSIGNED.search(near) is not None),
         float(SECRET_WORDS.search(near) is not None),
         float(MOCK_WORDS.search(near) is not None or MOCK_WORDS.search(value) is not None),
         *buckets,
@@ -131,13 +148,20 @@ def describe(value: str, before: str, after: str, path: str, known: Dictionary)
 
 def candidates(text: str) -> Iterator[tuple[int, int, str, str, str]]:
     """(start, end, value, text before, text after) of every candidate in a text; places count characters."""
+    spans = [found.span(found.lastgroup) for found in DIRECT.finditer(text)]
+    at, last = 0, len(spans)
     for found in re.finditer(CANDIDATE, text, re.ASCII):
-        start, end = found.span()
-        yield start, end, found[0], text[max(0, start - BEFORE) : start], text[end : end + AFTER]
+        while at < last and spans[at][1] <= found.start():
+            at += 1
+        if at == last or found.end() <= spans[at][0]:  # else it is, or is within, a directly assigned value
+            spans.append(found.span())
+    for start, end in sorted(spans):
+        yield start, end, text[start:end], text[max(0, start - BEFORE) : start], text[end : end + AFTER]
 
 
 def rule_label(value: str, before: str, after: str) -> int:
-    """A finding's label by rule, where no labelled ones are given: assigned to a name that speaks of a secret."""
+    """A finding's label by rule, where no labelled ones are given: assigned to a name that speaks of a secret, or
+    behind 'Bearer' or the head of a private key."""
     return int(ASSIGNED.search(before) is not None and MOCK_WORDS.search(before + value) is None)
 
 
