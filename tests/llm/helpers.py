@@ -30,3 +30,10 @@ AWKWARD = [
     (7, "repeated row of seven words here today"), (7, "repeated row of seven words here today"),
     (8, "ÄÖÜ ñandú 漢字 и кириллица " * 3), (9, "word " * 60_000), (10, "x" * 300_000), (11, "\x00 null byte \x7f"),
 ]
+
+
+def surely_picked(spark, texts):
+    """The text that samples by hash take first."""
+    from pyspark.sql import functions as F
+
+    return spark.createDataFrame([(t,) for t in texts], "text string").orderBy(F.expr("pmod(xxhash64(text), 1000003)")).first().text

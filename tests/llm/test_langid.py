@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import AWKWARD, frame
+from helpers import AWKWARD, frame, surely_picked
 
 from topicflow.llm import langid
 
@@ -61,3 +61,13 @@ def test_grams_stay_within_texts():
     alone = [next(langid.features(pa.array([t])))[1][0] for t in ("abc", "de", None, "fgh")]
     together = next(langid.features(pa.array(["abc", "de", None, "fgh"])))[1]
     assert np.array_equal(together, np.stack(alone))
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rng = random.Random(6)
+    hot = surely_picked(spark, [text(rng, "aa", 5) + f" {i}" for i in range(20_000)])
+    rows = [(-1, hot, "aa")] * 3000 + [(i, text(rng, lang), lang) for i, lang in enumerate(list(SYLLABLES) * 60)]
+    learned = langid.train(frame(spark, rows).coalesce(1), per_language=30)
+    asked = [(i, text(rng, lang)) for i, lang in enumerate(list(SYLLABLES) * 10)]
+    found = {r.doc_id: r.lang_pred for r in langid.predict(frame(spark, asked), learned).collect()}
+    assert sum(found[i] == list(SYLLABLES)[i % 3] for i, _ in asked) >= 28

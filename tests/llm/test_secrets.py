@@ -122,3 +122,17 @@ def test_env_url_and_bearer_secrets_are_masked(spark):
     held = [i for i in keys if i >= 400]
     assert sum(out[i] == texts[i].replace(keys[i], secrets.MASK) for i in held) >= 0.97 * len(held)
     assert sum(out[i] != texts[i] for i in out if i not in keys) <= 0.03 * len(out)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    rows, real = findings(7, 200, 0)
+    known = secrets.dictionary(frame(spark, rows))
+    rng = random.Random(8)
+    words = ["".join(rng.choice(HEX) for _ in range(rng.randrange(20, 60))) for _ in range(20_000)]
+    described = [(w, secrets.describe(w, "", "", "s", known)) for w in words]
+    order = spark.createDataFrame(described, "word string, described array<double>")
+    hot = order.orderBy(F.expr("pmod(xxhash64(described), 1000003)")).first().word
+    docs = frame(spark, [(-1, hot)] * 3000 + rows).withColumn("path", F.col("source")).coalesce(1)
+    forest = secrets.train(docs, known, per_label=100)
+    found = secrets.scan(docs.where("doc_id >= 0"), known, forest).where("is_secret").collect()
+    assert len({r.doc_id for r in found} & set(real)) >= 0.9 * len(real)

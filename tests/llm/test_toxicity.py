@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import AWKWARD, frame
+from helpers import AWKWARD, frame, surely_picked
 
 from topicflow.llm import toxicity
 
@@ -79,3 +79,11 @@ def test_kernel_counts_gapped_subsequences():
     for word in ("idiot", "abcabcab", " scum ", "xy"):
         mine, theirs = toxicity._profile(word), profile(word)
         assert np.isclose(sum(mine.values()), sum(theirs.values())) and len(mine) == len(theirs)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    hot = surely_picked(spark, [f"common line {i}" for i in range(20_000)])
+    rows = [(-1, hot, 0)] * 3000 + labelled(3, 300)
+    one = toxicity.train(spark.createDataFrame(rows, "doc_id int, text string, toxic int").coalesce(1), per_label=100)
+    toxic, clean = one.scores(["an idiot here", "an indoor other"])
+    assert toxic > clean

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from topicflow.llm.words import text_blocks
@@ -134,23 +134,29 @@ def _sampled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
 def train(docs: DataFrame, per_language: int = 400) -> Model:
     """Learn from the rows of ``docs`` (text, lang) that have both and a letter in the text.
 
-    Counts cover all rows; the sample is by hash of the text, about ``per_language`` of each language and never more
-    than twice that number times the number of languages.
+    Counts cover all different texts; the sample is by hash of the text, about ``per_language`` texts of each language
+    and never more than twice that number of any. Copies count once.
     """
     usable = docs.where("lang is not null and text is not null").select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")
     )
-    counts = {row.lang: row.n for row in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    different = usable.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    counts = {row.lang: row.n for row in different.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.empty((0, GRAMS), np.float32), np.empty(0, np.int64))
     rates = usable.sparkSession.createDataFrame(
         [(lang, min(1.0, per_language / counts[lang])) for lang in languages], "lang string, rate double"
     )
+    by_hash = Window.partitionBy("lang").orderBy(F.expr("pmod(xxhash64(text), 1000003)"), "text")
     sample = (
         usable.join(F.broadcast(rates), "lang")  # one row per language
-        .where(r"pmod(xxhash64(text), 1000003) / 1000003 < rate and text rlike '\\p{L}'")
-        .limit(2 * per_language * len(languages))
+        .where(r"pmod(xxhash64(text), 1000003) / 1000003 <= rate and text rlike '\\p{L}'")
+        .select("lang", "text")
+        .distinct()
+        .withColumn("rank", F.row_number().over(by_hash))
+        .where(F.col("rank") <= 2 * per_language)
+        .select("lang", "text")
         .mapInArrow(_sampled_features, "lang string, row binary")
         .toLocalIterator()
     )

@@ -203,23 +203,24 @@ def train(
 ) -> Forest:
     """Fit the forest to the findings in ``docs`` (text, path), labelled by ``label(value, before, after)``.
 
-    Of each label about ``per_label`` findings are used, picked by hash. Without findings of both labels the forest is
+    Of each label about ``per_label`` different findings are used, picked by hash, and never more than twice that;
+    findings with equal features count once. Without findings of both labels the forest is
     empty and calls nothing a secret.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("text").cast("string").alias("text"), F.col("path").cast("string").alias("path"))
     found = texts.mapInArrow(lambda rows: _labelled(rows, known, label), "described array<double>, label double")
-    found = found.withColumn("pick", F.pmod(F.xxhash64("described"), F.lit(1_000_003)) / 1_000_003)
+    found = found.distinct().withColumn("pick", F.pmod(F.xxhash64("described"), F.lit(1_000_003)) / 1_000_003)
     folder = fresh_folder(spark, "findings")
     found.write.parquet(folder)
     found = spark.read.parquet(folder)
     counts = {row.label: row.n for row in found.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Forest([])
-    chosen = F.lit(False)
-    for value, n in counts.items():
-        chosen |= (F.col("label") == value) & (F.col("pick") <= per_label / n)
-    sample = found.where(chosen).limit(4 * per_label)
+    sample = found.limit(0)
+    for value, n in sorted(counts.items()):
+        chosen = found.where((F.col("label") == value) & (F.col("pick") <= per_label / n))
+        sample = sample.union(chosen.orderBy("pick", "described").limit(2 * per_label))
     rarer = min(counts.values())
     weights = F.lit(1.0)
     for value, n in counts.items():

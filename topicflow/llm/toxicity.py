@@ -285,16 +285,19 @@ def _sentence_features(letters: Letters, chosen: np.ndarray, place: np.ndarray,
 
 
 def train(labelled: DataFrame, per_label: int = 1500) -> Model:
-    """Learn from ``labelled`` (text, toxic): about ``per_label`` texts of each label, picked by hash of the text, and
-    never more than four times that in all. Rows with null text or label, or another label than 0 or 1, are left out."""
+    """Learn from ``labelled`` (text, toxic): about ``per_label`` different texts of each label, picked by hash of the
+    text, and never more than twice that; copies count once. Rows with null text or label, or another label than 0 or 1,
+    are left out."""
     usable = labelled.where("text is not null and toxic in (0, 1)").select(
         F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")
     )
-    counts = {row.toxic: row.n for row in usable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    chosen = F.lit(False)
+    different = usable.select("toxic", F.xxhash64("text").alias("hash")).distinct()
+    counts = {row.toxic: row.n for row in different.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    pick = F.expr("pmod(xxhash64(text), 1000003) / 1000003")
+    rows = []
     for label, n in counts.items():
-        chosen |= (F.col("toxic") == label) & (F.expr("pmod(xxhash64(text), 1000003) / 1000003") < per_label / n)
-    rows = usable.where(chosen).limit(4 * per_label).collect()
+        chosen = usable.where((F.col("toxic") == label) & (pick <= per_label / n)).distinct()
+        rows += chosen.orderBy(pick, "text").limit(2 * per_label).collect()
     rows.sort(key=lambda row: (row.text, row.toxic))
     return fit([row.text for row in rows], np.array([row.toxic for row in rows], np.int64))
 
