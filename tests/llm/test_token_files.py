@@ -1,0 +1,120 @@
+import mmap
+import random
+import zlib
+
+import numpy as np
+import pytest
+from helpers import AWKWARD, frame
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from topicflow.llm import queries, token_files
+
+P = pytest.importorskip("public_tokenizers")
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(P.path("word_bpe_49k.json"))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 9), st.integers(0, 70_000), st.integers(0, 2**32 - 1)), max_size=1500), st.randoms())
+def test_any_token_is_read_alone(ids, rng):
+    ids = np.array(ids, np.uint32)
+    cuts = sorted(rng.randrange(len(ids) + 1) for _ in range(rng.randrange(4)))
+    starts = np.array([0, *cuts, len(ids)])
+    names = [rng.choice([None, 0, -(2**63), 7]) for _ in starts[1:]]
+    file = token_files.TokenFile(token_files.file_bytes(ids, starts, names) + b"\n")
+    assert file.tokens == len(ids) and file.doc_ids == names
+    places = np.array([rng.randrange(len(ids)) for _ in range(50)] if len(ids) else [], np.int64)
+    assert (file.ids(places) == ids[places]).all()
+    for k in range(len(names)):
+        assert (file.document(k) == ids[starts[k] : starts[k + 1]]).all()
+
+
+def test_widths_are_the_cheapest():
+    rng = np.random.default_rng(1)
+    ids = (2 ** rng.uniform(0, 17, 3000)).astype(np.uint32)
+
+    def bits(widths):
+        total, left = 0, ids
+        for level, width in enumerate(widths):
+            total += len(left) * (width + (level < len(widths) - 1))
+            left = left[left >> width != 0] >> width
+        return total if not len(left) else float("inf")
+
+    some = [[a, b, c] for a in range(1, 17) for b in range(1, 17) for c in range(1, 17)]
+    assert bits(token_files.best_widths(ids, most=3)) == min(map(bits, [[17], *([a, 17 - a] for a in range(1, 17)), *some]))
+
+
+def test_many_blocks_of_rank_and_a_memory_map(tmp_path):
+    rng = np.random.default_rng(2)
+    ids = np.where(rng.random(700_000) < 0.3, rng.integers(0, 2**32, 700_000), rng.integers(0, 40, 700_000)).astype(np.uint32)
+    (tmp_path / "f").write_bytes(token_files.file_bytes(ids, np.array([0, len(ids)]), [1]))
+    with open(tmp_path / "f", "rb") as opened, mmap.mmap(opened.fileno(), 0, access=mmap.ACCESS_READ) as mapped:
+        file = token_files.TokenFile(mapped)
+        places = rng.integers(0, len(ids), 1000)
+        assert (file.ids(places) == ids[places]).all()
+        assert (file.document(0) == ids).all()
+        with pytest.raises(IndexError):
+            file.ids(np.array([len(ids)]))
+        del file
+    with pytest.raises(ValueError):
+        token_files.TokenFile(b"something else")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\ń 　\x1cͅΣσİ'<|>")), max_size=40), max_size=4))
+def test_ids_like_the_whole_text(tokenizer, texts):
+    import pyarrow as pa
+
+    texts = [*texts, "<|endoftext|>a <|startoftext|>\n<|endoftext|><|endoftext|>", "it's  WE'LĹ ́x"]
+    ids, bounds = token_files.SpacedEncoder(tokenizer)(pa.array(texts, pa.string()))
+    found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def expected(docs, tokenizer):
+    order = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
+    at, rows = 0, []
+    for doc, text, *_ in order:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        rows.append((doc, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids))
+        at += len(ids)
+    return rows
+
+
+@pytest.mark.parametrize("shard", [1 << 24, 300])
+def test_round_trip(spark, tokenizer, tmp_path, shard):
+    rng = random.Random(1)
+    docs = list(AWKWARD) + [(i, "".join(rng.choice(["Word ", "zyx", "9 ", "é\n"]) for _ in range(rng.randrange(90)))) for i in range(100, 400)]
+    rng.shuffle(docs)
+    folder = token_files.write(frame(spark, docs), queries.word_encoder, str(tmp_path / "ids"), shard_tokens=shard)
+    wanted = expected(docs, tokenizer)
+    found = sorted(token_files.read_documents(spark, folder).collect(), key=lambda r: r.start)
+    repeated = [r for r in wanted if r[0] in (None, 7)]
+    assert [tuple(r) for r in found if r.doc_id not in (None, 7)] == [r[:4] for r in wanted if r[0] not in (None, 7)]
+    assert sorted(r.ids_crc32 for r in found if r.doc_id in (None, 7)) == sorted(r[3] for r in repeated)
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found[:-1])]).tolist()
+    flat = [i for r in wanted if r[0] is not None for i in r[4]]
+    places = sorted({0, len(flat) - 1, *(rng.randrange(len(flat)) for _ in range(40))})
+    read = {r.place: r.id for r in token_files.tokens_at(spark, folder, places).collect()}
+    assert read == {p: flat[p] for p in places}
+    assert token_files.tokens_at(spark, folder, []).collect() == []
+    assert token_files.tokens_at(spark, folder, [10**12]).collect() == []
+
+
+def test_empty_table(spark, tmp_path):
+    folder = token_files.write(frame(spark, []), queries.word_encoder, str(tmp_path / "ids"))
+    assert token_files.read_documents(spark, folder).collect() == []
+
+
+def test_one_id_for_a_third_of_all_rows(spark, tokenizer, tmp_path):
+    docs = [(5 if i % 3 else i, f"text {i % 50} of {i}") for i in range(600)]
+    folder = token_files.write(frame(spark, docs), queries.word_encoder, str(tmp_path / "ids"))
+    found = token_files.read_documents(spark, folder).collect()
+    assert sorted((r.doc_id, r.ids_crc32) for r in found) == sorted((r[0], r[3]) for r in expected(docs, tokenizer))
+    assert token_files.files(spark, folder).where("docs > 400").count() == 0

@@ -17,9 +17,11 @@ from topicflow.llm import (
     packing,
     pii,
     secrets,
+    token_files,
     toxicity,
     url_filter,
 )
+from topicflow.storage import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -71,6 +73,12 @@ def encoder():
     return packing.byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def word_encoder():
+    import public_tokenizers
+
+    return token_files.spaced_encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql(f"select * from ({URL_RULES}) as t(verdict, host, path)")
@@ -141,3 +149,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licenses(
         table(spark, sf_dir, "documents"), licenses.known_sentences(spark), licenses.known_rules(spark)
     )
+
+
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), word_encoder, folder, end_id=1)
+    return token_files.read_documents(spark, folder)
