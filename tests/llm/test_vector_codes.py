@@ -1,0 +1,128 @@
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from topicflow.llm import vector_codes
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, vector string, code string, error string, salt string, sums string"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, n, "v", "c", "e", "s", "s") for i, v, n in rows], SCHEMA)
+
+
+def brute_force(rows, parts, entries, rounds, scale):
+    """Full scans in Python integers."""
+    rows = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    width = max(1, -(-max((len(v) for _, v, _ in rows), default=0) // parts))
+    bound = vector_codes.largest(width)
+    ints = []
+    for _, v, _ in rows:
+        one = [max(-bound, min(bound, math.floor(float(np.float32(x)) * scale))) for x in v] + [0] * (parts * width - len(v))
+        ints.append([one[p * width : (p + 1) * width] for p in range(parts)])
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, rows[k][1]))[:entries]
+    books = [[list(ints[k][p]) for k in order] for p in range(parts)]
+
+    def assigned():
+        chosen = []
+        for one in ints:
+            chosen.append([
+                min((sum((a - b) ** 2 for a, b in zip(one[p], c, strict=True)), j) for j, c in enumerate(books[p]))
+                for p in range(parts)
+            ])
+        return chosen
+
+    for _ in range(rounds):
+        chosen = assigned()
+        for p in range(parts):
+            for j in range(len(books[p])):
+                mine = [ints[k][p] for k in range(len(ints)) if chosen[k][p][1] == j]
+                if mine:
+                    books[p][j] = [sum(column) // len(mine) for column in zip(*mine, strict=True)]
+    found = [
+        (rows[k][0], bytes(j for _, j in one).hex(), sum(d for d, _ in one), rows[k][2]) for k, one in enumerate(assigned())
+    ]
+    return found, books
+
+
+def clustered(rng, n, dims):
+    centres = rng.normal(size=(7, dims))
+    return [(centres[rng.integers(7)] + 0.2 * rng.normal(size=dims)).astype(np.float32).tolist() for _ in range(n)]
+
+
+def checked(spark, rows, **how):
+    how = {"parts": 4, "entries": 5, "rounds": 6, "scale": 64} | how
+    trained = vector_codes.train(table(spark, rows).repartition(3), **how)
+    wanted, books = brute_force(rows, **how)
+    found = vector_codes.with_label_error(trained.codes).collect()
+    key = lambda r: (str(r[0]), *map(str, r[1:]))
+    assert sorted([(r.vec_id, r.code.hex(), r.error, r.label) for r in found], key=key) == sorted(wanted, key=key)
+    assert trained.codebooks.tolist() == books
+    totals = {}
+    for _, _, error, label in wanted:
+        totals[label] = totals.get(label, 0) + error
+    assert {r.label: r.label_error for r in found} == totals
+    return trained
+
+
+def test_equal_to_full_scans_with_far_fewer_measurements(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, v, k % 3 or None) for k, v in enumerate(clustered(rng, 500, 12))]
+    trained = checked(spark, rows)
+    assert trained.measured[0] == trained.scanned[0] == 500 * 4
+    assert trained.scanned[-1] < 500 * 4 / 5 and trained.measured[-1] < 500 * 4 * 0.8
+    assert trained.codebooks.shape == (4, 5, 3)
+
+
+def test_copies_ties_and_a_hot_vector(spark):
+    rng = np.random.default_rng(4)
+    grid = rng.integers(-2, 3, size=(150, 8)).astype(float).tolist()  # many equal distances
+    rows = [(k, v, 1) for k, v in enumerate(grid)] + [(1000 + k, grid[3], 2) for k in range(150)]
+    checked(spark, rows, scale=1)
+    checked(spark, rows + rows[:40], scale=1, entries=16, parts=8, rounds=3)
+
+
+def test_awkward_rows(spark):
+    rows = [
+        (1, [1.0, -2.0, 3.0], 1), (2, None, 1), (3, [], None), (4, [float("nan"), 1.0, 2.0], 1), (5, [None, 1.0], 1),
+        (6, [float("inf")], 1), (7, [3e38, -3e38, 0.0], None), (None, [0.5, 0.25, 0.125], 9), (None, [0.5], 9), (1, [4.0], 9),
+        (8, [-0.0001, 0.0, -1e-30, 5.0, 6.0], 9), (8, [-0.0001, 0.0, -1e-30, 5.0, 6.0], 9),
+    ]
+    checked(spark, rows, entries=16)
+    checked(spark, rows, entries=1)
+    checked(spark, rows[:3], rounds=0)
+
+
+def test_empty_table(spark):
+    for rows in ([], [(1, None, 1)]):
+        trained = vector_codes.train(table(spark, rows))
+        assert trained.codes.collect() == [] and trained.codebooks.size == 0
+        assert vector_codes.with_label_error(trained.codes).collect() == []
+        assert vector_codes.codebook_digest(trained.codebooks) == hashlib.sha256(b"").hexdigest()
+    with pytest.raises(ValueError):
+        vector_codes.train(table(spark, []), entries=257)
+
+
+def test_reconstruction(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, v, 0) for k, v in enumerate(clustered(rng, 200, 8))]
+    trained = vector_codes.train(table(spark, rows), parts=4, entries=16)
+    back = {r.vec_id: r.embedding for r in vector_codes.reconstructed(trained.codes, trained.codebooks).collect()}
+    errors = {r.vec_id: r.error for r in trained.codes.collect()}
+    for k, v, _ in rows:
+        ints = np.floor(np.array(v, np.float32).astype(float) * 4096)
+        assert round(float(((ints - np.array(back[k]) * 4096) ** 2).sum())) == errors[k]
+
+
+def test_net_displacement_is_tighter_than_steps():
+    """An entry that goes away and comes back costs nothing: the bound is moved by its net way."""
+    there = np.array([[[0], [100]]], np.int64)
+    away = np.array([[[40], [100]]], np.int64)
+    run = vector_codes.Pass([there, away, there])
+    state = vector_codes.Bounds(1, 1)
+    first = vector_codes.Pass([there])
+    first.assign(np.array([[[10]]]), state)
+    run.assign(np.array([[[10]]]), state)
+    assert run.measured == 0 and state.upper_stamps[0, 0] == 0

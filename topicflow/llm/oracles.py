@@ -117,3 +117,59 @@ from ended where reach is null or reach < pos + best.n
 
 
 _ORACLES["op10_license_scan"] = _license_sql()
+
+_ORACLES["op11_ball_search"] = f"""
+with docs as materialized (select row_number() over () as r, doc_id, {_words(PLAIN)} as w from documents),
+whole as (select count(*) as docs, sum(len(w)) as total from docs where len(w) > 0),
+counted as materialized (
+    select r, doc_id, term, count(*) as tf, n from (select r, doc_id, len(w) as n, unnest(w) as term from docs) group by all),
+weights as materialized (
+    select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as weight
+    from (select term, count(*) as df from counted group by term), whole),
+asked as materialized (
+    select distinct q, item_id, term from (
+        select row_number() over () as q, item_id, unnest({_words(PLAIN)}) as term from benchmark)),
+scored as (
+    select q, item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) as score
+    from asked join counted using (term) join weights using (term), whole group by all having score > 0)
+select item_id, cast(rank as int) as rank, doc_id, cast(score as bigint) as score from (
+    select *, row_number() over (partition by q order by score desc, doc_id, r) as rank from scored) where rank <= 10
+"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Plain rounds of full scans."""
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+a{k} as materialized (
+    select r, p, min({{'d': d, 'e': e}}) as best from (
+        select x.r, x.p, c.e, sum((x.v - c.v) * (x.v - c.v)) as d from x join c{k} c on x.p = c.p and x.i = c.i group by all)
+    group by r, p)""")
+        if k < rounds:
+            steps.append(f"""
+c{k + 1} as materialized (
+    select c.p, c.e, c.i, case when n is null then c.v else (s - ((s % n) + n) % n) // n end as v
+    from c{k} c left join (
+        select x.p, best.e as e, i, sum(v) as s, count(*) as n from x join a{k} using (r, p) group by all) m
+        on c.p = m.p and c.e = m.e and c.i = m.i)""")
+    return f"""
+with kept as materialized (
+    select row_number() over (order by vec_id) as r, vec_id, label, embedding as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda z: z is null or not isfinite(z))) = 0),
+x as materialized (
+    select r, (j - 1) // (len(v) // {parts}) as p, (j - 1) % (len(v) // {parts}) as i,
+        cast(floor(cast(v[j] as double) * 4096) as hugeint) as v
+    from (select r, v, unnest(range(1, len(v) + 1)) as j from kept)),
+c0 as materialized (select p, r - 1 as e, i, v from x where r <= {entries}),
+{",".join(steps)},
+books as (select sha256(string_agg(cast(v as varchar), ',' order by p, e, i)) as h from c{rounds}),
+codes as (
+    select r, string_agg(printf('%02x', best.e), '' order by p) as code, cast(sum(best.d) as bigint) as error
+    from a{rounds} group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h as codebooks_sha256
+from codes join kept using (r), books
+"""
+
+
+_ORACLES["op13_vector_codes"] = _vector_codes()

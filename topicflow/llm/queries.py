@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicflow.llm import (
+    ball_search,
     decontaminate,
     langid,
     licenses,
@@ -20,6 +21,7 @@ from topicflow.llm import (
     token_files,
     toxicity,
     url_filter,
+    vector_codes,
 )
 from topicflow.storage import fresh_folder
 
@@ -151,8 +153,25 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_ball_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 @query
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), word_encoder, folder, end_id=1)
     return token_files.read_documents(spark, folder)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trained = vector_codes.train(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+    return vector_codes.with_label_error(trained.codes).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(vector_codes.codebook_digest(trained.codebooks)).alias("codebooks_sha256"),
+    )
