@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from topicflow import TopicSpace
 from topicflow.errors import InvalidSubscription, UnknownTopic
-from topicflow.sources import log
+from topicflow.storage import Store
 from topicflow.streaming import subscriptions
 
 
@@ -65,46 +65,21 @@ def test_late_subscriber_and_new_producers(space):
     assert plain(space, name) == [("p6",), ("q1",)]
 
 
-def test_start_prunes_folders(spark, space):
-    space.publish_rows("topic-2", ["old"], producer="p", batch_id=5)
-    rows = space.rows("topic-2").where(subscriptions.after_start({"p": 5}))
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "element_at" in plan.split("PartitionFilters: [")[1]
-    assert rows.rdd.getNumPartitions() == 0
+def test_only_files_of_later_batches_are_read(spark, space):
+    space.publish_rows("topic-2", ["old"], producer="a.b-c", batch_id=-5)
+    name, _ = space.subscribe("topic-2")
+    space.publish_rows("topic-2", ["new"], producer="a.b-c", batch_id=-4)
+    files = space.fetch(name).inputFiles()
+    assert len(files) == 1 and "tp_producer=a.b-c/tp_batch_id=-4/" in files[0]
 
 
-def test_start_prunes_announcements(spark, space):
-    space.publish_rows("topic-2", ["old"], producer="a.b-c", batch_id=-5)
-    before = subscriptions.Subscription("x", "topic-2", {})
-    after = subscriptions.Subscription("x", "topic-2", {"a.b-c": -5})
-    rows = subscriptions.announced(spark, space.root, before, stream=False)
-    assert [tuple(row) for row in rows.collect()] == [("a.b-c", -5)]
-    assert subscriptions.announced(spark, space.root, after, stream=False).rdd.getNumPartitions() == 0
-
-
-def test_a_batch_stored_but_not_announced_is_announced_later(space, monkeypatch):
-    """The publisher dies between the rename and the announcement."""
-    name, got = space.subscribe("topic-2")[0], []
-
-    announce = log._announce
-    for value, batch_id, next_value, next_id in (
-        ("a", 1, "a", 1),  # then the same batch comes again
-        ("b", 2, "c", 3),  # then the next one
-    ):
-
-        def die(store, root, receipt):
-            if receipt.batch_id == batch_id:
-                raise OSError("gone")
-            return announce(store, root, receipt)
-
-        with monkeypatch.context() as patch:
-            patch.setattr(log, "_announce", die)
-            with pytest.raises(OSError):
-                space.publish_rows("topic-2", [value], producer="p", batch_id=batch_id)
-        assert space.fetch(name).count() == 0
-        space.publish_rows("topic-2", [next_value], producer="p", batch_id=next_id)
-        got += plain(space, name)
-    assert got == [("a",), ("b",), ("c",)]
+def test_fetching_lists_nothing(spark, space, monkeypatch):
+    name, _ = space.subscribe("topic-2")
+    for batch_id in range(3):
+        space.publish_rows("topic-2", ["v"], producer="p", batch_id=batch_id)
+    listed = []
+    monkeypatch.setattr(Store, "names", lambda self, path: listed.append(path) or [])
+    assert space.fetch(name).count() == 3 and listed == []
 
 
 def test_drain_in_portions(space):
@@ -133,7 +108,7 @@ def test_stream_with_its_own_checkpoint(spark, space, tmp_path):
     space.publish_rows("topic-2", ["old"], producer="p", batch_id=1)
     name, _ = space.subscribe("topic-2")
     space.publish_rows("topic-2", ROWS2, producer="p", batch_id=2)
-    stream = space.subscription_stream(name, maxFilesPerTrigger=1)
+    stream = space.subscription_stream(name, rowsPerTask=2)
     query = stream.groupBy("value").agg(F.count("*").alias("n")).writeStream.format("memory").queryName("counted")
     query = query.outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True)
     query.start().awaitTermination()

@@ -35,3 +35,7 @@ class PushFailed(TopicflowError):
 
 class NoSharedFolder(TopicflowError):
     """Intermediate data needs a folder that all executors can reach, and none is named."""
+
+
+class ReleasedBatches(TopicflowError):
+    """A stream would have to read batches that were released before it came to them."""

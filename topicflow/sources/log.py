@@ -1,24 +1,26 @@
 """The log: publish rows to a topic, read them back as a table or as a stream.
 
-A topic is a folder of Parquet files,
+Spark writes the files of a batch straight to where they stay,
 
-    <root>/log/<topic>/tp_producer=<p>/tp_batch_id=<n>/<offset of first task row>-<file>.parquet
+    <root>/log/<topic>/tp_producer=<p>/tp_batch_id=<n>/<attempt>/part-*.parquet
 
-with the user's columns plus ``tp_seq`` (task number and row number within the task, as Spark numbers rows) and
-``tp_ts`` (receive time). A row's offset in its batch is the number in the file name plus the row number within the
-task. So rows are written once, in parallel, without a shuffle: only after the write are the files counted and named.
-A batch becomes visible by one directory rename. A small file ``<root>/commits/<topic>/<n>.<producer>.json`` then
-announces it, so that followers of whole batches need to list one folder only, not every data file.
+with the user's columns plus ``tp_seq`` (task number and row number within the task, as Spark numbers rows) and ``tp_ts`` (receive
+time). Then the files are counted, and one commit to the topic's :mod:`~topicflow.sources.manifest` makes the batch visible: it names
+the files and the offset each begins with. A row's offset in its batch is that number plus its row number in the file.
+So rows are written once, in parallel, without a shuffle, and no file is ever renamed.
+
+Readers take their files from the manifest; nothing lists a topic's folders. Compacted batches
+(:mod:`~topicflow.operators.upkeep`) lie in files that hold all stamps as columns.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,14 +31,15 @@ from topicflow.sources.catalog import (
     check_name,
     check_rows,
     fetch_schema,
+    schemas,
     source_schema,
 )
+from topicflow.sources.manifest import Commit, Manifest, State, batch_folder, log_folder
 from topicflow.storage import Store
 
-TASK_BITS = 33  # Spark's row ids: task number above, row number within the task in the low 33 bits
-ROW_MASK = (1 << TASK_BITS) - 1
-BASE_DIGITS = 19
-FOLLOW_ALL = {"maxFileAge": "36500d"}  # file streams skip files far older than the newest one, if not told otherwise
+BROADCAST_FILES = 100_000  # names and first offsets of so many files are sent to every task, about 10 MB
+
+Batches = Sequence[tuple[int, Commit]]
 
 
 class Receipt(NamedTuple):
@@ -49,62 +52,13 @@ class Receipt(NamedTuple):
     replayed: bool
 
 
-def log_dir(root: str, topic: str) -> str:
-    return f"{root}/log/{topic}"
-
-
-def producer_dir(root: str, topic: str, producer: str) -> str:
-    return f"{log_dir(root, topic)}/tp_producer={producer}"
-
-
-def batch_dir(root: str, topic: str, producer: str, batch_id: int) -> str:
-    return f"{producer_dir(root, topic, producer)}/tp_batch_id={batch_id}"
-
-
-def commits_dir(root: str, topic: str) -> str:
-    return f"{root}/commits/{topic}"
-
-
-def announcement(root: str, topic: str, producer: str, batch_id: int) -> str:
-    return f"{commits_dir(root, topic)}/{batch_id}.{producer}.json"
-
-
-def head_path(root: str, topic: str, producer: str) -> str:
-    return f"{root}/heads/{topic}/{producer}.json"
-
-
-def _read_head(store: Store, root: str, topic: str, producer: str) -> dict[str, int]:
-    """``newest``: highest announced batch id of a producer; ``pending``: a later one that may be stored already.
+def manifest(spark: SparkSession, root: str, topic: str) -> Manifest:
+    return Manifest(Store(spark, root), root, topic)
 
-    One small file per producer. A file damaged by a crash is made up for by looking at all of the producer's batches.
-    """
-    path = head_path(root, topic, producer)
-    if not store.exists(path):
-        return {}
-    try:
-        return json.loads(store.read_text(path))
-    except ValueError:
-        names = store.names(producer_dir(root, topic, producer))
-        ids = sorted(int(name.removeprefix("tp_batch_id=")) for name in names if name.startswith("tp_batch_id="))
-        return {"newest": ids[-2], "pending": ids[-1]} if ids[1:] else {"pending": ids[0]} if ids else {}
-
-
-def _settled_head(store: Store, root: str, topic: str, producer: str) -> dict[str, int]:
-    """The head after finishing what an earlier publisher may have left: a batch stored, but not announced."""
-    head = _read_head(store, root, topic, producer)
-    pending = head.pop("pending", None)
-    if pending is not None and store.exists(batch_dir(root, topic, producer, pending)):
-        _stored_receipt(store, root, topic, producer, pending)
-        head = {"newest": max(pending, head.get("newest", pending))}
-        store.write_text(head_path(root, topic, producer), json.dumps(head))
-    return head
 
-
-def heads(store: Store, root: str, topic: str) -> dict[str, int]:
-    """Highest announced batch id of every producer of a topic."""
-    producers = [name.removesuffix(".json") for name in store.names(f"{root}/heads/{topic}") if name.endswith(".json")]
-    found = {producer: _read_head(store, root, topic, producer).get("newest") for producer in producers}
-    return {producer: newest for producer, newest in found.items() if newest is not None}
+def heads(spark: SparkSession, root: str, topic: str) -> dict[str, int]:
+    """Newest batch id of every producer of a topic."""
+    return {producer: head[0] for producer, head in manifest(spark, root, topic).state().heads.items()}
 
 
 # --- writing ---------------------------------------------------------------------------------------------------------
@@ -123,40 +77,37 @@ def _in_order(rows: DataFrame, order_by: Sequence, draft: str) -> DataFrame:
     return tied.repartitionByRange(*order_by, "tp_tie").sortWithinPartitions(*order_by, "tp_tie").drop("tp_tie")
 
 
-def _name_files(spark: SparkSession, store: Store, written: str, ready: str) -> int:
-    """Move the files of a finished write to ``ready``, named by first offset. Returns the number of rows."""
+def _counted(spark: SparkSession, folder: str) -> list[list]:
+    """[name, first row number, offset of the first row, rows] of the files of a finished write, in order."""
     files = (
         spark.read.schema("tp_seq bigint")
-        .parquet(written)
-        .groupBy(F.col("_metadata.file_name").alias("file"))
-        .agg(F.count(F.lit(1)).alias("rows"), F.min("tp_seq").alias("first"))
+        .parquet(folder)
+        .groupBy(F.col("_metadata.file_name").alias("name"))
+        .agg(F.min("tp_seq").alias("seq"), F.count(F.lit(1)).alias("rows"))
         .collect()
     )
-    moves, rows, base, task = [], 0, 0, None
-    for number, file in enumerate(sorted(files, key=lambda file: file["first"])):
-        if file["first"] >> TASK_BITS != task:  # one task may have written several files
-            task, base = file["first"] >> TASK_BITS, rows
-        moves.append((f"{written}/{file['file']}", f"{ready}/{base:0{BASE_DIGITS}d}-{number:06d}.parquet"))
-        rows += file["rows"]
-    if moves:
-        store.mkdirs(ready)
-        store.move_into(moves)
-    return rows
+    found, offset = [], 0
+    for file in sorted(files, key=lambda file: file.seq):
+        found.append([file.name, file.seq, offset, file.rows])
+        offset += file.rows
+    return found
 
 
-def _announce(store: Store, root: str, receipt: Receipt) -> Receipt:
-    """Tell followers of a stored batch; telling them again changes nothing."""
-    path = announcement(root, receipt.topic, receipt.producer, receipt.batch_id)
-    if not store.exists(path):
-        text = {"producer": receipt.producer, "batch_id": receipt.batch_id, "rows": receipt.rows}
-        store.commit_text(path, json.dumps(text))
-    return receipt
+def added(producer: str, batch_id: int, folder: str, files: list[list], schema: int, head: Sequence[int] | None) -> Commit:
+    """The commit of a batch whose files are in place. ``schema`` is the number of the schema they are in."""
+    where = {"do": "add", "producer": producer, "batch_id": batch_id, "folder": folder, "files": files, "schema": schema}
+    return where | {"rows": sum(file[3] for file in files), "first": head[1] if head else 0}
 
 
-def _stored_receipt(store: Store, root: str, topic: str, producer: str, batch_id: int) -> Receipt:
-    """Receipt of a stored batch. Announces it, in case the first attempt ended just before doing so."""
-    known = json.loads(store.read_text(f"{batch_dir(root, topic, producer, batch_id)}/_receipt.json"))
-    return _announce(store, root, Receipt(topic, producer, batch_id, known["rows"], True))
+def known_batch(known: Manifest, state: State, topic: str, producer: str, batch_id: int) -> Receipt | None:
+    """Receipt of a batch that is there already, None for a new one; an id that comes too late is an error."""
+    head = state.heads.get(producer)
+    if head is None or batch_id > head[0]:
+        return None
+    found = known.batch(state, producer, batch_id)
+    if found is None:
+        raise StaleBatch(f"{producer}: batch {batch_id} after batch {head[0]}")
+    return Receipt(topic, producer, batch_id, found[1]["rows"], True)
 
 
 def publish(
@@ -174,41 +125,43 @@ def publish(
 
     A batch id that is already stored is a replay: nothing is written and the first receipt comes back. New ids of a
     producer must increase. An empty frame stores nothing. Without ``order_by`` offsets follow the frame's partitions.
-    One writer per producer name at a time.
+    Of several writers of one batch the first to commit wins.
     """
-    check_rows(rows.schema, fetch_schema(spark, root, topic))
+    number = check_rows(rows.schema, schemas(spark, root, topic))
     check_name("producer", producer)
-    store, target = Store(spark, root), batch_dir(root, topic, producer, batch_id)
-    head = _settled_head(store, root, topic, producer)
-    if store.exists(target):
-        return _stored_receipt(store, root, topic, producer, batch_id)
-    if batch_id <= head.get("newest", batch_id - 1):
-        raise StaleBatch(f"{producer}: batch {batch_id} after batch {head['newest']}")
-
-    staging = f"{root}/staging/{uuid.uuid4().hex}"
+    store, known, attempt = Store(spark, root), manifest(spark, root, topic), uuid.uuid4().hex
+    receipt = known_batch(known, known.state(), topic, producer, batch_id)
+    if receipt:
+        return receipt
+    folder, draft, committed = batch_folder(topic, producer, batch_id, attempt), f"{root}/staging/{attempt}", False
     try:
         if order_by:
-            rows = _in_order(rows, order_by, f"{staging}/draft")
+            rows = _in_order(rows, order_by, draft)
         stamp = F.current_timestamp() if received_at is None else received_at.cast("timestamp")
         rows.select(
             *map(quoted, rows.columns),
             F.monotonically_increasing_id().alias("tp_seq"),
             stamp.alias("tp_ts"),
-        ).write.parquet(f"{staging}/written")
-        count = _name_files(spark, store, f"{staging}/written", f"{staging}/ready")
-        if count == 0:
+        ).write.parquet(f"{root}/{folder}")
+        files = _counted(spark, f"{root}/{folder}")
+        if not files:
             return Receipt(topic, producer, batch_id, 0, False)
-        store.write_text(f"{staging}/ready/_receipt.json", json.dumps({"rows": count}))
-        place = head_path(root, topic, producer)
-        store.mkdirs(place.rpartition("/")[0])
-        store.write_text(place, json.dumps(head | {"pending": batch_id}))
-        if not store.commit(f"{staging}/ready", target):
-            return _stored_receipt(store, root, topic, producer, batch_id)
-        receipt = _announce(store, root, Receipt(topic, producer, batch_id, count, False))
-        store.write_text(place, json.dumps({"newest": batch_id}))
-        return receipt
+
+        def batch(state: State) -> Commit | None:
+            if known_batch(known, state, topic, producer, batch_id):
+                return None
+            return added(producer, batch_id, folder, files, number, state.heads.get(producer))
+
+        state, commit = known.append(batch)
+        committed = commit is not None
+        if not committed:
+            return known_batch(known, state, topic, producer, batch_id)
+        return Receipt(topic, producer, batch_id, commit["rows"], False)
     finally:
-        store.drop(staging)
+        if order_by:
+            store.drop(draft)
+        if not committed:
+            store.drop(f"{root}/{folder}")
 
 
 def local_frame(spark: SparkSession, schema: T.StructType, rows: Sequence) -> DataFrame:
@@ -230,6 +183,7 @@ def publish_rows(
 
 
 def file_schema(schema: T.StructType) -> T.StructType:
+    """What the files of a batch hold, and their partition columns."""
     return T.StructType(
         schema.fields
         + [
@@ -247,37 +201,117 @@ def stamped_schema(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + [T.StructField(name, kinds.get(name, T.LongType())) for name in STAMPS])
 
 
-def _files(spark: SparkSession, root: str, topic: str, stream: bool = False, **options) -> DataFrame:
-    """The topic's files as stored, without offsets: enough for plain rows and for counting."""
-    reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
-    return reader.schema(file_schema(fetch_schema(spark, root, topic))).options(**options).parquet(log_dir(root, topic))
+def compacted_schema(schema: T.StructType) -> T.StructType:
+    """What compacted files hold."""
+    more = [T.StructField("tp_position", T.LongType()), T.StructField("tp_version", T.LongType())]
+    return T.StructType(stamped_schema(schema).fields + more)
+
+
+def split_compacted(state: State, batches: Batches) -> tuple[list[tuple[int, Commit]], list[tuple[dict, list[int]]]]:
+    """The batches that lie in files of their own, and for each compaction the versions that lie in its files."""
+    own, moved = [], {}
+    for version, commit in batches:
+        one = state.compaction_of(version)
+        if one is None:
+            own.append((version, commit))
+        else:
+            moved.setdefault(one["version"], (one, []))[1].append(version)
+    return own, list(moved.values())
+
+
+def own_files(spark: SparkSession, root: str, topic: str, schema: T.StructType, batches: Batches) -> DataFrame:
+    reader = spark.read.schema(file_schema(schema)).option("basePath", f"{root}/{log_folder(topic)}")
+    return reader.parquet(*(f"{root}/{commit['folder']}/{file[0]}" for _, commit in batches for file in commit["files"]))
 
 
-def _stamped(files: DataFrame, schema: T.StructType) -> DataFrame:
-    base = F.substring(F.col("_metadata.file_name"), 1, BASE_DIGITS).cast("bigint")
-    offset = base + F.col("tp_seq").bitwiseAND(F.lit(ROW_MASK))
-    stamps = {"tp_offset": offset.alias("tp_offset")}
-    return files.select(*map(quoted, schema.fieldNames()), *(stamps.get(name, F.col(name)) for name in STAMPS))
+def placed(spark: SparkSession, files: DataFrame, batches: Batches) -> DataFrame:
+    """``files`` with tp_offset, tp_position and tp_version, by what the manifest says of each file."""
+    firsts = [
+        (name, offset - seq, commit["first"], version)
+        for version, commit in batches
+        for name, seq, offset, _ in commit["files"]
+    ]
+    known = spark.createDataFrame(firsts, "tp_file string, tp_base bigint, tp_first bigint, tp_version bigint")
+    if len(firsts) <= BROADCAST_FILES:
+        known = F.broadcast(known)
+    offset = F.col("tp_base") + F.col("tp_seq")
+    met = files.withColumn("tp_file", F.col("_metadata.file_name")).join(known, "tp_file")
+    return met.withColumns({"tp_offset": offset, "tp_position": F.col("tp_first") + offset})
+
+
+def _compacted_files(
+    spark: SparkSession, root: str, schema: T.StructType, one: dict, versions: Sequence[int], exactly: bool
+) -> DataFrame:
+    """The rows of some versions in the files of a compaction; of all between the first and the last if not ``exactly``."""
+    low, high = min(versions), max(versions)
+    paths = [f"{root}/{one['folder']}/{name}" for name, first, last, _ in one["files"] if first <= high and last >= low]
+    rows = spark.read.schema(compacted_schema(schema)).parquet(*paths).where(F.col("tp_version").between(low, high))
+    return rows.where(F.col("tp_version").isin(list(versions))) if exactly else rows
+
+
+def _rows(
+    spark: SparkSession,
+    root: str,
+    topic: str,
+    state: State,
+    batches: Batches,
+    columns: Iterable[str],
+    stamped: bool = True,
+    exactly: bool = False,
+) -> DataFrame:
+    """Some batches of a topic. Offsets and positions are worked out only if ``stamped``.
+
+    Batches that follow each other in the manifest need no ``exactly``.
+    """
+    schema, columns = fetch_schema(spark, root, topic), list(columns)
+    own, moved = split_compacted(state, batches)
+    parts = []
+    if own:
+        files = own_files(spark, root, topic, schema, own)
+        parts.append(placed(spark, files, own) if stamped else files)
+    parts += [_compacted_files(spark, root, schema, one, versions, exactly) for one, versions in moved]
+    if not parts:
+        parts = [spark.createDataFrame([], compacted_schema(schema))]
+    return reduce(DataFrame.unionByName, [part.select(*map(quoted, columns)) for part in parts])
+
+
+def _stamped_columns(spark: SparkSession, root: str, topic: str) -> list[str]:
+    return stamped_schema(fetch_schema(spark, root, topic)).fieldNames()
+
+
+def read_versions(spark: SparkSession, root: str, topic: str, low: int = 0, high: int | None = None) -> DataFrame:
+    """Rows with their stamps of the batches committed in versions from ``low`` up to ``high``, excluded."""
+    columns, known = _stamped_columns(spark, root, topic), manifest(spark, root, topic)
+    state = known.state()
+    return _rows(spark, root, topic, state, known.batches(state, low, high), columns)
 
 
 def read_topic(spark: SparkSession, root: str, topic: str) -> DataFrame:
-    """All stored rows of a topic with their stamps."""
-    return _stamped(_files(spark, root, topic), fetch_schema(spark, root, topic))
+    """All rows of a topic that are not released, with their stamps."""
+    return read_versions(spark, root, topic)
 
 
 def read_batches(spark: SparkSession, root: str, topic: str, batches: Sequence[tuple[str, int]]) -> DataFrame:
-    """The rows of given (producer, batch id) pairs. Only their folders are listed and read."""
-    schema = fetch_schema(spark, root, topic)
-    if not batches:
-        return read_topic(spark, root, topic).limit(0)
-    folders = [batch_dir(root, topic, producer, batch_id) for producer, batch_id in batches]
-    reader = spark.read.schema(file_schema(schema)).option("basePath", log_dir(root, topic))
-    return _stamped(reader.parquet(*folders), schema)
+    """The rows of given (producer, batch id) pairs. Only their files are read."""
+    columns, known = _stamped_columns(spark, root, topic), manifest(spark, root, topic)
+    state = known.state()
+    found = [known.batch(state, producer, batch_id) for producer, batch_id in batches]
+    live = [one for one in found if one is not None and one[0] >= state.below]
+    return _rows(spark, root, topic, state, live, columns, exactly=True)
+
+
+def _stream(spark: SparkSession, root: str, topic: str, **options) -> DataFrame:
+    from topicflow.sources.format import register
+
+    fetch_schema(spark, root, topic)
+    register(spark)
+    reader = spark.readStream.format("topicflow").option("root", root).option("topic", topic)
+    return reader.options(**options).load()
 
 
 def read_topic_stream(spark: SparkSession, root: str, topic: str, **options) -> DataFrame:
-    """The topic as a stream, rows with their stamps. Options go to the file source (``maxFilesPerTrigger``, ...)."""
-    return _stamped(_files(spark, root, topic, True, **options), fetch_schema(spark, root, topic))
+    """The topic as a stream, rows with their stamps. Options are those of the ``topicflow`` format."""
+    return _stream(spark, root, topic, stamps="true", **options)
 
 
 def topic_source(
@@ -293,10 +327,17 @@ def topic_source(
     """What a consumer reads: the topic's own columns and, when asked for, the receive time last."""
     schema = fetch_schema(spark, root, topic)
     source_schema(schema, includes_timestamp, timestamp_column)
-    columns = [quoted(name) for name in schema.fieldNames()]
+    if stream:
+        told = {"includesTimestamp": str(includes_timestamp).lower(), "timestampColumnName": timestamp_column}
+        return _stream(spark, root, topic, **told, **options)
+    known = manifest(spark, root, topic)
+    state = known.state()
+    names = schema.fieldNames()
+    rows = _rows(spark, root, topic, state, known.batches(state), [*names, "tp_ts"], stamped=False)
+    columns = [quoted(name) for name in names]
     if includes_timestamp:
         columns.append(F.col("tp_ts").alias(timestamp_column))
-    return _files(spark, root, topic, stream, **options).select(*columns)
+    return rows.select(*columns)
 
 
 # --- counting --------------------------------------------------------------------------------------------------------
@@ -310,42 +351,18 @@ def receipts(rows: DataFrame, *more: str, size: Column | None = None) -> DataFra
     return rows.groupBy("tp_producer", "tp_batch_id", *more).agg(*measures)
 
 
-def batch_positions(spark: SparkSession, root: str, topic: str, producer: str) -> DataFrame:
-    """First position of each announced batch among its producer's rows; one line per batch, from the announcements."""
-    lines = spark.read.schema("producer string, batch_id bigint, rows bigint").json(commits_dir(root, topic))
-    counted = lines.where(F.col("producer") == producer).select(F.col("batch_id").alias("tp_batch_id"), "rows")
-    earlier = Window.orderBy("tp_batch_id").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("first", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
-
-
-def _rows_between(
-    spark: SparkSession, root: str, topic: str, producer: str, low: int, last: int, last_offset: int
-) -> DataFrame:
-    """Stored rows of a producer's batches from ``low`` up to files of ``last`` that begin at ``last_offset`` at most.
-
-    All conditions are on folder and file names, so no other file is opened.
-    """
-    schema = fetch_schema(spark, root, topic)
-    files = _files(spark, root, topic).where(F.col("tp_producer") == producer)
-    base = F.substring(F.col("_metadata.file_name"), 1, BASE_DIGITS).cast("bigint")
-    final = _stamped(files.where(F.col("tp_batch_id") == last).where(base <= last_offset), schema)
-    if low == last:
-        return final
-    return _stamped(files.where((F.col("tp_batch_id") >= low) & (F.col("tp_batch_id") < last)), schema).union(final)
-
-
 def offset_range(spark: SparkSession, root: str, topic: str, producer: str, end: int, start: int = -1) -> DataFrame:
-    """Rows of a producer at positions in (start, end], counted over all its announced batches, as ``tp_position``.
+    """Rows of a producer at positions in (start, end], counted over all its batches, as ``tp_position``.
 
-    Only the folders between the first and the last batch touched are read, and of the last one no files that begin
-    behind the end.
+    The batches are found by binary search in the manifest, and only files that hold positions of the range are read. Released
+    rows keep their positions and are not returned.
     """
-    rows = read_topic(spark, root, topic).where(F.col("tp_producer") == producer)
-    batches = batch_positions(spark, root, topic, producer)
-    touched = batches.where((F.col("first") <= end) & (F.col("first") + F.col("rows") - 1 > start))
-    low, last = touched.agg(F.min("tp_batch_id"), F.max(F.struct("tp_batch_id", "first"))).first()
-    if last is None:
-        return rows.withColumn("tp_position", F.lit(None).cast("bigint")).limit(0)
-    placed = _rows_between(spark, root, topic, producer, low, last["tp_batch_id"], end - last["first"]).join(touched.select("tp_batch_id", "first"), "tp_batch_id")
-    position = (F.col("first") + F.col("tp_offset")).alias("tp_position")
-    return placed.select(*map(quoted, rows.columns), position).where(F.col("tp_position").between(start + 1, end))
+    columns, known = _stamped_columns(spark, root, topic), manifest(spark, root, topic)
+    state = known.state()
+    touched = []
+    for version, commit in known.positions(state, producer, start + 1, end):
+        low, high = start + 1 - commit["first"], end - commit["first"]
+        files = [file for file in commit["files"] if file[2] <= high and file[2] + file[3] > low]
+        touched.append((version, commit | {"files": files}))
+    rows = _rows(spark, root, topic, state, touched, [*columns, "tp_position"])
+    return rows.where((F.col("tp_producer") == producer) & F.col("tp_position").between(start + 1, end))

@@ -10,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 from topicflow.functions.codec import CORRUPT, accepted, parse, rejected, unpacked
 from topicflow.operators.dedup import store_batch, stored_arrivals
 from topicflow.sources.catalog import as_schema, check_name
-from topicflow.sources.log import FOLLOW_ALL, stamped_schema
+from topicflow.sources.log import stamped_schema
+
+FOLLOW_ALL = {"maxFileAge": "36500d"}  # packets copied in with old times are not skipped
 
 
 def read_packets(

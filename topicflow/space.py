@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.functions.rows import original
 from topicflow.operators import push as pushing
+from topicflow.operators import upkeep
 from topicflow.sources import catalog, log
 from topicflow.streaming import sink, subscriptions
 
@@ -36,6 +37,10 @@ class TopicSpace:
         catalog.create_topic_like(self.spark, self.root, topic, sample)
         return self
 
+    def change_topic(self, topic: str, schema: T.StructType | str) -> TopicSpace:
+        catalog.change_topic(self.spark, self.root, topic, schema)
+        return self
+
     def fetch_schema(self, topic: str) -> T.StructType:
         return catalog.fetch_schema(self.spark, self.root, topic)
 
@@ -102,6 +107,17 @@ class TopicSpace:
     def unsubscribe(self, name: str) -> str:
         return subscriptions.unsubscribe(self.spark, self.root, name)
 
+    # upkeep
+
+    def compact(self, topic: str, **options) -> int:
+        return upkeep.compact(self.spark, self.root, topic, **options)
+
+    def release(self, topic: str, **options) -> int:
+        return upkeep.release(self.spark, self.root, topic, **options)
+
+    def clear(self, topic: str, **options) -> int:
+        return upkeep.clear(self.spark, self.root, topic, **options)
+
     # other sites
 
     def push(self, topic: str, rows: DataFrame, destination: str, **options) -> DataFrame:

@@ -8,14 +8,12 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 from topicflow.errors import InvalidName, NoSharedFolder
 
-RENAME_THREADS = 16
-
 
 class Store:
     """The Hadoop file system that holds ``root``."""
@@ -30,6 +28,8 @@ class Store:
         self._context = self._hadoop.FileContext.getFileContext(self._path(root).toUri(), conf)
         rename = getattr(self._hadoop, "Options$Rename")
         self._no_overwrite = spark.sparkContext._gateway.new_array(rename, 0)
+        self._overwrite = spark.sparkContext._gateway.new_array(rename, 1)
+        self._overwrite[0] = rename.OVERWRITE
 
     def _path(self, path: str):
         return self._hadoop.Path(path)
@@ -48,17 +48,6 @@ class Store:
         text = self._commons.lang3.ArrayUtils.toString(listed)
         return re.findall(r"/([^/,{}]+)(?=[,}])", text)
 
-    def move_into(self, moves: list[tuple[str, str]]) -> None:
-        """Rename many files inside a directory that nobody else uses yet."""
-
-        def move(pair):
-            source, target = pair
-            if not self._fs.rename(self._path(source), self._path(target)):
-                raise OSError(f"cannot rename {source} to {target}")
-
-        with ThreadPoolExecutor(RENAME_THREADS) as pool:
-            list(pool.map(move, moves))
-
     def commit(self, source: str, target: str) -> bool:
         """Rename ``source`` to ``target``; False, changing nothing, when ``target`` exists."""
         self.mkdirs(target.rpartition("/")[0])
@@ -81,6 +70,22 @@ class Store:
             self.drop(draft)
         return done
 
+    def replace_text(self, path: str, text: str) -> None:
+        """Write a small file in one step, over an older one if there is one."""
+        folder, _, name = path.rpartition("/")
+        draft = f"{folder}/_{name}.{uuid.uuid4().hex}"
+        self.write_text(draft, text)
+        self._context.rename(*(self._fs.makeQualified(self._path(p)) for p in (draft, path)), self._overwrite)
+
+    def text_if_there(self, path: str) -> str | None:
+        """The text of a small file, or None when there is no such file."""
+        try:
+            return self.read_text(path)
+        except Py4JJavaError as error:
+            if error.java_exception.getClass().getSimpleName() in ("FileNotFoundException", "NoSuchFileException"):
+                return None
+            raise
+
     def write_text(self, path: str, text: str) -> None:
         stream = self._fs.create(self._path(path), True)
         try:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from topicflow.sources.catalog import check_name, check_rows, fetch_schema
+from topicflow.sources.catalog import check_name, check_rows, schemas
 from topicflow.sources.log import Receipt, publish, read_batches
 
 Listener = Callable[[str, DataFrame, int], None]
@@ -60,7 +60,7 @@ def publish_stream(
     """
     spark = rows.sparkSession
     check_name("producer", producer)
-    check_rows(rows.schema, fetch_schema(spark, root, topic))
+    check_rows(rows.schema, schemas(spark, root, topic))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         publish_and_notify(

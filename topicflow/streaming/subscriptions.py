@@ -1,7 +1,7 @@
-"""Subscriptions: a start position per producer and a streaming checkpoint that serves as the cursor.
+"""Subscriptions: a start in a topic's manifest and a cursor, both just a version number.
 
-The checkpointed stream follows the announcements of batches, one small file each; the rows are then read from the
-folders of those batches. So a fetch costs listing one folder, whatever the number of data files in the topic.
+A fetch reads the commits after the cursor and then the files they name. Nothing is listed, and the cost does not
+depend on how much the topic holds.
 """
 
 from __future__ import annotations
@@ -10,23 +10,28 @@ import json
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from topicflow.errors import InvalidSubscription
-from topicflow.functions.rows import quoted
-from topicflow.sources.catalog import TIMESTAMP_COLUMN, check_name, fetch_schema, source_schema
-from topicflow.sources.log import FOLLOW_ALL, commits_dir, heads, read_batches, read_topic_stream
+from topicflow.sources.catalog import TIMESTAMP_COLUMN, check_name, fetch_schema
+from topicflow.sources.log import manifest, read_topic_stream, read_versions, topic_source
 from topicflow.storage import Store
 
-BEFORE_ALL = -(1 << 63)
-
 
 class Subscription(NamedTuple):
     name: str
     topic: str
-    start: dict[str, int]
-    """Last batch id of each producer at the time of subscribing."""
+    version: int
+    """Version of the topic at the time of subscribing; what comes later belongs to the subscription."""
+
+
+class Cursor(NamedTuple):
+    version: int
+    """Everything up to this version has been fetched."""
+    number: int
+    """Calls of ``drain`` so far."""
+    until: int | None
+    """The version a call that has not come back was given rows up to."""
 
 
 def _folder(root: str, name: str) -> str:
@@ -36,66 +41,71 @@ def _folder(root: str, name: str) -> str:
 def subscribe(spark: SparkSession, root: str, topic: str, name: str | None = None) -> Subscription:
     """Open a subscription that sees what is published from now on. Unnamed ones become ``subscriber-<n>``."""
     fetch_schema(spark, root, topic)
-    store = Store(spark, root)
-    start = heads(store, root, topic)
-    text = json.dumps({"topic": topic, "start": start})
+    store, version = Store(spark, root), manifest(spark, root, topic).state().version
+    text = json.dumps({"topic": topic, "version": version})
     if name is not None:
         store.mkdirs(_folder(root, check_name("subscription", name)))
         if not store.commit_text(f"{_folder(root, name)}/spec.json", text):
             raise InvalidSubscription(f"subscription {name!r} exists")
-        return Subscription(name, topic, start)
+        return Subscription(name, topic, version)
     number = 1 + sum(taken.startswith("subscriber-") for taken in store.names(f"{root}/subscriptions"))
     while True:
         name = f"subscriber-{number}"
         store.mkdirs(_folder(root, name))
         if store.commit_text(f"{_folder(root, name)}/spec.json", text):
-            return Subscription(name, topic, start)
+            return Subscription(name, topic, version)
         number += 1
 
 
 def open_subscription(spark: SparkSession, root: str, name: str) -> Subscription:
     """Look up a subscription; fails when it is unknown or has ended."""
     store, folder = Store(spark, root), _folder(root, check_name("subscription", name))
-    if not store.exists(f"{folder}/spec.json") or store.exists(f"{folder}/ended"):
+    text = store.text_if_there(f"{folder}/spec.json")
+    if text is None or store.exists(f"{folder}/ended"):
         raise InvalidSubscription(f"invalid subscription: {name}")
-    spec = json.loads(store.read_text(f"{folder}/spec.json"))
-    return Subscription(name, spec["topic"], spec["start"])
+    spec = json.loads(text)
+    return Subscription(name, spec["topic"], spec["version"])
 
 
 def unsubscribe(spark: SparkSession, root: str, name: str) -> str:
-    """End a subscription. What it has not fetched stays in the log but can no longer be fetched under this name."""
+    """End a subscription. What it has not fetched can no longer be fetched under this name."""
     open_subscription(spark, root, name)
     Store(spark, root).commit_text(f"{_folder(root, name)}/ended", "")
     return name
 
 
-def after_start(start: dict[str, int], producer: Column | None = None, batch_id: Column | None = None) -> Column:
-    """Batches newer than the start. Tests folder or file names only, so older ones are not read."""
-    producer = F.col("tp_producer") if producer is None else producer
-    batch_id = F.col("tp_batch_id") if batch_id is None else batch_id
-    if not start:
-        return F.lit(True)
-    known = F.create_map(*(F.lit(part) for pair in start.items() for part in pair))
-    return batch_id > F.coalesce(F.element_at(known, producer), F.lit(BEFORE_ALL))
+def cursor(store: Store, root: str, subscription: Subscription) -> Cursor:
+    """How far fetching and draining have come."""
+    text = store.text_if_there(f"{_folder(root, subscription.name)}/cursor.json")
+    return Cursor(*json.loads(text)) if text else Cursor(subscription.version, 0, None)
 
 
-def announced(
-    spark: SparkSession, root: str, subscription: Subscription, *, stream: bool = True, **options
-) -> DataFrame:
-    """Producer and batch id of each batch announced since the start, taken from the file names."""
-    reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
-    reader = reader.schema("rows bigint").options(**options)
-    files = reader.json(commits_dir(root, subscription.topic))
-    name = F.col("_metadata.file_name")
-    producer, batch_id = F.regexp_replace(name, r"^-?\d+\.|\.json$", ""), F.substring_index(name, ".", 1).cast("bigint")
-    newer = files.where(after_start(subscription.start, producer, batch_id))
-    return newer.select(producer.alias("tp_producer"), batch_id.alias("tp_batch_id"))
+def _keep(store: Store, root: str, subscription: Subscription, place: Cursor) -> None:
+    store.replace_text(f"{_folder(root, subscription.name)}/cursor.json", json.dumps(place))
+
+
+def done_by_stream(store: Store, root: str, subscription: Subscription) -> int | None:
+    """How far a stream with this subscription has come, None if there is none."""
+    text = store.text_if_there(f"{_folder(root, subscription.name)}/stream.json")
+    return json.loads(text)["version"] if text else None
+
+
+def unread_from(store: Store, root: str, subscription: Subscription) -> int:
+    """The first version that this subscription may still need."""
+    streamed, place = done_by_stream(store, root, subscription), cursor(store, root, subscription)
+    if streamed is None:
+        return place.version + 1
+    touched = place != Cursor(subscription.version, 0, None)  # fetched from as well
+    return 1 + (min(streamed, place.version) if touched else streamed)
 
 
 def subscription_stream(spark: SparkSession, root: str, name: str, **options) -> DataFrame:
-    """The subscription's rows as a stream, for a consumer that keeps its own checkpoint."""
+    """The subscription's rows as a stream, for a consumer that keeps its own checkpoint.
+
+    The subscription's cursor follows the stream, for :func:`topicflow.operators.upkeep.release`.
+    """
     subscription = open_subscription(spark, root, name)
-    return read_topic_stream(spark, root, subscription.topic, **options).where(after_start(subscription.start))
+    return read_topic_stream(spark, root, subscription.topic, subscription=name, **options)
 
 
 def source_from_now(
@@ -113,14 +123,11 @@ def source_from_now(
     A subscription is opened for it. With the ``name`` of an open subscription the stream begins where that one did, so
     a restarted program goes on with its checkpoint.
     """
-    schema = fetch_schema(spark, root, topic)
-    source_schema(schema, includes_timestamp, timestamp_column)
     if name is None or not Store(spark, root).exists(f"{_folder(root, check_name('subscription', name))}/spec.json"):
         name = subscribe(spark, root, topic, name).name
-    columns = [quoted(column) for column in schema.fieldNames()]
-    if includes_timestamp:
-        columns.append(F.col("tp_ts").alias(timestamp_column))
-    return subscription_stream(spark, root, name, **options).select(*columns)
+    name = open_subscription(spark, root, name).name
+    told = {"includes_timestamp": includes_timestamp, "timestamp_column": timestamp_column}
+    return topic_source(spark, root, topic, subscription=name, **told, **options)
 
 
 def fetch(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -128,10 +135,11 @@ def fetch(spark: SparkSession, root: str, name: str) -> DataFrame:
 
     If the caller fails while using the table, its rows are not given again; :func:`drain` gives them again.
     """
-    subscription = open_subscription(spark, root, name)
-    arrived: set[tuple[str, int]] = set()
-    _follow(spark, root, subscription, lambda batches, _: arrived.update(batches))
-    return read_batches(spark, root, subscription.topic, sorted(arrived))
+    subscription, store = open_subscription(spark, root, name), Store(spark, root)
+    place, newest = cursor(store, root, subscription), manifest(spark, root, subscription.topic).state().version
+    rows = read_versions(spark, root, subscription.topic, place.version + 1, newest + 1)
+    _keep(store, root, subscription, Cursor(newest, place.number, None))
+    return rows
 
 
 def drain(
@@ -141,30 +149,17 @@ def drain(
 
     The second argument numbers the calls. After a failure the same rows come again under the same number.
     """
-    subscription = open_subscription(spark, root, name)
-
-    def give(batches: list[tuple[str, int]], number: int) -> None:
-        each(read_batches(spark, root, subscription.topic, batches), number)
-
-    options = {} if max_batches is None else {"maxFilesPerTrigger": max_batches}
-    _follow(spark, root, subscription, give, **options)
-
-
-def _follow(
-    spark: SparkSession,
-    root: str,
-    subscription: Subscription,
-    each: Callable[[list[tuple[str, int]], int], None],
-    **options,
-) -> None:
-    """Call ``each`` with the batches announced since the last time."""
-
-    def micro_batch(lines: DataFrame, number: int) -> None:
-        batches = sorted((row["tp_producer"], row["tp_batch_id"]) for row in lines.collect())
-        if batches:
-            each(batches, number)
-
-    stream = announced(spark, root, subscription, **options)
-    writer = stream.writeStream.foreachBatch(micro_batch)
-    writer = writer.option("checkpointLocation", f"{_folder(root, subscription.name)}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
+    subscription, store = open_subscription(spark, root, name), Store(spark, root)
+    known, place = manifest(spark, root, subscription.topic), cursor(store, root, subscription)
+    state = known.state()
+    while True:
+        until = place.until
+        if until is None:
+            waiting = known.batches(state, place.version + 1)[:max_batches]
+            if not waiting:
+                return
+            until = waiting[-1][0]
+            _keep(store, root, subscription, place._replace(until=until))
+        each(read_versions(spark, root, subscription.topic, place.version + 1, until + 1), place.number)
+        place = Cursor(until, place.number + 1, None)
+        _keep(store, root, subscription, place)
