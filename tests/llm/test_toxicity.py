@@ -87,3 +87,17 @@ def test_copies_do_not_fill_the_sample(spark):
     one = toxicity.train(spark.createDataFrame(rows, "doc_id int, text string, toxic int").coalesce(1), per_label=100)
     toxic, clean = one.scores(["an idiot here", "an indoor other"])
     assert toxic > clean
+
+
+def test_texts_are_fetched_after_ids_are_joined(spark, monkeypatch):
+    learned = {}
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: learned.update(rows=list(zip(texts, labels.tolist(), strict=True))))
+    docs = [(i, f"text {i % 60}") for i in range(200)] + [(None, "no id"), (500, None), (501, "both"), (501, "both"), (502, "")]
+    marks = [(i, i % 60 % 2) for i in range(200)] + [(None, 1), (500, 1), (501, 0), (501, 1), (502, 0), (503, 1), (7, 5), (8, None)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    toxicity.train_by_id(frame(spark, docs), labels, per_label=1000)
+    assert learned["rows"] == sorted({(f"text {i}", i % 2) for i in range(60)} | {("both", 0), ("both", 1), ("", 0)})
+    toxicity.train_by_id(frame(spark, docs), labels, per_label=5)
+    assert 2 <= len(learned["rows"]) <= 20
+    toxicity.train_by_id(frame(spark, []), labels)
+    assert learned["rows"] == []

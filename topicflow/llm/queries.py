@@ -141,7 +141,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = learnable(table(spark, sf_dir, "labels")).select("doc_id", "toxic")
-    model = toxicity.train(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.train_by_id(docs, labels)
     found = toxicity.score(docs, model)
     return found.select("doc_id", F.expr(f"coalesce({HELD_OUT}, true)").alias("held_out"), "score", "predicted")
 

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicflow.storage import fresh_folder, stored
+
 from topicflow.llm.words import mixed
 
 ORDER, SPAN, DECAY = 4, 7, 0.6
@@ -284,20 +286,38 @@ def _sentence_features(letters: Letters, chosen: np.ndarray, place: np.ndarray,
     return out
 
 
+PICK = "pmod({}, 1000003) / 1000003"  # a place in [0, 1) by hash of the text
+
+
 def train(labelled: DataFrame, per_label: int = 1500) -> Model:
     """Learn from ``labelled`` (text, toxic): about ``per_label`` different texts of each label, picked by hash of the
     text, and never more than twice that; copies count once. Rows with null text or label, or another label than 0 or 1,
     are left out."""
-    usable = labelled.where("text is not null and toxic in (0, 1)").select(
-        F.col("text").cast("string").alias("text"), F.col("toxic").cast("int").alias("toxic")
-    )
-    different = usable.select("toxic", F.xxhash64("text").alias("hash")).distinct()
+    usable = labelled.where("text is not null").select(F.monotonically_increasing_id().alias("doc_id"), "text", "toxic")
+    kept = stored(usable, fresh_folder(labelled.sparkSession, "labelled"))
+    return train_by_id(kept, kept.select("doc_id", "toxic"), per_label)
+
+
+def train_by_id(docs: DataFrame, labels: DataFrame, per_label: int = 1500) -> Model:
+    """Learn from ``docs`` (doc_id, text) whose ``labels`` (doc_id, toxic) say 0 or 1, as :func:`train` does.
+
+    Only ids and hashes of texts are joined with the labels. The picked texts, ``4 * per_label`` at most, are fetched afterwards by
+    id and hash. Rows without id have no label; a text with both labels is learned under both.
+    """
+    texts = docs.where("doc_id is not null and text is not null").select("doc_id", F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("hash", F.xxhash64("text"))
+    marks = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
+    met = texts.select("doc_id", "hash").join(marks, "doc_id").groupBy("toxic", "hash").agg(F.min("doc_id").alias("doc_id"))
+    different = stored(met, fresh_folder(docs.sparkSession, "labelled-hashes"))
     counts = {row.toxic: row.n for row in different.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pick = F.expr("pmod(xxhash64(text), 1000003) / 1000003")
-    rows = []
-    for label, n in counts.items():
-        chosen = usable.where((F.col("toxic") == label) & (pick <= per_label / n)).distinct()
-        rows += chosen.orderBy(pick, "text").limit(2 * per_label).collect()
+    place, picked = F.expr(PICK.format("hash")), []
+    for label, n in sorted(counts.items()):
+        chosen = different.where((F.col("toxic") == label) & (place <= per_label / n))
+        picked += chosen.orderBy(place, "hash").limit(2 * per_label).collect()
+    if not picked:
+        return fit([], np.empty(0, np.int64))
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(picked, different.schema))  # 4 * per_label rows at most
+    rows = texts.join(wanted, ["doc_id", "hash"]).select("text", "toxic").distinct().collect()
     rows.sort(key=lambda row: (row.text, row.toxic))
     return fit([row.text for row in rows], np.array([row.toxic for row in rows], np.int64))
 
