@@ -17,9 +17,7 @@ P = pytest.importorskip("public_tokenizers")
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(P.path("byte_bpe_50k.json"))
 
 
 def checked(found, docs, tokenizer, size):
@@ -80,13 +78,18 @@ def test_best_fit_fills_bins(lengths):
 
 
 def test_ids_like_the_tokenizers_library(tokenizer):
-    encoder = queries.encoder()
+    encode = queries.encoder()
+    end = "<|endoftext|>"
 
     @settings(max_examples=300, deadline=None)
-    @given(st.text(alphabet=st.characters(codec="utf-8"), max_size=60))
-    def same(text):
-        assert encoder.encode_ordinary(text) == tokenizer.encode(text, add_special_tokens=False).ids
+    @given(st.lists(st.one_of(st.text(alphabet=st.characters(codec="utf-8"), max_size=30), st.just(end), st.sampled_from("<|>dx ")), max_size=6))
+    def same(parts):
+        text = "".join(parts)
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
     same()
-    same_text = "<|endoftext|> \u2003 \x85\x1c \u200b it's 12345 ÀÉ \ud7ff"
-    assert encoder.encode_ordinary(same_text) == tokenizer.encode(same_text, add_special_tokens=False).ids
+    for text in (end, end + end, f"a{end}b", f" {end} ", f"{end}\n\n{end}x{end}", "<|endoftext |>", "<|ENDOFTEXT|>", f"<|{end}|>"):
+        assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
+        assert encode(text).count(50256) == text.count(end)
+    text = end + " \u2003 \x85\x1c \u200b it's 12345 ÀÉ \ud7ff"
+    assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids

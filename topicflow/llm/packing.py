@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,27 +25,28 @@ GROUP = 200_000  # underfull bins packed by one task in a later round
 GAIN = 0.02  # a round that closes a smaller share of its bins is the last
 
 
-def end_marked_ids(encoder, text: str | None, end_id: int) -> np.ndarray:
-    ids = encoder.encode_ordinary(text) if text else []
+def end_marked_ids(encode, text: str | None, end_id: int) -> np.ndarray:
+    ids = encode(text) if text else []
     return np.array([*ids, end_id], "<u4")
 
 
-def byte_bpe_encoder(path: str, pattern: str) -> tiktoken.Encoding:
-    """The byte-level BPE of a rank file; same ids as the ``tokenizers`` file of that vocabulary, special strings being
-    ordinary text."""
+def byte_bpe_encoder(path: str, pattern: str, special: dict[str, int]) -> Callable[[str], list[int]]:
+    """The byte-level BPE of a rank file: same ids as the ``tokenizers`` file of that vocabulary, where the strings in ``special``
+    have ids of their own wherever they stand in a text."""
     import base64
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+    return lambda text: encoding.encode(text, allowed_special="all")
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], make_encoder, size: int, end_id: int) -> Iterator[pa.RecordBatch]:
-    encoder = make_encoder()
+    encode = make_encoder()
     for batch in batches:
         rows = []
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            ids = end_marked_ids(encoder, text, end_id)
+            ids = end_marked_ids(encode, text, end_id)
             first = len(ids) % size or size
             starts = [0, *range(first, len(ids), size)]
             for piece, (start, end) in enumerate(zip(starts, [*starts[1:], len(ids)], strict=True)):
@@ -129,7 +130,7 @@ def pieces_of(docs: DataFrame, make_encoder, size: int = 1024, end_id: int = 2)
 def pack(docs: DataFrame, make_encoder, size: int = 1024, end_id: int = 2, nearly: float = 0.995) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for every piece of every row of ``docs``.
 
-    ``make_encoder`` makes, in the task, an object with ``encode_ordinary(text)``. Rows with null or repeated ids are
+    ``make_encoder`` makes, in the task, a function from a text to its ids. Rows with null or repeated ids are
     packed like others. Pieces of equal length are taken in table order. An empty table gives no rows.
     """
     spark = docs.sparkSession

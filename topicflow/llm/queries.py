@@ -72,7 +72,8 @@ def learnable(docs: DataFrame) -> DataFrame:
 def encoder():
     import public_tokenizers
 
-    return packing.byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    special = {"<|endoftext|>": 50256}  # fixed: the vocabulary's only special string
+    return packing.byte_bpe_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special)
 
 
 def word_encoder():
