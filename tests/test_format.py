@@ -159,7 +159,7 @@ def test_wider_and_further_columns(spark, space, root, tmp_path):
     space.create_topic("w", "a int, b float, c decimal(5,2)")
     old = spark.createDataFrame([(1, 0.5, decimal.Decimal("1.25")), (None, None, None)], "a int, b float, c decimal(5,2)")
     space.publish("w", old, producer="p", batch_id=1)
-    wide = "a bigint, b double, c decimal(9,2), d string, e array<int>"
+    wide = "a bigint, b double, c decimal(9,2), d string not null, e array<int> not null"
     assert space.change_topic("w", wide).fetch_schema("w").simpleString() == catalog.as_schema(wide).simpleString()
     space.publish("w", spark.createDataFrame([(2**40, 1e300, decimal.Decimal("7.00"), "x", [1])], wide), producer="p", batch_id=2)
     space.publish("w", old.limit(1), producer="old", batch_id=1)  # a producer that has not changed yet

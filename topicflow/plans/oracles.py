@@ -118,6 +118,33 @@ def oracle_sql() -> dict[str, str]:
                    count(*) as rows, count(*) - 1 as last_offset,
                    cast(sum(strlen(cast(l_orderkey as varchar))) as bigint) as bytes
             from lineitem group by 1, 2""",
+        "format_roundtrip": "select * from events",
+        "format_table": """
+            select vec_id, 'site-a' as tp_producer, cast(4 as bigint) as tp_batch_id,
+                   dense_rank() over (order by vec_id) - 1 as tp_offset,
+                   cast(unnest(range(len(embedding))) as integer) as place, cast(unnest(embedding) as double) as x
+            from embeddings""",
+        "manifest_range": """
+            with placed as (
+              select *, row_number() over (order by o_orderkey % 8, o_orderkey) - 1 as position
+              from orders where o_custkey % 2 = 0)
+            select * from placed
+            where position > (select count(*) // 3 from placed) and position <= (select 4 * count(*) // 5 from placed)""",
+        "topic_compaction": """
+            select *, 'site-a' as tp_producer, event_id % 4 as tp_batch_id,
+                   row_number() over (partition by event_id % 4 order by event_id) - 1 as tp_offset from events""",
+        "topic_release": """
+            select *, 'site-a' as tp_producer, event_id % 4 as tp_batch_id,
+                   row_number() over (partition by event_id % 4 order by event_id) - 1 as tp_offset,
+                   unnest(['left', 'slow', 'fast']) as reader
+            from events where event_id % 4 >= 2""",
+        "schema_change": """
+            select o_orderkey,
+                   case when o_orderkey % 3 > 0 then cast(cast(o_totalprice as float) as double) else o_totalprice end
+                     as o_totalprice,
+                   o_orderstatus, case when o_orderkey % 3 = 0 then o_orderpriority end as o_orderpriority,
+                   case when o_orderkey % 3 = 0 then o_custkey end as customers
+            from orders""",
         "topic_filter": """
             select * rename (event_type as topic) from events where event_type = 'purchase'""",
         "subscribe_from_now": """

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from topicflow.errors import InvalidSubscription
 from topicflow.functions import codec, rows, text
-from topicflow.operators import audit, dedup, kafka, packets, push
+from topicflow.operators import audit, dedup, kafka, packets, push, upkeep
 from topicflow.sources import catalog, log
+from topicflow.sources.format import register
 from topicflow.sources.packets import ingest, ingested, read_packets
 from topicflow.storage import fresh_folder
 from topicflow.streaming import sink, subscriptions
@@ -220,6 +221,115 @@ def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.for_topic(messages, "purchase")
 
 
+# --- the topicflow format, upkeep, schema changes -------------------------------------------------------------------
+
+
+def run_once(stream: DataFrame, folder: str) -> DataFrame:
+    """A stream run to its end with the checkpoint in ``folder``; everything it has given so far."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint")
+    writer.trigger(**ONCE).start(f"{folder}/rows").awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+
+
+@query
+def format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream written to a topic and read back from it under the format's name."""
+    source = table_stream(spark, sf_dir, "events")
+    root = space_for(spark, {"events": source})
+    register(spark)
+    named = {"root": root, "topic": "events"}
+    writer = source.writeStream.format("topicflow").options(**named, producer="site-a").trigger(**ONCE)
+    writer.option("checkpointLocation", f"{root}/checkpoints/in").start().awaitTermination()
+    return drained(spark.readStream.format("topicflow").options(**named).load())
+
+
+@query
+def format_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written to a topic and read back under the format's name, with its stamps."""
+    vectors = table(spark, sf_dir, "embeddings")
+    root = space_for(spark, {"vectors": vectors})
+    register(spark)
+    named = {"root": root, "topic": "vectors"}
+    ordered = vectors.repartitionByRange("vec_id").sortWithinPartitions("vec_id")
+    ordered.write.format("topicflow").options(**named, producer="site-a", batchId="4").mode("append").save()
+    found = spark.read.format("topicflow").options(**named, stamps="true").load()
+    return found.select("vec_id", "tp_producer", "tp_batch_id", "tp_offset", F.posexplode("embedding").alias("place", "x")).withColumn(
+        "x", F.col("x").cast("double")
+    )
+
+
+@query
+def manifest_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range of one producer's positions over eight batches, some of them compacted, among those of another producer."""
+    orders = table(spark, sf_dir, "orders")
+    root = space_for(spark, {"orders": orders})
+    for batch_id in range(8):
+        mine = F.col("o_orderkey") % 8 == batch_id
+        for producer, chosen in (("site-a", mine & (F.col("o_custkey") % 2 == 0)), ("site-b", mine & (F.col("o_custkey") % 2 == 1))):
+            log.publish(spark, root, "orders", orders.where(chosen), producer=producer, batch_id=batch_id, order_by=["o_orderkey"])
+        if batch_id == 4:
+            upkeep.compact(spark, root, "orders")
+    count = orders.where("o_custkey % 2 = 0").count()
+    found = log.offset_range(spark, root, "orders", "site-a", start=count // 3, end=4 * count // 5)
+    return found.select(*orders.columns, F.col("tp_position").alias("position"))
+
+
+@query
+def topic_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream is stopped, the topic compacted and continued, and the stream started again; all its rows with their ids."""
+    events = table(spark, sf_dir, "events")
+    root = space_for(spark, {"events": events})
+    for batch_id in range(4):
+        part = events.where(F.col("event_id") % 4 == batch_id)
+        log.publish(spark, root, "events", part, producer="site-a", batch_id=batch_id, order_by=["event_id"])
+        if batch_id % 2 == 0:
+            rows_so_far = run_once(log.read_topic_stream(spark, root, "events"), f"{root}/out")
+        else:
+            upkeep.compact(spark, root, "events", again=batch_id == 3)
+    upkeep.clear(spark, root, "events", older_than=0)
+    rows_so_far = run_once(log.read_topic_stream(spark, root, "events"), f"{root}/out")
+    return rows_so_far.drop("tp_ts")
+
+
+@query
+def topic_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two readers have both fetched is released and cleared; the slow one still gets the rest, and that is what is left."""
+    events = table(spark, sf_dir, "events")
+    root = space_for(spark, {"events": events})
+    for name in ("fast", "slow"):
+        subscriptions.subscribe(spark, root, "events", name)
+    got = []
+    for batch_id in range(4):
+        part = events.where(F.col("event_id") % 4 == batch_id)
+        log.publish(spark, root, "events", part, producer="site-a", batch_id=batch_id, order_by=["event_id"])
+        if batch_id in (1, 3):
+            got.append(subscriptions.fetch(spark, root, "fast").withColumn("reader", F.lit("fast")))
+        if batch_id == 1:
+            subscriptions.fetch(spark, root, "slow")
+    upkeep.release(spark, root, "events")
+    left = log.read_topic(spark, root, "events").withColumn("reader", F.lit("left"))
+    slow = subscriptions.fetch(spark, root, "slow").withColumn("reader", F.lit("slow"))
+    return left.unionByName(slow).unionByName(got[1]).drop("tp_ts")
+
+
+@query
+def schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in two schemas, the later one wider and with more columns, read as one table, half of it compacted."""
+    orders = table(spark, sf_dir, "orders")
+    old = orders.selectExpr("cast(o_orderkey as int) as o_orderkey", "cast(o_totalprice as float) as o_totalprice", "o_orderstatus")
+    new = orders.selectExpr("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority", "array(o_custkey) as customers")
+    root = space_for(spark, {"orders": old})
+    early, odd = F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 2 == 1
+    for batch_id, part in enumerate((old.where(early & odd), old.where(early & ~odd))):
+        log.publish(spark, root, "orders", part, producer="site-a", batch_id=batch_id)
+    catalog.change_topic(spark, root, "orders", new.schema)
+    log.publish(spark, root, "orders", new.where(~early & odd), producer="site-a", batch_id=2)
+    upkeep.compact(spark, root, "orders")
+    log.publish(spark, root, "orders", new.where(~early & ~odd), producer="site-a", batch_id=3)
+    found = drained(log.topic_source(spark, root, "orders"))
+    return found.withColumn("customers", F.col("customers")[0])
+
+
 # --- subscriptions ---------------------------------------------------------------------------------------------------
 
 

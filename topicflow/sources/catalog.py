@@ -146,6 +146,17 @@ def list_topics(spark: SparkSession, root: str) -> list[str]:
     return sorted(name.removesuffix(".json") for name in names if not name.startswith("_"))
 
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """The same type with nulls allowed everywhere, as stored data is read."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True, f.metadata) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType), True)
+    return kind
+
+
 def source_schema(
     schema: T.StructType, includes_timestamp: bool = False, timestamp_column: str = TIMESTAMP_COLUMN
 ) -> T.StructType:

@@ -295,7 +295,7 @@ class TopicFormat(D.DataSource):
         return "topicflow"
 
     def schema(self) -> T.StructType:
-        schema = Topic(self.options).schema
+        schema = catalog.nullable(Topic(self.options).schema)
         if _flag(self.options, "stamps"):
             return stamped_schema(schema)
         column = self.options.get("timestampColumnName", catalog.TIMESTAMP_COLUMN)
