@@ -31,6 +31,7 @@ def test_any_token_is_read_alone(ids, rng):
     assert file.tokens == len(ids) and file.doc_ids == names
     places = np.array([rng.randrange(len(ids)) for _ in range(50)] if len(ids) else [], np.int64)
     assert (file.ids(places) == ids[places]).all()
+    assert (file.all_ids() == ids).all()
     for k in range(len(names)):
         assert (file.document(k) == ids[starts[k] : starts[k + 1]]).all()
 
@@ -58,7 +59,7 @@ def test_many_blocks_of_rank_and_a_memory_map(tmp_path):
         file = token_files.TokenFile(mapped)
         places = rng.integers(0, len(ids), 1000)
         assert (file.ids(places) == ids[places]).all()
-        assert (file.document(0) == ids).all()
+        assert (file.document(0) == ids).all() and (file.all_ids() == ids).all()
         with pytest.raises(IndexError):
             file.ids(np.array([len(ids)]))
         del file
@@ -66,15 +67,38 @@ def test_many_blocks_of_rank_and_a_memory_map(tmp_path):
         token_files.TokenFile(b"something else")
 
 
-@settings(max_examples=300, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\ń 　\x1cͅΣσİ'<|>")), max_size=40), max_size=4))
-def test_ids_like_the_whole_text(tokenizer, texts):
+PARTS = ["it's", "WE'LL", "Word", "word,", "(a.b)", '"Q!"', "x'!", "don't!?", "A\u030a.", "H\u0331,", "9,", ".", "ÄÖÜß,", "Ça?", "İx.", "ªº", "ĲĿ.", "ŉa", "ǅ", "a_b_", "$$", "=\u0338", "a=\u0338", "ÀÞ×÷,", "×.", "a×,", "é»,", "x;<", "Ā.", "ẖ.", "A\u0301,", "E\u0301\u0301", "x²,", "ʼn", "<|endoftext|>", "<|ENDOFTEXT|>,"]
+
+
+@pytest.mark.parametrize("folds", [False, True])
+def test_ids_like_the_whole_text(tokenizer, folds):
+    import pyarrow as pa
+
+    encode = token_files.SpacedEncoder(tokenizer, folds)
+    letters = st.one_of(st.characters(codec="utf-8"), st.sampled_from(" \t\u0144\xa0\u3000\x1c\x85\u0345\u03a3\u03c3\u0130'<|>!,.aZ"))
+    some = st.one_of(st.text(alphabet=letters, max_size=40), st.lists(st.sampled_from(PARTS), max_size=6).map(" ".join), st.lists(st.sampled_from(PARTS), max_size=4).map("".join))
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.lists(some, max_size=4))
+    def same(texts):
+        texts = [*texts, "<|endoftext|>a <|startoftext|>\n<|endoftext|><|endoftext|>", "it's  WE'L\u0301 \u0301x"]
+        ids, bounds = encode(pa.array(texts, pa.string()))
+        found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+        assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    same()
+
+
+def test_remembering_ends(tokenizer, monkeypatch):
     import pyarrow as pa
 
-    texts = [*texts, "<|endoftext|>a <|startoftext|>\n<|endoftext|><|endoftext|>", "it's  WE'LĹ ́x"]
-    ids, bounds = token_files.SpacedEncoder(tokenizer)(pa.array(texts, pa.string()))
-    found = [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
-    assert found == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_files, "REMEMBERED", 3)
+    encode = token_files.SpacedEncoder(tokenizer, True)
+    for k in range(5):
+        texts = [f"Word{k}, and some others a{k} b{k}.", None, "x" * 100]
+        ids, bounds = encode(pa.array(texts, pa.string()))
+        assert ids.tolist() == [i for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False) for i in e.ids]
+        assert len(encode.known) < 30
 
 
 def expected(docs, tokenizer):

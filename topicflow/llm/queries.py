@@ -79,7 +79,7 @@ def encoder():
 def word_encoder():
     import public_tokenizers
 
-    return token_files.spaced_encoder(public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.spaced_encoder(public_tokenizers.path("word_bpe_49k.json"), folds=True)
 
 
 @query

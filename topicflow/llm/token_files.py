@@ -26,24 +26,28 @@ ascending documents, and listing the folder is enough to know where each shard b
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from topicflow.llm.words import LOWER, text_blocks
 from topicflow.storage import Store
 
 MAGIC = b"TOKDAC1\n"
 SHARD_BITS = 24  # shards of one partition
 SHARD_TOKENS = 16 << 20
 PACKED_AT_ONCE = 1 << 18  # a multiple of 64
-WHITE = r"[\x09-\x0D\x20]+"
-REMEMBERED = 200_000  # chunks of text whose ids an encoder keeps
+TRAILING = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"  # not the apostrophe, which begins endings, nor marks of special strings
+LAST_LATIN, DOTTED_I = "\u024f", "\u0130"
+TEXT_BYTES = 4 << 20
+REMEMBERED = 400_000  # parts of text whose ids a worker process keeps
 LONGEST_REMEMBERED = 48
 FILES = "path string, modificationTime timestamp, length bigint, content binary, shard bigint, tokens bigint, docs bigint"
 
@@ -55,39 +59,128 @@ class SpacedEncoder:
 
     For such a tokenizer the ids of a text are those of its white-space separated parts, one after another. Equal parts of a
     batch are encoded once, and short ones are remembered for the next batches.
+
+    With ``folds`` the tokenizer is one that composes characters, lower-cases them one by one, keeps letters, digits and punctuation
+    apart and marks the last id of each run of letters (``word_end``). Then parts in Latin letters, which are composed as they
+    are, are lower-cased and parted from the punctuation behind them, and runs of letters are encoded as one text.
     """
 
-    def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
-        self.known: dict[str, list[int]] = {}
+    def __init__(self, tokenizer, folds: bool = False, word_end: str = "</w>"):
+        self.tokenizer, self.folds = tokenizer, folds
+        self.known: dict[str, bytes] = {}
+        self.ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
+        self.ends[[number for token, number in tokenizer.get_vocab().items() if token.endswith(word_end)]] = True
+
+    def _encoded(self, words: list[str]) -> Iterator[bytes]:
+        for encoding in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            yield np.array(encoding.ids, np.uint32).tobytes()
+
+    def _encoded_letters(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of runs of Latin letters: encoded as one text, cut behind the ids that end a run."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
+        cuts = np.flatnonzero(self.ends[ids]) + 1
+        if len(cuts) != len(words):
+            yield from self._encoded(words)
+            return
+        content, begin = ids.tobytes(), 0
+        for end in (4 * cuts).tolist():
+            yield content[begin:end]
+            begin = end
+
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of parts not known yet."""
+        letters = [word for word in words if word.isalpha() and max(word) <= LAST_LATIN and DOTTED_I not in word] if self.folds else []
+        self.known.update(zip(letters, self._encoded_letters(letters), strict=True))
+        others = [word for word in words if word not in self.known]
+        self.known.update(zip(others, self._encoded(others), strict=True))
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids before each text (and the end). Null texts have none."""
-        parts = pc.split_pattern_regex(texts.cast(pa.large_string()).fill_null(""), WHITE)
-        coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        new = [word for word in words if word not in self.known]
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known, new = {}, words
-        found = dict(zip(new, (e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        lists = [found[word] if word in found else self.known[word] for word in words]
-        self.known |= {word: ids for word, ids in found.items() if len(word) <= LONGEST_REMEMBERED}
-        sizes = np.array([len(ids) for ids in lists], np.int64)
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
-        codes = coded.indices.to_numpy()
-        counts, starts = sizes[codes], (np.cumsum(sizes) - sizes)[codes]
-        before = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-        ids = flat[np.repeat(starts - before[:-1], counts) + np.arange(before[-1])]
-        offsets = parts.offsets.to_numpy()
-        return ids, before[offsets - offsets[0]]
-
-
-def spaced_encoder(path: str) -> SpacedEncoder:
-    """The encoder of a ``tokenizers`` file. Special strings in a text become their own ids, as that library has it."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    from tokenizers import Tokenizer
-
-    return SpacedEncoder(Tokenizer.from_file(path))
+        ids, sizes = [], [np.zeros(1, np.int64)]
+        for _, data, offsets in text_blocks(texts, TEXT_BYTES):
+            parts, bounds = parted(data, offsets, self.folds)
+            coded = parts.dictionary_encode()
+            words = coded.dictionary.to_pylist()
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            self._learn([word for word in words if word not in self.known])
+            lists = [self.known[word] for word in words]
+            counts = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+            flat, codes = np.frombuffer(b"".join(lists), np.uint32), coded.indices.to_numpy()
+            starts, counts = (np.cumsum(counts) - counts)[codes], counts[codes]
+            before = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+            ids.append(flat[np.repeat(starts - before[:-1], counts) + np.arange(before[-1])])
+            sizes.append(np.diff(before[bounds]))
+            for long in [word for word in words if len(word) > LONGEST_REMEMBERED]:
+                del self.known[long]
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum(np.concatenate(sizes))
+
+
+def _marked(characters: str) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[list(characters.encode())] = True
+    return table
+
+
+IS_WHITE, IS_TRAILING = _marked(" \t\n\x0b\x0c\r"), _marked(TRAILING)
+IS_LETTER = _marked("abcdefghijklmnopqrstuvwxyz")
+
+
+def _folded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with Latin parts lower-cased, and where the punctuation behind such parts begins.
+
+    Only parts are touched whose characters are below U+0240 without the capital dotted i (and its neighbours, lead byte C4),
+    none of which combine, and that have no mark of a special string.
+    """
+    other = (data > 0xC8) | (data == 0xC4) | (data == ord("<"))
+    others = np.concatenate([[0], np.cumsum(other, dtype=np.int32)])
+    latin = others[ends] == others[starts]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts[latin]] += 1
+    inside[ends[latin]] -= 1
+    lower = LOWER[data]
+    accented = np.flatnonzero(data[:-1] == 0xC3) + 1  # U+00C0 to U+00FF
+    second = data[accented]
+    capital = accented[(second <= 0x9E) & (second != 0x97)]
+    lower[capital] += 0x20
+    folded = np.where(np.cumsum(inside[:-1], dtype=np.int8).astype(bool), lower, data)
+    place = np.arange(len(data), dtype=np.int32)
+    last = np.maximum.accumulate(np.where(IS_TRAILING[folded], np.int32(-1), place))[ends - 1]
+    cut = latin & (last >= starts) & (last + 1 < ends)
+    last = last[cut]
+    final, before = folded[last], folded[np.maximum(last - 1, 0)]
+    letter = IS_LETTER[final] | ((before == 0xC3) & (final >= 0x80) & (final != 0x97) & (final != 0xB7))
+    return folded, last[letter].astype(np.int64) + 1
+
+
+def parted(data: np.ndarray, offsets: np.ndarray, folds: bool) -> tuple[pa.Array, np.ndarray]:
+    """Texts cut into parts, the white space between them parts as well, and the number of parts before each text."""
+    edges = np.zeros(len(data) + 1, bool)
+    white = IS_WHITE[data]
+    edges[1:-1] = white[1:] != white[:-1]
+    edges[offsets] = True
+    places = np.flatnonzero(edges)
+    if folds and len(data):
+        full = np.flatnonzero(~white[places[:-1]])
+        data, cuts = _folded(data, places[full], places[full + 1])
+        edges[cuts] = True
+        places = np.flatnonzero(edges)
+    buffers = [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.LargeStringArray.from_buffers(len(places) - 1, buffers[1], buffers[2]), np.searchsorted(places, offsets)
+
+
+def spaced_encoder(path: str, folds: bool = False) -> SpacedEncoder:
+    """The encoder of a ``tokenizers`` file. Special strings in a text become their own ids, as that library has it.
+
+    A worker process keeps it, with what it remembers, for its later tasks.
+    """
+    kept = sys.modules.setdefault("topicflow_worker_state", types.ModuleType("topicflow_worker_state")).__dict__
+    if (path, folds) not in kept:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        kept[path, folds] = SpacedEncoder(Tokenizer.from_file(path), folds)
+    return kept[path, folds]
 
 
 def best_widths(ids: np.ndarray, most: int = 4) -> list[int]:
@@ -187,6 +280,13 @@ class TokenFile:
         below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
         return found + np.bitwise_count(bitmap[word] & below)
 
+    @staticmethod
+    def _chunks(chunks: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
+        bit = at * width
+        low, part = bit >> 6, (bit & 63).astype(np.uint64)
+        high = np.where(part > 0, chunks[low + 1] << (np.uint64(63) - (part - np.uint64(1)) % np.uint64(64)), 0)
+        return ((chunks[low] >> part) | high) & np.uint64((1 << width) - 1)
+
     def ids(self, places: np.ndarray) -> np.ndarray:
         """The ids of the tokens at ``places``, in any order."""
         at = np.asarray(places, np.int64)
@@ -194,17 +294,28 @@ class TokenFile:
             raise IndexError("no such token")
         found, shift, alive = np.zeros(len(at), np.uint64), 0, np.arange(len(at))
         for width, chunks, bitmap, directory in self._levels:
-            bit = at * width
-            low, part = bit >> 6, (bit & 63).astype(np.uint64)
-            high = np.where(part > 0, chunks[low + 1] << (np.uint64(63) - (part - np.uint64(1)) % np.uint64(64)), 0)
-            value = ((chunks[low] >> part) | high) & np.uint64((1 << width) - 1)
-            found[alive] |= value << np.uint64(shift)
+            found[alive] |= self._chunks(chunks, width, at) << np.uint64(shift)
             if bitmap is None:
                 break
             more = self._bits(bitmap, at)
             alive, at, shift = alive[more], self._rank(bitmap, directory, at[more]), shift + width
         return found.astype(np.uint32)
 
+    def all_ids(self) -> np.ndarray:
+        """The ids of all tokens. Levels are read from end to end, so no ranks are needed."""
+        found, shift, alive = np.zeros(self.tokens, np.uint32), 0, None
+        for width, chunks, bitmap, _ in self._levels:
+            count, kept = self.tokens if alive is None else len(alive), []
+            for begin in range(0, count, PACKED_AT_ONCE):
+                at = np.arange(begin, min(count, begin + PACKED_AT_ONCE))
+                mine = slice(begin, begin + len(at)) if alive is None else alive[at]
+                found[mine] |= self._chunks(chunks, width, at).astype(np.uint32) << np.uint32(shift)
+                if bitmap is not None:
+                    more = at[self._bits(bitmap, at)]
+                    kept.append(more if alive is None else alive[more])
+            alive, shift = np.concatenate([*kept, np.zeros(0, np.int64)]), shift + width
+        return found
+
     def document(self, number: int) -> np.ndarray:
         return self.ids(np.arange(self.starts[number], self.starts[number + 1]))
 
@@ -284,7 +395,8 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
             file = TokenFile(content.as_buffer())
-            digests = [zlib.crc32(file.document(k).astype("<u4").tobytes()) for k in range(file.documents)]
+            ids, cuts = file.all_ids().astype("<u4", copy=False), file.starts.tolist()
+            digests = [zlib.crc32(ids[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.full(file.documents, shard, np.int64)),
