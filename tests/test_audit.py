@@ -96,6 +96,49 @@ def test_against_a_hub(spark, tmp_path, seed, width, fan_width):
     assert {r.seq for r in found.undelivered.collect()} == sends - {seq for seq, _ in fetched}
 
 
+@pytest.mark.parametrize("width, crowd", [(4, 3), (1, 100), (256, 2)])
+def test_spans_meet_messages(spark, monkeypatch, width, crowd):
+    """Many topics, sparse numbers, equal numbers, spans open at both sides, crowded stretches."""
+    monkeypatch.setattr(audit, "CROWD", crowd)
+    chance = random.Random(width)
+    sends = [(chance.randrange(0, 400) * 10**12, chance.choice("abcdefgh")) for _ in range(300)] + [(None, "a"), (5, None)]
+    spans = []
+    for n in range(150):
+        start = chance.randrange(-20, 420) * 10**12
+        end = chance.choice([None, start, start + 1, start + chance.randrange(1, 300) * 10**12])
+        spans.append((chance.choice("abcdxy"), start, end, n))
+    spans += [("a", None, 3, 900), (None, 1, 3, 901), ("a", 10**12, None, 902), ("a", 10**12, None, 902)]
+    found = audit.spans_joined(
+        spark.createDataFrame(sends, "seq bigint, topic string"),
+        spark.createDataFrame(spans, "topic string, start_seq bigint, end_seq bigint, name int"),
+        width,
+    )
+    assert found.columns == ["seq", "topic", "start_seq", "end_seq", "name"]
+    wanted = [
+        (seq, topic, start, end, name) for seq, topic in sends for on, start, end, name in spans
+        if topic is not None and topic == on and None not in (seq, start) and start < seq and (end is None or seq < end)
+    ]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, wanted))
+
+
+def test_spans_are_not_repeated_where_nothing_is_sent(spark, monkeypatch):
+    """Ten thousand topics, one busy: the rows that are joined follow the result."""
+    sizes, plain = {}, audit.stored
+
+    def measured(frame, folder):
+        kept = plain(frame, folder)
+        sizes[folder.rsplit("/", 1)[1].split("-")[0]] = kept.count()
+        return kept
+
+    monkeypatch.setattr(audit, "stored", measured)
+    sends = spark.range(20_000).selectExpr("id * 1000 as seq", "if(id % 2 = 0, 'busy', concat('t', id)) as topic")
+    spans = spark.range(5000).selectExpr("concat('t', 2 * id + 1) as topic", "0L as start_seq", "cast(null as bigint) as end_seq")
+    spans = spans.union(spark.sql("select 'busy', 10L, 5000000L")).union(spark.sql("select 'idle', 10L, cast(null as bigint)"))
+    result = audit.spans_joined(sends, spans).count()
+    assert result == 5000 + 2499
+    assert sizes["touched"] <= 2 * 5002 + result / audit.FAN_OUT_WIDTH
+
+
 @pytest.mark.parametrize("threshold", ["-1", "10485760"])
 def test_same_with_and_without_broadcast(spark, tmp_path, threshold):
     actions = random_actions(4, 300)

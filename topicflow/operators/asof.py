@@ -1,4 +1,5 @@
-"""Order-based building blocks that no key can overload: global rank, buckets of equal size, the next event after a row.
+"""Order-based building blocks that no key can overload: global rank, running count, buckets of equal size, the next
+event after a row.
 
 Rows are put in order by range partitions, so a bucket is a stretch of ranks and holds the same number of rows whatever
 the numbers are: dense, sparse, or times in nanoseconds. Inside a bucket a window finds the answer; between buckets one
@@ -7,8 +8,14 @@ line per bucket (and key) is carried across.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from topicflow.storage import fresh_folder, stored
 
@@ -34,6 +41,32 @@ def ranked(rows: DataFrame, *order: str, out: str = "tp_rank") -> DataFrame:
     return placed.join(before, "tp_part").select(*rows.columns, (F.col("tp_before") + inside + 1).alias(out))
 
 
+def _cumulated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the last column, 0 or 1, by its running sum within the partition, and add the partition's number."""
+    total, part = 0, TaskContext.get().partitionId()
+    for batch in batches:
+        sums = total + np.cumsum(batch.column(batch.num_columns - 1).to_numpy(), dtype=np.int64)
+        total = int(sums[-1]) if len(sums) else total
+        columns = [*batch.columns[:-1], pa.array(sums), pa.array(np.full(len(batch), part, np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "tp_part"])
+
+
+def running_count(rows: DataFrame, *order: str, what: Column, out: str) -> DataFrame:
+    """Add to each row how many rows, up to and with itself in the given order, ``what`` holds for; ties in any order.
+
+    One sort over range partitions; only a line per partition is carried across them. The result starts from stored rows.
+    """
+    ordered = rows.withColumn("tp_tie", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = ordered.repartitionByRange(*order, "tp_tie").sortWithinPartitions(*order, "tp_tie").drop("tp_tie")
+    counted = ordered.withColumn(out, F.coalesce(what, F.lit(False)).cast("bigint"))
+    shape = T.StructType([*counted.schema.fields, T.StructField("tp_part", T.LongType())])
+    placed = stored(counted.mapInArrow(_cumulated, shape), fresh_folder(rows.sparkSession, "counted"))
+    sums = placed.groupBy("tp_part").agg(F.max(out).alias("tp_sum"))
+    earlier = Window.orderBy("tp_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select("tp_part", F.coalesce(F.sum("tp_sum").over(earlier), F.lit(0)).alias("tp_before"))
+    return placed.join(before, "tp_part").select(*rows.columns, (F.col(out) + F.col("tp_before")).alias(out))
+
+
 def bucketed(rows: DataFrame, *order: str, width: int = WIDTH) -> DataFrame:
     """Add ``tp_bucket``: stretches of ``width`` rows in the given order."""
     numbered = ranked(rows, *order)

@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicflow.operators.asof import WIDTH, first_after, largest_before, ranked
+from topicflow.operators.asof import WIDTH, first_after, largest_before, ranked, running_count
 from topicflow.storage import Store, fresh_folder, stored
 
 # Action names of the request protocol.
@@ -27,7 +27,9 @@ MODES = {
     "kafka": (SEND,),
     "null": (),
 }
-FAN_OUT_WIDTH = 10_000
+FAN_OUT_WIDTH = 256
+CROWD = 100_000  # spans of a stretch that are joined with its messages by one task
+END, MESSAGE, START = 0, 1, 2  # in this order at one number: a span holds what is strictly inside
 SPREAD = 4096
 
 
@@ -95,31 +97,44 @@ def classify_requests(
 def spans_joined(sends: DataFrame, spans: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
     """Each message with each span open on its topic: ``span`` columns and ``seq`` with start_seq < seq < end_seq.
 
-    ``spans``: ``topic``, ``start_seq``, ``end_seq`` (null: open to the end) and more. All numbers are ranked together, so
-    a stretch of ``width`` ranks holds that many events at most, however sparse the numbers are. Spans are repeated for
-    each stretch they touch and joined on (topic, stretch): a message meets only spans around its own place, and a
-    busy topic is spread over its stretches.
+    ``spans``: ``topic``, ``start_seq``, ``end_seq`` (null: open to the end) and more. One sweep over messages and span ends,
+    in order of topic and number, counts the messages before each end. So a span becomes a range of message ranks; spans that
+    meet no message end here. The others are repeated for each stretch of ``width`` ranks of their range and joined with the
+    messages of that stretch. All inner stretches are full of messages of the span's topic, so no more than two rows a span
+    and one for every ``width`` rows of the result are shuffled, whatever the number of topics. Where very many spans
+    meet in one stretch they are dealt into shares of about ``CROWD``, and the stretch's messages are repeated for each.
     """
-    marks = sends.select("seq").union(spans.select("start_seq")).union(spans.select("end_seq"))
-    places = ranked(marks.where("seq is not null").distinct(), "seq")
-    places = places.select(F.col("seq").alias("tp_seq"), F.expr(f"tp_rank div {int(width)}L").alias("tp_bucket"))
-    last = places.agg(F.max("tp_bucket")).scalar()
-
-    def placed(frame: DataFrame, column: str, out: str) -> DataFrame:
-        at = places.withColumnRenamed("tp_bucket", out)
-        return frame.join(at, F.col(column) == F.col("tp_seq"), "left").drop("tp_seq")
-
-    touched = placed(placed(spans, "start_seq", "tp_from"), "end_seq", "tp_to")
-    touched = touched.withColumn("tp_to", F.coalesce(F.col("tp_to"), last)).where("tp_from <= tp_to")
-    touched = touched.withColumn("tp_bucket", F.explode(F.sequence("tp_from", "tp_to"))).drop("tp_from", "tp_to")
+    spark = sends.sparkSession
+    usable = spans.where("topic is not null and start_seq is not null")
+    usable = stored(usable.withColumn("tp_span", F.monotonically_increasing_id()), fresh_folder(spark, "spans"))
+    nobody, no = F.lit(None).cast("bigint"), F.lit(False)
+    messages = sends.where("topic is not null and seq is not null").select(
+        "topic", "seq", F.lit(MESSAGE).alias("tp_kind"), nobody.alias("tp_span"), no.alias("tp_open")
+    )
+    starts = usable.select("topic", "start_seq", F.lit(START), "tp_span", no)
+    ends = usable.select("topic", "end_seq", F.lit(END), "tp_span", F.col("end_seq").isNull())
+    is_message = F.col("tp_kind") == MESSAGE
+    swept = running_count(
+        messages.union(starts).union(ends), "topic", "tp_open", "seq", "tp_kind", what=is_message, out="tp_rank"
+    )
+    first = F.max(F.when(F.col("tp_kind") == START, F.col("tp_rank") + 1)).alias("tp_from")
+    last = F.max(F.when(F.col("tp_kind") == END, F.col("tp_rank"))).alias("tp_to")
+    reach = swept.where(~is_message).groupBy("tp_span").agg(first, last).where("tp_from <= tp_to")
+    stretches = F.sequence(F.expr(f"tp_from div {int(width)}L"), F.expr(f"tp_to div {int(width)}L"))
+    touched = usable.drop("topic", "seq").join(reach, "tp_span").withColumn("tp_bucket", F.explode(stretches))
+    touched = stored(touched, fresh_folder(spark, "touched"))
+    crowded = touched.groupBy("tp_bucket").agg(F.expr(f"1 + count(1) div {CROWD}L").alias("tp_shares")).where("tp_shares > 1")
+    shares = F.coalesce("tp_shares", F.lit(1))
+    dealt = touched.join(crowded, "tp_bucket", "left").withColumn("tp_share", F.pmod(F.xxhash64("tp_span"), shares))
+    placed = swept.where(is_message).select("seq", "topic", "tp_rank", F.expr(f"tp_rank div {int(width)}L").alias("tp_bucket"))
+    placed = placed.join(crowded, "tp_bucket", "left").withColumn("tp_share", F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)))
     # the join multiplies rows: spread the messages first, over a fixed number of partitions that stay apart
-    parts = int(sends.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    messages = placed(sends.select("seq", "topic"), "seq", "tp_bucket").repartition(parts, "topic", "tp_bucket")
-    # Spark would guess the repeated spans to be as small as the plain ones and might broadcast them
-    met = messages.join(touched.hint("merge"), ["topic", "tp_bucket"]).where(
-        (F.col("seq") > F.col("start_seq")) & (F.col("end_seq").isNull() | (F.col("seq") < F.col("end_seq")))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = placed.drop("tp_shares").repartition(parts, "tp_bucket", "tp_share")
+    met = met.join(dealt.drop("tp_shares").hint("merge"), ["tp_bucket", "tp_share"])
+    return met.where("tp_rank between tp_from and tp_to").select(
+        "seq", "topic", *(name for name in spans.columns if name not in ("topic", "seq"))
     )
-    return met.drop("tp_bucket")
 
 
 def fan_out(sends: DataFrame, intervals: DataFrame, width: int = FAN_OUT_WIDTH) -> DataFrame:
