@@ -211,6 +211,12 @@ def oracle_sql() -> dict[str, str]:
         "dedup_late_rows": STAMPED_EVENTS,
         "ingest_topic": STAMPED_EVENTS,
         "dedup_table": STAMPED_EVENTS,
+        "delivered_ranges": """
+            with o as (select row_number() over (order by event_id) - 1 as o from events),
+            seen as (select o from o where o % 5 <> 2 or (o % 10 <> 7 and o % 1000 < 600)),
+            runs as (select o, o - row_number() over (order by o) as run from seen)
+            select 'site-a' as tp_producer, cast(7 as bigint) as tp_batch_id, min(o) as first, max(o) as until
+            from runs group by run""",
         "push_receipts": """
             select (n - 1) // 1000 as shard, cast(count(*) as bigint) as rows, cast(1 as integer) as attempts
             from (select row_number() over (order by event_id) as n from events) group by 1""",
@@ -233,6 +239,12 @@ def oracle_sql() -> dict[str, str]:
         "subscription_intervals": f"with {ACTIONS} select * from intervals",
         "fan_out": f"with {ACTIONS} select * from deliveries",
         "drain_assignment": f"with {ACTIONS} select * from assigned",
+        "drain_assignment_stream": f"with {ACTIONS} select * from assigned",
+        "undelivered_stream": f"""
+            with {ACTIONS}
+            select seq, topic from judged
+            where action = 'actionSendStream' and status = 'ok'
+              and seq not in (select seq from assigned where fetch_seq is not null)""",
         "undelivered": f"""
             with {ACTIONS}
             select seq, topic from judged

@@ -16,6 +16,7 @@ from topicflow.sources.format import register
 from topicflow.sources.packets import ingest, ingested, read_packets
 from topicflow.storage import fresh_folder
 from topicflow.streaming import sink, subscriptions
+from topicflow.streaming.audit_stream import AuditStream, audit_stream
 from topicflow.streaming.listeners import Collector, printed_lines
 
 ONCE = {"availableNow": True}
@@ -621,6 +622,16 @@ def ingest_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_sends(spark, sf_dir, ["tp_offset % 2 = 0", "true"], together=True)
 
 
+@query
+def delivered_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is known as delivered after two deliveries with gaps that overlap."""
+    stored_rows = log.read_topic(spark, events_topic(spark, sf_dir), "events")
+    folder = fresh_folder(spark, "arrivals")
+    for part in ("tp_offset % 5 <> 2", "tp_offset % 10 <> 7 and tp_offset % 1000 < 600"):
+        dedup.store_batch(stored_rows.where(part), folder)
+    return dedup.Delivered(spark, folder).ranges().drop("tp_block")
+
+
 @query
 def dedup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on a table."""
@@ -686,6 +697,29 @@ def drain_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.drain_assignment(steps.sends, steps.spans)
 
 
+def audited_in_parts(spark: SparkSession, sf_dir: str) -> AuditStream:
+    """The request log published in three parts, each taken in by a stream over the topic that is started again."""
+    actions, topics = request_log(spark, sf_dir)
+    root = space_for(spark, {"requests": actions})
+    third = actions.agg(F.max("seq")).first()[0] // 3 + 1
+    for part in range(3):
+        rows = actions.where(F.expr(f"seq div {third}") == part)
+        log.publish(spark, root, "requests", rows, producer="hub", batch_id=part)
+        stream = log.topic_source(spark, root, "requests")
+        audit_stream(stream, topics, f"{root}/audit", checkpoint=f"{root}/checkpoints/audit", trigger=ONCE).awaitTermination()
+    return AuditStream(spark, f"{root}/audit", topics)
+
+
+@query
+def drain_assignment_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited_in_parts(spark, sf_dir).assigned
+
+
+@query
+def undelivered_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited_in_parts(spark, sf_dir).undelivered
+
+
 @query
 def undelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audited(spark, sf_dir).undelivered
