@@ -9,9 +9,8 @@ from pyspark import cloudpickle
 from topicflow.operators import packets, push
 
 TASKS = {
-    "number": lambda: packets._numberer(10, {0: (0, 0, 0)}),
+    "number": lambda: packets._numberer(10),
     "describe": lambda: packets._describer(10),
-    "chain": lambda: packets._chainer(10),
     "push to a folder": lambda: push._pusher("t", push.delivery("file:///nowhere"), 10, 0.1),
     "push to a site": lambda: push._pusher("t", push.delivery("https://example.org"), 10, 0.1),
 }

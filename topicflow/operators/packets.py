@@ -3,8 +3,10 @@
 A packet ends with the first row that brings it to the limit, so it may pass the limit by one row. Where a packet ends
 depends on where the one before it ended, which makes the cut sequential within a shard. So rows are range-partitioned by
 (shard, order), and a large shard covers many partitions (blocks). Each block describes, in a small table, how it would
-leave the packet state for every state it could be entered with. Tables of neighbouring blocks are put together, these
-are chained, and so the state each block is entered with is found; then all blocks are walked in parallel.
+leave the packet state for every state it could be entered with. Descriptions of neighbouring blocks are composed, these again, and
+so on, in as many levels as the number of blocks has digits. Then the state each group is entered with is handed down
+level by level. Every step runs over all groups of its level at once, what is found is a table, and the rows of a
+block meet their entry state by a join.
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from topicflow.functions.rows import quoted
 from topicflow.storage import fresh_folder, stored, written_once
 
 GROUP_BLOCKS = 64  # neighbouring blocks that are described as one
+BROADCAST_BLOCKS = 200_000  # entry states, of some 30 bytes, that are sent to every task
+ENTRY = [("tp_in_packet", "bigint"), ("tp_in_filled", "bigint"), ("tp_in_rows", "bigint")]
 MAX_PACKET_SIZE = 10 * 1024 * 1024  # fixed value: the default limit of a packet
 
 
@@ -69,25 +73,28 @@ def _numbers(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64, copy=False)
 
 
-def _numberer(limit: int, entered: dict[int, tuple[int, int, int]] | None):
-    """Adds packet and place to sorted rows. ``entered`` gives the state each block starts with."""
+def _numberer(limit: int):
+    """Adds packet and place to sorted rows. Rows of a block say the state it is entered with, the same in each."""
+    entry = [name for name, _ in ENTRY]
 
     def run(batches):
-        cutter, last = None, None
+        cutter, last, inside = None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, sizes = batch.column("tp_key"), _numbers(batch, "tp_size")
+            sizes, blocks = _numbers(batch, "tp_size"), batch.column("tp_block")
             packets, places = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-            for begin, end in _runs(keys):
-                key = keys[begin].as_py()
-                if cutter is None and entered is not None:
-                    cutter = Cutter(limit, *entered[batch.column("tp_block")[begin].as_py()])
-                elif key != last:
-                    cutter = Cutter(limit)
-                last = key
-                packets[begin:end], places[begin:end] = cutter.number(sizes[begin:end])
-            kept = batch.drop_columns([name for name in ("tp_key", "tp_block") if name in batch.schema.names])
+            for left, right in _runs(blocks):
+                keys = batch.column("tp_key").slice(left, right - left)
+                for begin, end in _runs(keys):
+                    key, block, at = keys[begin].as_py(), blocks[left].as_py(), left + begin
+                    if block != inside:
+                        cutter = Cutter(limit, *(batch.column(name)[at].as_py() for name in entry))
+                    elif key != last:
+                        cutter = Cutter(limit)
+                    last, inside, until = key, block, left + end
+                    packets[at:until], places[at:until] = cutter.number(sizes[at:until])
+            kept = batch.drop_columns([name for name in ("tp_key", "tp_block", *entry) if name in batch.schema.names])
             yield kept.append_column("tp_packet", pa.array(packets)).append_column("tp_packet_offset", pa.array(places))
 
     return run
@@ -99,7 +106,7 @@ _BLOCK = (
     "tp_block int, tp_step bigint, first_key string, last_key string, single boolean, "
     "need bigint, packets bigint, filled bigint, rows bigint"
 )
-_ENTRY = "tp_block int, packet bigint, filled bigint, rows bigint"
+_ENTRY = "tp_block int, " + ", ".join(f"{name} {kind}" for name, kind in ENTRY)
 
 
 def _exits(sizes: np.ndarray, limit: int) -> dict[str, np.ndarray]:
@@ -169,42 +176,6 @@ def _describer(limit: int):
     return run
 
 
-def _chainer(limit: int):
-    """Walks the block descriptions in order and gives each block the state it is entered with."""
-
-    def run(batches):
-        state, last, open_lookup = (0, 0, 0), None, None
-        for batch in batches:
-            entries = []
-            blocks, steps = batch.column("tp_block"), _numbers(batch, "tp_step")
-            for begin, end in _runs(blocks) if batch.num_rows else ():
-                if steps[begin] == -1:
-                    line = batch.slice(begin, 1).to_pylist()[0]
-                    packet, filled, rows = state if line["first_key"] == last else (0, 0, 0)
-                    entries.append((line["tp_block"], packet, filled, rows))
-                    if line["single"]:  # until an exit is found below: no packet ends in this block
-                        state = (packet, filled + line["filled"], rows + line["rows"])
-                        open_lookup = (packet, limit - filled)
-                    else:
-                        state, open_lookup = (line["packets"], line["filled"], line["rows"]), None
-                    last = line["last_key"]
-                    begin += 1
-                if open_lookup and begin < end:
-                    packet, missing = open_lookup
-                    found = begin + int(np.searchsorted(_numbers(batch.slice(begin, end - begin), "need"), missing))
-                    if found < end:
-                        line = batch.slice(found, 1).to_pylist()[0]
-                        state, open_lookup = (packet + line["packets"], line["filled"], line["rows"]), None
-            columns = zip(*entries) if entries else ([], [], [], [])
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(column), kind) for column, kind in zip(columns, kinds)],
-                names=["tp_block", "packet", "filled", "rows"],
-            )
-
-    return run
-
-
 class _Described:
     """A block, or several in a row, by how it would leave the packet state."""
 
@@ -289,39 +260,41 @@ def _joiner(limit: int, size: int):
     return run
 
 
-def _walker(limit: int, size: int, entered: dict[int, tuple[int, int, int]]):
-    """The states the blocks of a group are entered with."""
+def _walker(limit: int):
+    """The states the blocks of a group are entered with, from the state the group is entered with."""
 
-    def run(lines: pa.Table) -> pa.Table:
+    def run(lines: pa.Table, entered: pa.Table) -> pa.Table:
         entries, state, last = [], None, None
-        for number, block in _in_order(lines.drop_columns(["tp_group"])):
+        for number, block in _in_order(lines.drop_columns(["tp_group"])) if lines.num_rows else ():
             if state is None:
-                state = entered[number // size]
+                state = tuple(entered.column(name)[0].as_py() for name, _ in ENTRY)
             elif block.first_key != last:
                 state = (0, 0, 0)
             entries.append((number, *state))
             state, last = block.leave(state, limit), block.last_key
-        names = ("tp_block", "packet", "filled", "rows")
-        columns = dict(zip(names, zip(*entries, strict=True), strict=True))
-        return pa.table({n: pa.array(c, pa.int32() if n == "tp_block" else pa.int64()) for n, c in columns.items()})
+        names = ("tp_block", *(name for name, _ in ENTRY))
+        columns = zip(*entries, strict=True) if entries else [()] * len(names)
+        return pa.table({n: pa.array(c, pa.int32() if n == "tp_block" else pa.int64()) for n, c in zip(names, columns, strict=True)})
 
     return run
 
 
-def _entry_states(blocks: DataFrame, limit: int) -> dict[int, tuple[int, int, int]]:
-    """State at the start of each block: one short entry per partition.
-
-    Groups of neighbouring blocks are described as one, in parallel; only these descriptions are chained by one task;
-    then the blocks of each group are walked, again in parallel.
-    """
+def _entry_states(blocks: DataFrame, limit: int, count: int) -> DataFrame:
+    """The state each of ``count`` blocks is entered with, as a stored table of one line per block."""
+    spark = blocks.sparkSession
     described = blocks.select("tp_key", "tp_block", "tp_size").mapInArrow(_describer(limit), _BLOCK)
-    described = stored(described, fresh_folder(blocks.sparkSession, "blocks"))
-    grouped = described.withColumn("tp_group", F.expr(f"tp_block div {GROUP_BLOCKS}")).groupBy("tp_group")
-    groups = grouped.applyInArrow(_joiner(limit, GROUP_BLOCKS), _BLOCK)
-    chained = groups.repartition(1).sortWithinPartitions("tp_block", "tp_step").mapInArrow(_chainer(limit), _ENTRY)
-    entered = {row["tp_block"]: (row["packet"], row["filled"], row["rows"]) for row in chained.collect()}
-    walked = grouped.applyInArrow(_walker(limit, GROUP_BLOCKS, entered), _ENTRY)
-    return {row["tp_block"]: (row["packet"], row["filled"], row["rows"]) for row in walked.collect()}
+    levels, width = [stored(described, fresh_folder(spark, "blocks"))], count
+    group = F.expr(f"tp_block div {GROUP_BLOCKS}").cast("int").alias("tp_group")
+    while width > GROUP_BLOCKS:
+        joined = levels[-1].select("*", group).groupBy("tp_group").applyInArrow(_joiner(limit, GROUP_BLOCKS), _BLOCK)
+        levels.append(stored(joined, fresh_folder(spark, "blocks")))
+        width = -(-width // GROUP_BLOCKS)
+    entered = spark.range(1).selectExpr("cast(id as int) as tp_block", *(f"0L as {name}" for name, _ in ENTRY))
+    for level in reversed(levels):  # from at most GROUP_BLOCKS descriptions down to all blocks
+        lines = level.select("*", group).groupBy("tp_group")
+        walked = lines.cogroup(entered.withColumnRenamed("tp_block", "tp_group").groupBy("tp_group"))
+        entered = stored(walked.applyInArrow(_walker(limit), _ENTRY), fresh_folder(spark, "entries"))
+    return entered
 
 
 def packetize(
@@ -352,4 +325,11 @@ def packetize(
     # the entry states hold only for these very partitions, so they must not be computed anew
     ranged = sized.repartitionByRange(*sort).sortWithinPartitions(*sort)
     blocks = written_once(ranged.withColumn("tp_block", F.spark_partition_id()))
-    return blocks.mapInArrow(_numberer(limit, _entry_states(blocks, limit)), kept)
+    count = blocks.rdd.getNumPartitions()
+    entered = _entry_states(blocks, limit, count)
+    if count <= BROADCAST_BLOCKS:
+        met = blocks.join(F.broadcast(entered), "tp_block")  # rows stay where and in the order they are
+    else:
+        met = blocks.join(entered.hint("merge"), "tp_block").sortWithinPartitions("tp_block", *sort)
+    columns = [*map(quoted, [*rows.columns, "tp_size", "tp_key"]), "tp_block", *(name for name, _ in ENTRY)]
+    return met.select(*columns).mapInArrow(_numberer(limit), kept)
