@@ -3,9 +3,15 @@ from conftest import ROWS2
 from pyspark.sql import DataFrameWriter
 
 from topicflow import TopicSpace
+from topicflow.operators import kafka
 from topicflow.operators.kafka import forward_to_kafka, kafka_records
 
 
+@pytest.fixture
+def space(spark, root):
+    return TopicSpace(spark, root).create_topic("v", "value string")
+
+
 @pytest.fixture
 def stored(spark, root):
     space = TopicSpace(spark, root).create_topic("topic-2", "value string, n bigint")
@@ -56,3 +62,49 @@ def test_forwarding(stored, monkeypatch):
 def test_a_failed_send_is_not_hidden(stored):
     with pytest.raises(Exception):
         forward_to_kafka(stored, "out", "nowhere:1")
+
+
+def test_a_repeated_forward_sends_the_rest_only(spark, space, tmp_path):
+    """The writer fails midway; the second run sends what is missing, the third nothing."""
+    for batch_id in range(4):
+        rows = [(f"b{batch_id}r{n}",) for n in range(10)]
+        space.publish("v", spark.createDataFrame(rows, "value string"), producer="p-1", batch_id=batch_id)
+    space.publish_rows("v", ["q"], producer="q.2", batch_id=-3)
+    ledger, sent, broken = str(tmp_path / "ledger"), [], [True]
+
+    def write(records):
+        if len(sent) == 3 and broken.pop():
+            raise OSError("no broker")
+        sent.append(sorted(r.key for r in records.collect()))
+
+    rows = space.rows("v")
+    with pytest.raises(OSError):
+        kafka.forward_once(rows, "t", ledger, write, records_per_send=4)
+    before = [list(group) for group in sent]
+    assert len(before) == 3 and all(len(group) <= 4 for group in before)
+    broken.append(False)
+    assert kafka.forward_once(rows, "t", ledger, write, records_per_send=4) == 41 - sum(map(len, before))
+    assert sorted(key for group in sent for key in group) == sorted([*(f"{b}-{o}" for b in range(4) for o in range(10)), "-3-0"])
+    assert len([key for group in sent for key in group]) == 41 == len({key for group in sent for key in group})
+    assert kafka.forward_once(rows, "t", ledger, write, records_per_send=4) == 0
+    space.publish_rows("v", ["new"], producer="q.2", batch_id=4)
+    assert kafka.forward_once(space.rows("v"), "t", ledger, write, records_per_send=4) == 1 and sent[-1] == ["4-0"]
+    receipts = kafka.sent_records(spark, ledger)
+    assert receipts.agg({"records": "sum"}).first()[0] == 42 and receipts.where("tp_producer = 'p-1'").count() == 12
+    with pytest.raises(ValueError, match="another forward"):
+        kafka.forward_once(rows, "t", ledger, write, records_per_send=5)
+
+
+def test_a_stream_without_its_checkpoint_sends_nothing_twice(spark, space, tmp_path, monkeypatch):
+    space.publish_rows("v", ["a", "b"], producer="p", batch_id=0)
+    sent = []
+    original = kafka.forward_once
+    monkeypatch.setattr(
+        kafka, "forward_once", lambda rows, topic, ledger, _, value: original(rows, topic, ledger, lambda r: sent.extend(x.value for x in r.collect()), value)
+    )
+    for checkpoint in ("one", "two"):
+        stream = space.rows_stream("v")
+        query = kafka.forward_to_kafka(stream, "t", "none:1", checkpoint=str(tmp_path / checkpoint), trigger={"availableNow": True}, ledger=str(tmp_path / "ledger"))
+        query.awaitTermination()
+        space.publish_rows("v", [checkpoint], producer="p", batch_id=len(sent))
+    assert sorted(sent) == ["a", "b", "one"]
