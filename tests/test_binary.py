@@ -1,0 +1,76 @@
+import os
+
+import pytest
+from conftest import ROWS2
+from test_codec import EDGE, ROWS
+
+from topicflow import TopicSpace
+from topicflow.functions import binary, codec
+from topicflow.sources.packets import ingest, ingested, read_packets
+
+
+def shown(frame, columns):
+    return sorted(map(repr, frame.select(*columns).collect()))
+
+
+def test_every_type_comes_back(spark):
+    frame = spark.createDataFrame(ROWS, EDGE)
+    packets = binary.encode_packets(frame.repartition(2))
+    decoded = binary.decode_packets(packets, frame.schema)
+    assert shown(codec.accepted(decoded), frame.columns) == shown(frame, frame.columns)
+    assert codec.rejected(decoded).count() == 0 and packets.agg({"rows": "sum"}).first()[0] == len(ROWS)
+    told = binary.packet_schema(bytes(packets.first().packet))
+    assert told.simpleString() == frame.schema.simpleString()
+
+
+def test_maps_with_any_key(spark):
+    frame = spark.sql("select map(1, 'a', 2, null) as m, map(date'2024-01-01', array(1.5D)) as d, map(named_struct('x', 1), 2) as s")
+    decoded = codec.accepted(binary.decode_packets(binary.encode_packets(frame), frame.schema))
+    assert decoded.collect() == frame.collect()
+
+
+def test_unreadable_packets_are_told_apart(spark):
+    frame = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
+    good = bytes(binary.encode_packets(frame.coalesce(1)).first().packet)
+    other = bytes(binary.encode_packets(frame.select("s")).first().packet)
+    damaged = good[: len(good) // 2]
+    packets = spark.createDataFrame([(good,), (damaged,), (b"",), (b"junk",), (None,), (other,)], "packet binary")
+    decoded = binary.decode_packets(packets, frame.schema)
+    assert sorted(map(tuple, codec.accepted(decoded).collect())) == [(1, "a"), (2, "b")]
+    assert codec.rejected(decoded).count() == 5
+
+
+def test_codecs_by_name(spark, root, tmp_path):
+    space = TopicSpace(spark, root).create_topic("v", "value string")
+    space.publish_rows("v", ROWS2, producer="p", batch_id=1)
+    for call in (
+        lambda: space.push("v", space.rows("v"), f"file://{tmp_path}", codec="kryo"),
+        lambda: read_packets(spark, str(tmp_path), "v", "value string", codec="kryo"),
+    ):
+        with pytest.raises(ValueError, match="json, arrow"):
+            call()
+
+
+def test_push_and_ingest(spark, root, tmp_path):
+    """Packets of bounded size, the same ones again when pushed again, each row taken in once with the sender's stamps."""
+    schema = "n bigint, s string, m map<int,string>"
+    space, landing = TopicSpace(spark, root).create_topic("t", schema), str(tmp_path / "landing")
+    frame = spark.range(0, 3000, 1, 3).selectExpr("id as n", "repeat('x', cast(id % 50 as int)) as s", "map(cast(id as int), 'v') as m")
+    space.publish("t", frame, producer="p", batch_id=5, order_by=["n"])
+    names, bodies = [], []
+    for _ in range(2):
+        receipts = space.push("t", space.rows("t"), f"file://{landing}", limit=20_000, shard_rows=1000, codec="arrow").collect()
+        assert sum(r.rows for r in receipts) == 3000 and {r.tp_shard for r in receipts} == {0, 1, 2}
+        assert len(receipts) > 6 and all(r.attempts == 1 and r.bytes < 25_000 for r in receipts)
+        found = sorted(os.listdir(f"{landing}/t"))
+        names.append([name for name in found if name.endswith(".arrow")])
+        bodies.append([open(f"{landing}/t/{name}", "rb").read() for name in names[-1]])
+    assert names[0] == names[1] == sorted(r.packet_id.split("/")[1] for r in receipts) and bodies[0] == bodies[1]
+    for checkpoint in ("a", "b"):
+        options = dict(codec="arrow", checkpoint=str(tmp_path / checkpoint), trigger={"availableNow": True})
+        ingest(spark, landing, "t", schema, str(tmp_path / "in"), **options).awaitTermination()
+    got = ingested(spark, str(tmp_path / "in"), schema)
+    assert shown(got, got.columns) == shown(space.rows("t"), got.columns)
+    (tmp_path / "landing" / "t" / "bad.arrow").write_bytes(b"junk")
+    table = read_packets(spark, landing, "t", schema, stream=False, codec="arrow")
+    assert codec.rejected(table).first().line.endswith("bad.arrow") and codec.accepted(table).count() == 3000

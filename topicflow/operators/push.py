@@ -1,4 +1,4 @@
-"""Send stored rows to another site as packets of JSON lines.
+"""Send stored rows to another site as packets of JSON lines, or of compressed Arrow batches.
 
 Packets are cut from shards of consecutive offsets of one batch, so no shard is larger than ``shard_rows`` and the
 work spreads evenly. The name of a packet follows from its content: a repeated task writes the same packets again.
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from topicflow.errors import PushFailed
+from topicflow.functions.binary import check_codec, packed
 from topicflow.functions.codec import check_encodable, to_line
-from topicflow.functions.rows import quoted, user_columns
+from topicflow.functions.rows import STAMPS, quoted, user_columns
 from topicflow.operators.packets import MAX_PACKET_SIZE, Cutter, _numbers, _runs
 from topicflow.sources.catalog import check_name
 from topicflow.storage import written_once
@@ -73,7 +74,8 @@ def http_delivery(
     """POST packets to a URL. Any answer but 200 is a failure, as is none within ``timeout`` seconds."""
 
     def deliver(packet_id: str, body: bytes) -> None:
-        headers = {"Content-Type": "application/x-ndjson", "X-Packet-Id": packet_id}
+        kind = "application/vnd.apache.arrow.stream" if packet_id.endswith(".arrow") else "application/x-ndjson"
+        headers = {"Content-Type": kind, "X-Packet-Id": packet_id}
         request = urllib.request.Request(destination, data=body, headers=headers, method="POST")
         with opener(request, timeout=timeout) as answer:
             if answer.status != 200:
@@ -112,6 +114,13 @@ def _text_slicer(column: pa.Array) -> Callable[[int, int], bytes]:
     return lambda begin, end: data.slice(borders[begin], borders[end] - borders[begin]).to_pybytes()
 
 
+def _receipts(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
+    names = [part.split()[0] for part in _RECEIPT.split(", ")]
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def _pusher(topic: str, deliver: Deliver, limit: int, pause: float):
     def send(shard: tuple, packet: int, first: int, rows: int, parts: list[bytes]) -> tuple:
         body = b"".join(parts)
@@ -119,12 +128,6 @@ def _pusher(topic: str, deliver: Deliver, limit: int, pause: float):
         attempts = with_retry(deliver, packet_id, body, pause)
         return (*shard, packet, packet_id, rows, len(body), attempts)
 
-    def receipts(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32()]
-        names = [part.split()[0] for part in _RECEIPT.split(", ")]
-        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
-
     def run(batches: Iterable[pa.RecordBatch]):
         shard = cutter = None
         packet, first, rows, parts = 0, 0, 0, []  # the open packet
@@ -148,9 +151,48 @@ def _pusher(topic: str, deliver: Deliver, limit: int, pause: float):
                     parts.append(text(begin + left, begin + right))
                     rows += right - left
             if sent:
-                yield receipts(sent)
+                yield _receipts(sent)
         if parts:
-            yield receipts([send(shard, packet, first, rows, parts)])
+            yield _receipts([send(shard, packet, first, rows, parts)])
+
+    return run
+
+
+def _batch_pusher(topic: str, deliver: Deliver, limit: int, pause: float):
+    """Sends sorted rows as Arrow packets. One ends with the rows that bring its columns to ``limit`` bytes in memory.
+
+    Where it ends follows from the rows and Spark's batch size, so a repeated task writes the same packets again.
+    """
+
+    def send(shard: tuple, packet: int, parts: list[pa.RecordBatch]) -> tuple:
+        body, first = packed(parts), parts[0].column("tp_offset")[0].as_py()
+        packet_id = f"{topic}/{shard[0]}-{shard[1]}-{shard[2]}-{packet}-{first}.arrow"
+        attempts = with_retry(deliver, packet_id, body, pause)
+        return (*shard, packet, packet_id, sum(map(len, parts)), len(body), attempts)
+
+    def run(batches: Iterable[pa.RecordBatch]):
+        shard, packet, parts, filled = None, 0, [], 0
+        for batch in batches:
+            sent = []
+            for begin, end in _runs(batch.column("tp_key")) if batch.num_rows else ():
+                here = tuple(batch.column(name)[begin].as_py() for name in ("tp_producer", "tp_batch_id", "tp_shard"))
+                if here != shard:
+                    if parts:
+                        sent.append(send(shard, packet, parts))
+                    shard, packet, parts, filled = here, 0, [], 0
+                rows = batch.drop_columns(["tp_key", "tp_shard"])
+                each = max(1, rows.nbytes // len(rows))
+                while begin < end:
+                    stop = min(end, begin + max(1, -(-(limit - filled) // each)))
+                    parts.append(rows.slice(begin, stop - begin))
+                    filled, begin = filled + (stop - begin) * each, stop
+                    if filled >= limit:
+                        sent.append(send(shard, packet, parts))
+                        packet, parts, filled = packet + 1, [], 0
+            if sent:
+                yield _receipts(sent)
+        if parts:
+            yield _receipts([send(shard, packet, parts)])
 
     return run
 
@@ -164,18 +206,26 @@ def push(
     shard_rows: int = SHARD_ROWS,
     deliver: Deliver | None = None,
     pause: float = PAUSE,
+    codec: str = "json",
 ) -> DataFrame:
     """Deliver stored rows now, from the executors, and return one receipt per packet.
 
+    ``codec``: ``json`` for packets of JSON lines, ``arrow`` for compressed Arrow batches, which carry any type.
+
     Delivery is at least once; :func:`topicflow.operators.dedup.drop_redelivered` makes it once on the other side.
     """
     check_name("topic", topic)
-    check_encodable(rows.select(*map(quoted, user_columns(rows))).schema)
+    if check_codec(codec) == "json":
+        check_encodable(rows.select(*map(quoted, user_columns(rows))).schema)
     deliver = deliver or delivery(destination)
     shard = [F.col("tp_producer"), F.col("tp_batch_id"), F.col("tp_shard")]
     # columns are shuffled, not their text
     dealt = rows.withColumn("tp_shard", F.expr(f"tp_offset div {int(shard_rows)}"))
     dealt = dealt.repartition(*shard).sortWithinPartitions(*shard, "tp_offset")
+    if codec == "arrow":
+        columns = [*map(quoted, [*user_columns(rows), *STAMPS]), F.col("tp_shard")]
+        keyed = dealt.select(*columns, F.concat_ws("/", *shard).alias("tp_key"))
+        return written_once(keyed.mapInArrow(_batch_pusher(topic, deliver, limit, pause), _RECEIPT))
     lines = dealt.select(*shard, "tp_offset", F.concat(envelope(rows), F.lit("\n")).alias("tp_line"))
     lines = lines.withColumn("tp_size", F.octet_length("tp_line").cast("bigint"))
     sorted_lines = lines.withColumn("tp_key", F.concat_ws("/", *shard))

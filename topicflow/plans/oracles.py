@@ -207,6 +207,7 @@ def oracle_sql() -> dict[str, str]:
             select vec_id, label, cast(unnest(range(len(embedding))) as integer) as place,
                    cast(unnest(embedding) as double) as element from embeddings""",
         "packet_push_ingest": STAMPED_EVENTS,
+        "arrow_push_ingest": STAMPED_EVENTS,
         "dedup_redelivery": STAMPED_EVENTS,
         "dedup_late_rows": STAMPED_EVENTS,
         "ingest_topic": STAMPED_EVENTS,

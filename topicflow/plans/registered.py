@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from topicflow.errors import InvalidSubscription
 from topicflow.functions import codec, rows, text
+from topicflow.functions.codec import accepted
 from topicflow.operators import audit, dedup, kafka, packets, push, upkeep
 from topicflow.sources import catalog, log
 from topicflow.sources.format import register
@@ -564,7 +565,7 @@ def json_roundtrip_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pushed(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
+def pushed(spark: SparkSession, sf_dir: str, times: int, codec: str = "json") -> DataFrame:
     """The events, pushed as packets ``times`` times to a landing folder and taken in again as a stream."""
     events = table(spark, sf_dir, "events")
     root = events_topic(spark, sf_dir)
@@ -572,8 +573,10 @@ def pushed(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
     stored_rows = log.read_topic(spark, root, "events")
     for copy in range(times):
         # each round has a folder of its own, as if another link had delivered it
-        push.push(stored_rows, "events", as_url(f"{landing}/events/link={copy}"), limit=PUSH_LIMIT, shard_rows=SHARD)
-    arrived = codec.accepted(read_packets(spark, f"{landing}", "events", events.schema, recursiveFileLookup="true"))
+        url = as_url(f"{landing}/events/link={copy}")
+        push.push(stored_rows, "events", url, limit=PUSH_LIMIT, shard_rows=SHARD, codec=codec)
+    arrived = read_packets(spark, f"{landing}", "events", events.schema, codec=codec, recursiveFileLookup="true")
+    arrived = accepted(arrived)
     return arrived if times == 1 else dedup.drop_redelivered(arrived)
 
 
@@ -586,6 +589,12 @@ def packet_push_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drained(pushed(spark, sf_dir, 1)).drop("tp_ts")
 
 
+@query
+def arrow_push_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with binary packets, all of them delivered twice."""
+    return drained(pushed(spark, sf_dir, 2, "arrow")).drop("tp_ts")
+
+
 @query
 def dedup_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every packet arrives twice; each row is kept once."""

@@ -1,4 +1,4 @@
-"""Read packets of JSON lines that another site has delivered to a folder."""
+"""Read packets, of JSON lines or Arrow batches, that another site has delivered to a folder."""
 
 from __future__ import annotations
 
@@ -7,22 +7,38 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from topicflow.functions.binary import check_codec, decoded_shape, decoder
 from topicflow.functions.codec import CORRUPT, accepted, parse, rejected, unpacked
 from topicflow.operators.dedup import store_batch, stored_arrivals
 from topicflow.sources.catalog import as_schema, check_name
 from topicflow.sources.log import stamped_schema
 
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"  # fixed: Spark's columns of it
 FOLLOW_ALL = {"maxFileAge": "36500d"}  # packets copied in with old times are not skipped
 
 
 def read_packets(
-    spark: SparkSession, landing: str, topic: str, schema: T.StructType | str, *, stream: bool = True, **options
+    spark: SparkSession,
+    landing: str,
+    topic: str,
+    schema: T.StructType | str,
+    *,
+    stream: bool = True,
+    codec: str = "json",
+    **options,
 ) -> DataFrame:
     """The user's columns, the sender's stamps, and ``tp_corrupt`` with the text of unreadable lines.
 
+    ``codec`` is the sender's; of an unreadable ``arrow`` packet ``tp_corrupt`` has the path.
     Split with :func:`topicflow.functions.codec.accepted` and ``rejected``.
     """
     schema = as_schema(schema)
+    if check_codec(codec) == "arrow":
+        reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
+        reader = reader.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "*.arrow").options(**options)
+        files = reader.load(f"{landing}/{check_name('topic', topic)}").select("path", "content")
+        rows = stamped_schema(schema)
+        return files.mapInArrow(decoder(rows, "content", "path"), decoded_shape(rows))
     line = T.StructType(
         [
             T.StructField("p", T.StringType()),
