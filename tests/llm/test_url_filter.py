@@ -1,3 +1,5 @@
+import time
+
 from topicflow.llm import url_filter
 
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "Example.com", "/de/x"), ("allow", "org", "/fr/")]
@@ -38,3 +40,15 @@ def test_without_rules_or_pages(spark):
     assert {(r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect()} == {(None, "allow")}
     some = spark.createDataFrame([*RULES, ("block", None, "/"), (None, "a", "/")], "verdict string, host string, path string")
     assert url_filter.judge(pages.limit(0), some).collect() == []
+
+
+def test_very_long_hosts_and_paths(spark):
+    """A url of a megabyte costs no more than its length for each number of labels and length of path among the rules."""
+    hosts = ["a." * 250_000 + "example.net", "." * 300_000 + "net", "b." * 100_000 + "org"]
+    urls = [(i, f"http://{host}/{'en/' * 150_000}?x") for i, host in enumerate(hosts)]
+    pages = spark.createDataFrame(urls, "page_id int, url string")
+    rules = spark.createDataFrame([*RULES, ("block", "a.a.a.a.example.net", "/en/en/"), ("block", "", "/")], "verdict string, host string, path string")
+    began = time.time()
+    found = sorted((r.page_id, r.rule, r.verdict) for r in url_filter.judge(pages, rules).collect())
+    assert time.time() - began < 60
+    assert found == [(0, "a.a.a.a.example.net/en/en/", "block"), (1, "net/", "block"), (2, None, "allow")]
