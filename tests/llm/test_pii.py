@@ -78,3 +78,24 @@ def test_collisions_are_drawn_again(spark):
 def test_native(spark):
     plan = pii.pseudonymised(frame(spark, AWKWARD), "k")._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_more_entities_than_their_form_has_values(spark):
+    """Addresses of single letters, numbers of few digits, names in any number: never an error, never two alike."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.co" for a in letters for b in letters]
+    entities = [("mail", m) for m in mails] + [("ssn", str(n)) for n in range(10, 90)] + [("card", f"{n}") for n in range(100, 400)]
+    entities += [("man", "Γιώργος"), ("woman", "Иванова"), ("man", "Smith")]
+    found = pii.surrogates(spark.createDataFrame(entities, "kind string, core string"), "k").collect()
+    assert len(found) == len(entities)
+    shown = {(r.kind, r.substitute) for r in found}
+    assert len(shown) == len(entities) and not shown & set(entities)
+    by_core = {r.core: r.substitute for r in found}
+    assert re.fullmatch("[Α-Ω][α-ω]+", by_core["Γιώργος"])
+    assert re.fullmatch("[А-Я][а-я]+", by_core["Иванова"]) and re.fullmatch("[A-Z][a-z]+", by_core["Smith"])
+    assert all(re.fullmatch(r"[a-z0-9]+@[a-z]\.co", by_core[m]) for m in mails)
+
+
+def test_further_digits_are_shown(spark):
+    row = spark.sql("select 'phone' as kind, '(555) 123-4567' as raw, '555987654321' as core")
+    assert row.select(pii.rendered(row["kind"], row["raw"], row["core"])).first()[0] == "(555) 987-654321"

@@ -4,7 +4,9 @@ Entities are found by one pattern. Mentions of the same entity (mails in any cas
 same *core* and get the same surrogate wherever they occur. A surrogate is drawn from a keyed digest of the core and fits
 the mention: digits stay digits and separators stay in place, card numbers pass the check digit test, mail addresses keep
 their shape and top-level domain, names keep gender, script and capitals. Surrogates are compared with each other and
-with all entities of the table; whatever collides is drawn again, so different entities stay different.
+with all entities of the table; whatever collides is drawn again, so different entities stay different. Each further draw is from a larger
+space: addresses and names get longer, network addresses leave 10/8 for the reserved block, numbers get further digits after the
+fourth. So any number of entities gets surrogates, however few fit their form.
 """
 
 from __future__ import annotations
@@ -26,10 +28,11 @@ MAN = r"Mr|Herr|Monsieur|Sr|Señor|Господин"
 NAME = rf"(?<!\w)(?:{WOMAN}|{MAN})\.? \p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)?"
 HINTS = ["Mr", "Ms", "Miss", "Mme", "Frau", "Sr", "Señor", "Herr", "Monsieur", "Госп"]  # what a name begins with
 PATTERN = f"{MAIL}|{IPV4}|{PHONE}|{IBAN}|{SSN}|{CARD}|{NAME}"
-ROUNDS = 20
+SAME_LENGTH = 4  # draws of a number before it gets further digits
 
 # Syllables that names are made of, by script.
 LATIN = "ba be bo da de do fa ga ka la le lo ma me mi na ne no ra re ri ro sa se so ta te ti va vi".split()
+GREEK = "βα βε βο δα δε δο γα κα λα λε λο μα με μι να νε νο ρα ρε ρι ρο σα σε σο τα τε τι".split()
 CYRILLIC = "ба бе бо да де до фа га ка ла ле ло ма ме ми на не но ра ре ри ро са се со та те ти ва ви".split()
 
 
@@ -78,15 +81,20 @@ def _shaped(text: str) -> str:
         else c end), '')"""
 
 
-def _syllables(count: int, start: int, ending: str) -> str:
-    def pick(syllables: list[str]) -> str:
+def _syllables(count: int, start: int, ending: str, growing: bool = False) -> str:
+    """SQL: a name of ``count`` syllables in the script of the core; one more for each draw if ``growing``."""
+
+    def pick(syllables: list[str], end: str) -> str:
         table = "array(" + ",".join(f"'{s}'" for s in syllables) + ")"
         parts = [f"element_at({table}, 1 + {_drawn(str(start + i))} % {len(syllables)})" for i in range(count)]
-        return "concat(" + ",".join(parts) + ")"
+        if growing:
+            more = f"element_at({table}, 1 + {_drawn('n + 20')} % {len(syllables)})"
+            parts.append(f"if(attempt = 0, '', array_join(transform(sequence(1, attempt), n -> {more}), ''))")
+        return "concat(" + ",".join([*parts, f"'{end}'"]) + ")"
 
-    latin, cyrillic = ending.split("/")
-    return f"""initcap(case when core rlike '\\\\p{{IsCyrillic}}' then concat({pick(CYRILLIC)}, '{cyrillic}')
-        else concat({pick(LATIN)}, '{latin}') end)"""
+    latin, cyrillic, greek = ending.split("/")
+    return f"""initcap(case when core rlike '\\\\p{{IsCyrillic}}' then {pick(CYRILLIC, cyrillic)}
+        when core rlike '\\\\p{{IsGreek}}' then {pick(GREEK, greek)} else {pick(LATIN, latin)} end)"""
 
 
 _LUHN_SUM = """aggregate(sequence(1, length({d})), 0, (s, i) -> s +
@@ -96,22 +104,23 @@ _LUHN_SUM = """aggregate(sequence(1, length({d})), 0, (s, i) -> s +
 
 
 def surrogate() -> Column:
-    """SQL over kind, core, digest: the surrogate's own core."""
+    """SQL over kind, core, attempt, digest: the surrogate's own core."""
     body = _shaped("substr(core, 1, length(core) - 1)")
     check = f"cast((10 - {_LUHN_SUM.format(d='body')} % 10) % 10 as string)"
     card = f"element_at(transform(array({body}), body -> concat(body, {check})), 1)"
     top = "regexp_extract(core, '[.][^.]+$', 0)"
-    surname = f"case when core like '% %' then concat(' ', {_syllables(4, 40, 'n/н')}) else '' end"
+    surname = f"case when core like '% %' then concat(' ', {_syllables(4, 40, 'n/н/ς')}) else '' end"
+    more = f"translate(substr(digest, 65, greatest(0, attempt - {SAME_LENGTH})), 'abcdef', '012345')"
     return F.expr(
         f"""case kind
-        when 'mail' then concat({_shaped("substr(core, 1, length(core) - length(" + top + "))")}, {top})
-        when 'ipv4' then concat_ws('.', '10', {_drawn('0')}, {_drawn('1')}, {_drawn('2')})
-        when 'woman' then concat({_syllables(4, 0, 'na/на')}, {surname})
-        when 'man' then concat({_syllables(4, 0, 'n/н')}, {surname})
-        when 'card' then {card}
-        when 'iban' then concat(substr(core, 1, 2), {_shaped('substr(core, 3)')})
-        when 'phone' then concat(substr(core, 1, 1), {_shaped('substr(core, 2)')})
-        else {_shaped('core')} end"""
+        when 'mail' then concat(substr(digest, 65, attempt), {_shaped("substr(core, 1, length(core) - length(" + top + "))")}, {top})
+        when 'ipv4' then concat_ws('.', if(attempt < 2, '10', 240 + {_drawn('3')} % 15), {_drawn('0')}, {_drawn('1')}, {_drawn('2')})
+        when 'woman' then concat({_syllables(4, 0, 'na/на/να', True)}, {surname})
+        when 'man' then concat({_syllables(4, 0, 'n/н/ς', True)}, {surname})
+        when 'card' then concat({card}, {more})
+        when 'iban' then concat(substr(core, 1, 2), {_shaped('substr(core, 3)')}, {more})
+        when 'phone' then concat(substr(core, 1, 1), {_shaped('substr(core, 2)')}, {more})
+        else concat({_shaped('core')}, {more}) end"""
     )
 
 
@@ -124,11 +133,12 @@ def rendered(kind: Column, raw: Column, core: Column) -> Column:
             F.substring(core, F.length(F.regexp_replace(F.substring(raw, F.lit(1), i + 1), "[^A-Za-z0-9]", "")), F.lit(1)),
         ).otherwise(c),
     )
+    shown = F.length(F.regexp_replace(raw, "[^A-Za-z0-9]", ""))
     return (
         F.when(kind == "mail", F.when(raw == F.upper(raw), F.upper(core)).otherwise(core))
         .when(kind == "ipv4", core)
         .when(kind.isin("woman", "man"), F.concat(F.regexp_extract(raw, r"^\p{L}+\.? ", 0), core))
-        .otherwise(F.array_join(with_marks, ""))
+        .otherwise(F.concat(F.array_join(with_marks, ""), F.substring(core, shown + 1, F.length(core))))
     )
 
 
@@ -136,13 +146,13 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, core, substitute) for distinct ``entities`` (kind, core): no two alike, none equal to an entity.
 
     Where surrogates of a kind collide, or meet an entity, all but one of them are drawn again with the next attempt,
-    until nothing collides (an error after ``ROUNDS``: the format has too few values).
+    until nothing collides. Every attempt has more values to draw from.
     """
     spark = entities.sparkSession
     core_kind = F.when(F.col("kind").isin("woman", "man"), "name").otherwise(F.col("kind")).alias("family")
     taken = entities.select(core_kind, F.col("core").alias("substitute"), F.lit(True).alias("real"))
     drawn = entities.withColumn("attempt", F.lit(0))
-    for _ in range(ROUNDS):
+    while True:
         drawn = stored(
             drawn.select("kind", "core", "attempt", F.lit(key).alias("key"))
             .withColumn("digest", F.expr(DIGEST))
@@ -161,7 +171,6 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
         if judged.where("clash").isEmpty():
             return judged.select("kind", "core", "substitute")
         drawn = judged.select("kind", "core", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
-    raise ValueError(f"surrogates still collide after {ROUNDS} rounds")
 
 
 def pseudonymised(docs: DataFrame, key: str) -> DataFrame:
