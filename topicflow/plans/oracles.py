@@ -126,7 +126,7 @@ def oracle_sql() -> dict[str, str]:
             from embeddings""",
         "manifest_range": """
             with placed as (
-              select *, row_number() over (order by o_orderkey % 8, o_orderkey) - 1 as position
+              select *, row_number() over (order by o_orderkey % 5, o_orderkey) - 1 as position
               from orders where o_custkey % 2 = 0)
             select * from placed
             where position > (select count(*) // 3 from placed) and position <= (select 4 * count(*) // 5 from placed)""",

@@ -262,14 +262,14 @@ def format_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def manifest_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A range of one producer's positions over eight batches, some of them compacted, among those of another producer."""
+    """A range of one producer's positions over five batches, some of them compacted, among those of another producer."""
     orders = table(spark, sf_dir, "orders")
     root = space_for(spark, {"orders": orders})
-    for batch_id in range(8):
-        mine = F.col("o_orderkey") % 8 == batch_id
+    for batch_id in range(5):
+        mine = F.col("o_orderkey") % 5 == batch_id
         for producer, chosen in (("site-a", mine & (F.col("o_custkey") % 2 == 0)), ("site-b", mine & (F.col("o_custkey") % 2 == 1))):
             log.publish(spark, root, "orders", orders.where(chosen), producer=producer, batch_id=batch_id, order_by=["o_orderkey"])
-        if batch_id == 4:
+        if batch_id == 2:
             upkeep.compact(spark, root, "orders")
     count = orders.where("o_custkey % 2 = 0").count()
     found = log.offset_range(spark, root, "orders", "site-a", start=count // 3, end=4 * count // 5)
@@ -707,12 +707,12 @@ def drain_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audited_in_parts(spark: SparkSession, sf_dir: str) -> AuditStream:
-    """The request log published in three parts, each taken in by a stream over the topic that is started again."""
+    """The request log published in two parts, each taken in by a stream over the topic that is started again."""
     actions, topics = request_log(spark, sf_dir)
     root = space_for(spark, {"requests": actions})
-    third = actions.agg(F.max("seq")).first()[0] // 3 + 1
-    for part in range(3):
-        rows = actions.where(F.expr(f"seq div {third}") == part)
+    half = (actions.agg(F.max("seq")).first()[0] or 0) // 2 + 1
+    for part in range(2):
+        rows = actions.where(F.expr(f"seq div {half}") == part)
         log.publish(spark, root, "requests", rows, producer="hub", batch_id=part)
         stream = log.topic_source(spark, root, "requests")
         audit_stream(stream, topics, f"{root}/audit", checkpoint=f"{root}/checkpoints/audit", trigger=ONCE).awaitTermination()
