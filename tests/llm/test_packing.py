@@ -57,6 +57,39 @@ def test_round_trip(spark, tokenizer, monkeypatch, group):
     assert count <= 1.03 * sum(r.length for r in found) / 128 + 2
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=12))
+def test_patterns_are_best_fit(counts):
+    made = packing.patterns(counts, 60)
+    held = defaultdict(int)
+    for lengths, bins in made:
+        assert sum(lengths) <= 60 and bins > 0
+        for length in lengths:
+            held[length] += bins
+    assert held == counts
+    items = np.array([length for length, n in counts.items() for _ in range(n)], np.int64)
+    plain = len(packing.best_fit(items, 60)[2])
+    assert plain * 0.95 - 2 <= sum(bins for _, bins in made) <= plain * 1.05 + 2
+
+
+def test_all_bins_merged_at_once(spark):
+    rng = random.Random(8)
+    fills = [rng.choice([100, 100, rng.randrange(1, 128)]) for _ in range(900)] + [28] * 200  # one fill has a third of all bins
+    rows = [(7 * n + 3, fill) for n, fill in enumerate(fills)]
+    found = packing._merged_at_once(spark.createDataFrame(rows, "bin bigint, fill bigint").repartition(3), 128).collect()
+    assert sorted(r.bin for r in found) == sorted(b for b, _ in rows)
+    fill_of, bins = dict(rows), defaultdict(list)
+    for r in found:
+        bins[r.into].append((r["at"], fill_of[r.bin], r.fill))
+    for into, parts in bins.items():
+        at = 0
+        for begin, fill, total in sorted(parts):
+            assert begin == at and total == sum(f for _, f, _ in parts) <= 128
+            at += fill
+        assert min(parts)[1] == fill_of[into]
+    assert len(bins) <= len(packing.best_fit(np.array(fills, np.int64), 128)[2]) * 1.02 + 1
+
+
 def test_empty_table(spark):
     assert packing.pack(frame(spark, []), queries.encoder).collect() == []
 

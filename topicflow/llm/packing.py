@@ -1,9 +1,11 @@
 """Pack token sequences into fixed-size bins by hierarchical best fit.
 
 Every document becomes pieces of at most ``size`` tokens. Full pieces are sequences of their own. The others are packed
-where they lie: each partition runs best fit over its pieces, longest first. Bins filled to ``nearly`` are done; the
+where they lie: each partition runs best fit over its pieces, longest first, a batch of them at a time. Bins filled to ``nearly`` are done; the
 rest, the underfull bins, are items themselves and are packed again in groups that merge the partitions, round after
-round, until one group is left or a round has nothing to gain. Only piece lengths are packed, never texts or tokens.
+round, until one group is left or a round has little to gain. If groups are left then, one last round merges all of them at
+once: bins of equal fill are interchangeable, so best fit over the numbers of bins of each fill, of which there are no more than
+the size of a bin, says which go together. Only piece lengths are packed, never texts or tokens.
 """
 
 from __future__ import annotations
@@ -19,10 +21,11 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from topicflow.operators.asof import ranked
 from topicflow.storage import fresh_folder, stored
 
 GROUP = 200_000  # underfull bins packed by one task in a later round
-GAIN = 0.02  # a round that closes a smaller share of its bins is the last
+GAIN = 0.02  # a round that closes a smaller share of its bins is the last one in groups
 
 
 def end_marked_ids(encode, text: str | None, end_id: int) -> np.ndarray:
@@ -87,8 +90,74 @@ def best_fit(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np
     return bins, offsets, np.array(fills, np.int64)
 
 
+def patterns(counts: dict[int, int], size: int) -> list[tuple[list[int], int]]:
+    """Best fit, largest first, over ``counts`` items of each length: (lengths that share a bin, number of such bins)."""
+    made: list[list] = []
+    by_room: dict[int, list[int]] = {}
+    rooms: list[int] = []
+
+    def open_up(lengths: list[int], count: int) -> None:
+        left = size - sum(lengths)
+        made.append([lengths, count])
+        if left not in by_room:
+            by_room[left] = []
+            insort(rooms, left)
+        by_room[left].append(len(made) - 1)
+
+    for length in sorted(counts, reverse=True):
+        count = counts[length]
+        while count:
+            at = bisect_left(rooms, length)
+            if at == len(rooms):
+                each = size // length
+                if count >= each:
+                    open_up([length] * each, count // each)
+                if count % each:
+                    open_up([length] * (count % each), 1)
+                break
+            room = rooms[at]
+            number = by_room[room][-1]
+            lengths, bins = made[number]
+            taken = min(count, bins)
+            made[number][1] -= taken
+            if not made[number][1]:
+                by_room[room].pop()
+                if not by_room[room]:
+                    del by_room[room], rooms[at]
+            open_up([*lengths, length], taken)
+            count -= taken
+    return [(lengths, count) for lengths, count in made if count]
+
+
+def _merged_at_once(open_bins: DataFrame, size: int) -> DataFrame:
+    """(bin, into, at, fill): best fit over all of ``open_bins`` (bin, fill), whatever their number.
+
+    The numbers of bins of each fill come to the driver, the patterns go to the tasks: both are bounded by the size of a bin.
+    """
+    spark = open_bins.sparkSession
+    numbered = stored(ranked(open_bins.select("bin", "fill"), "fill", "bin"), fresh_folder(spark, "open-bins"))
+    counts = {row.fill: row.n for row in numbered.groupBy("fill").agg(F.count(F.lit(1)).alias("n")).collect()}
+    begin, total = {}, 1
+    for fill in sorted(counts):
+        begin[fill], total = total, total + counts[fill]
+    slots, used = [], dict(begin)
+    for lengths, count in patterns(counts, size):
+        first, at = used[lengths[0]], 0
+        for length in lengths:
+            # ranks from used[length] on, one for each bin of the pattern; the first length names the bins
+            slots.append((length, used[length], used[length] + count - 1, first - used[length], at, sum(lengths)))
+            used[length] += count
+            at += length
+    schema = "fill bigint, low bigint, high bigint, shift bigint, at bigint, sum bigint"
+    places = F.broadcast(spark.createDataFrame(slots, schema))
+    met = numbered.join(places, "fill").where("tp_rank between low and high")
+    met = met.select("bin", (F.col("tp_rank") + F.col("shift")).alias("head"), "at", F.col("sum").alias("fill"))
+    heads = numbered.select(F.col("tp_rank").alias("head"), F.col("bin").alias("into"))
+    return met.join(heads, "head").select("bin", "into", "at", "fill")
+
+
 def _local(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Pack the pieces of a partition, a bounded run at a time; bins are numbered after their first piece's number."""
+    """Pack the pieces of a batch, longest first; bins are numbered after their first piece's number."""
     for batch in batches:
         lengths = batch.column("length").to_numpy()
         bins, offsets, fills = best_fit(lengths, size)
@@ -169,16 +238,19 @@ def _tree(bins: DataFrame, size: int, enough: int) -> DataFrame:
         bins.selectExpr("bin", "bin as into", "0L as at", "fill"), fresh_folder(spark, "moves")
     )
     count = moves.count()
-    groups, last = max(1, count // (GROUP // 8)), False
+    groups, last, at_once = max(1, count // (GROUP // 8)), False, False
     while count and not last:
-        last = groups == 1
+        last = groups == 1 or at_once
         open_bins = moves.where((F.col("fill") < enough) & (F.col("at") == 0) & (F.col("bin") == F.col("into")))
-        merged = (
-            open_bins.select(F.col("into").alias("bin"), "fill")
-            .withColumn("group", F.pmod(F.xxhash64("bin", F.lit(groups)), F.lit(groups)))
-            .groupBy("group")
-            .applyInPandas(_merge(size), "bin bigint, into bigint, at bigint, fill bigint")
-        )
+        open_bins = open_bins.select(F.col("into").alias("bin"), "fill")
+        if at_once:
+            merged = _merged_at_once(open_bins, size)
+        else:
+            merged = (
+                open_bins.withColumn("group", F.pmod(F.xxhash64("bin", F.lit(groups)), F.lit(groups)))
+                .groupBy("group")
+                .applyInPandas(_merge(size), "bin bigint, into bigint, at bigint, fill bigint")
+            )
         merged = merged.select(
             F.col("bin").alias("into"), F.col("into").alias("next"), F.col("at").alias("shift"), F.col("fill").alias("sum")
         )
@@ -192,6 +264,6 @@ def _tree(bins: DataFrame, size: int, enough: int) -> DataFrame:
             fresh_folder(spark, "moves"),
         )
         left = moves.where((F.col("fill") < enough) & (F.col("at") == 0) & (F.col("bin") == F.col("into"))).count()
-        last = last or left > (1 - GAIN) * count
+        at_once = left > (1 - GAIN) * count
         count, groups = left, max(1, groups // 8, -(-left // GROUP))
     return moves.select("bin", "into", "at")
