@@ -8,7 +8,8 @@ A phrase is looked up in every segment: words are ordered by the length of their
 back by the word's place in the phrase, gives candidate starts, and each further list is intersected with them. With a
 ``slop`` a word may lie that many places off (proximity).
 
-Test items are handled in blocks of bounded size; only a block, never the whole item table, is sent to the tasks.
+Test items are handled in blocks of bounded size, one at a time: what a block has found is stored before the next one is
+loaded, so neither the driver, a plan nor a task holds more than one.
 """
 
 from __future__ import annotations
@@ -191,10 +192,10 @@ def decontamination(
     )
     blocks = item_block_count(items, block_chars)
     for block in range(blocks):
-        phrases = Phrases(item_block(items, block, blocks), window)
-        found = found.mapInArrow(
-            lambda rows, p=phrases, last=block == blocks - 1: _looked_up(rows, p, slop, last), found.schema
-        )
+        phrases, last = Phrases(item_block(items, block, blocks), window), block == blocks - 1
+        found = found.mapInArrow(lambda rows, p=phrases, last=last: _looked_up(rows, p, slop, last), found.schema)
+        if not last:  # so that neither the driver nor the next plan holds this block
+            found = stored(found, fresh_folder(docs.sparkSession, "looked-up"))
     return found.mapInArrow(
         _joined,
         "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean,"
@@ -219,12 +220,15 @@ def _clean(batches: Iterator[pa.RecordBatch], phrases: Phrases) -> Iterator[pa.R
 def uncontaminated(
     docs: DataFrame, items: DataFrame, window: int = 10, block_chars: int = ITEM_BLOCK_CHARS
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no window of an item. Null texts stay.
+    """The rows of ``docs``, with all their columns, that hold no window of an item.
 
-    A row is judged where it lies, through an index of its own segment, so nothing is shuffled.
+    A row is judged where it lies, through an index of its own segment, so nothing is shuffled. Null and empty texts stay. Repeated rows
+    and rows without id are judged row by row. Without items every row stays; an empty table stays empty.
     """
     blocks = item_block_count(items, block_chars)
     for block in range(blocks):
         phrases = Phrases(item_block(items, block, blocks), window)
         docs = docs.mapInArrow(lambda rows, p=phrases: _clean(rows, p), docs.schema)
+        if block < blocks - 1:  # so that neither the driver nor the next plan holds this block
+            docs = stored(docs, fresh_folder(docs.sparkSession, "clean"))
     return docs

@@ -209,5 +209,8 @@ def _accepted(batches: Iterator[pa.RecordBatch], model: Model, margin: float) ->
 
 
 def accepted(docs: DataFrame, model: Model, margin: float = 0.05) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is neither unknown nor ambiguous."""
+    """The rows of ``docs``, with all their columns, whose language is neither unknown nor ambiguous.
+
+    Null, empty and letterless texts go. Repeated rows and rows without id are judged row by row. An empty table stays empty.
+    """
     return docs.mapInArrow(lambda batches: _accepted(batches, model, margin), docs.schema)

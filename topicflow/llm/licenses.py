@@ -91,7 +91,8 @@ def licenses(docs: DataFrame, sentences: DataFrame, rules: DataFrame) -> DataFra
 
     ``place`` is the number (from 0) of the first matched sentence of the text. Texts without known sentences, null
     and empty texts give no rows; repeated rows and null ids are reported one by one. Of rules of the same length that
-    begin at the same sentence the first by license name is reported.
+    begin at the same sentence the first by license name is reported. Other columns are ignored. Empty tables of documents, sentences
+    or rules give no rows.
     """
     found = recognised(docs, sentences)
     sequences = found.groupBy("doc_id", "row").agg(

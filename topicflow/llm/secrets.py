@@ -284,6 +284,7 @@ def scan(docs: DataFrame, known: Dictionary, forest: Forest, threshold: float =
 
     Places count characters. ``is_secret`` is false for the false positives that the forest removes. Null and empty
     texts have no candidates, a null path is an empty one; repeated rows and null ids are reported row by row.
+    Other columns are ignored. An empty table gives no rows.
     """
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -322,5 +323,9 @@ def _redacted(batches, path_column, known, forest, threshold) -> Iterator[pa.Rec
 def redacted(
     docs: DataFrame, known: Dictionary, forest: Forest, path_column: str | None = None, threshold: float = 0.5
 ) -> DataFrame:
-    """``docs`` with each secret in ``text`` replaced by ``[SECRET]``; ``n_chars``, where it is a column, follows."""
+    """``docs`` with each secret in ``text`` replaced by ``[SECRET]``; ``n_chars``, where it is a column, follows.
+
+    Null and empty texts and texts without secrets stay as they are. Repeated rows and rows without id are treated row by row, other columns
+    are kept whatever their names; an empty table stays empty.
+    """
     return docs.mapInArrow(lambda batches: _redacted(batches, path_column, known, forest, threshold), docs.schema)
