@@ -11,7 +11,7 @@ from topicflow.errors import PushFailed
 from topicflow.functions.codec import accepted, rejected
 from topicflow.operators import push as pushing
 from topicflow.operators.dedup import drop_redelivered
-from topicflow.sources.packets import ingest, ingested, read_packets
+from topicflow.sources.packets import LISTING, ingest, ingested, read_packets
 
 ONCE = {"availableNow": True}
 SCHEMA = "n bigint, s string, t timestamp_ntz, a array<double>"
@@ -130,6 +130,24 @@ def test_late_and_old_packets_are_stored_once(spark, space, tmp_path):
     assert texts(found) == texts(sent.select(*found.columns))
 
 
+def test_many_packets_are_looked_up_in_few_tasks(spark, space, tmp_path):
+    """What tasks report to the driver must not grow with a task for each packet."""
+    landing, tracker = tmp_path / "landing", spark.sparkContext.statusTracker()
+    space.push("t", space.rows("t"), f"file://{landing}/t", limit=1)
+    options = dict(checkpoint=str(tmp_path / "cp"), trigger=ONCE, recursiveFileLookup="true")
+    spark.conf.unset(LISTING)
+    query = ingest(spark, str(landing), "t", SCHEMA, str(tmp_path / "in"), **options)
+    query.awaitTermination()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(str(query.runId))]
+    stages = [tracker.getStageInfo(stage) for job in jobs for stage in job.stageIds]
+    assert 0 < max(stage.numTasks for stage in stages if stage) <= 64
+    assert ingested(spark, str(tmp_path / "in"), SCHEMA).count() == 500
+    spark.conf.set(LISTING, "7")
+    read_packets(spark, str(landing), "t", SCHEMA)
+    assert spark.conf.get(LISTING) == "7"
+    spark.conf.unset(LISTING)
+
+
 def test_damaged_lines_are_set_aside(spark, space, tmp_path):
     landing = tmp_path / "landing"
     space.push("t", space.rows("t"), f"file://{landing}")

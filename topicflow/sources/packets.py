@@ -15,6 +15,16 @@ from topicflow.sources.log import stamped_schema
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"  # fixed: Spark's columns of it
 FOLLOW_ALL = {"maxFileAge": "36500d"}  # packets copied in with old times are not skipped
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+def few_listing_tasks(spark: SparkSession) -> None:
+    """Look the packets of a micro-batch up in a few tasks for each core, unless the session says otherwise.
+
+    Spark's default is a task for each packet (up to 10,000), and what a task reports to the driver is larger than what it finds.
+    """
+    if spark.conf.get(LISTING, None) is None:
+        spark.conf.set(LISTING, str(max(64, 4 * spark.sparkContext.defaultParallelism)))
 
 
 def read_packets(
@@ -32,6 +42,7 @@ def read_packets(
     ``codec`` is the sender's; of an unreadable ``arrow`` packet ``tp_corrupt`` has the path.
     Split with :func:`topicflow.functions.codec.accepted` and ``rejected``.
     """
+    few_listing_tasks(spark)
     schema = as_schema(schema)
     if check_codec(codec) == "arrow":
         reader = spark.readStream.options(**FOLLOW_ALL) if stream else spark.read
