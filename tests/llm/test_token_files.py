@@ -101,6 +101,32 @@ def test_remembering_ends(tokenizer, monkeypatch):
         assert len(encode.known) < 30
 
 
+def test_parts_of_the_last_texts_stay_remembered(tokenizer, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 3)
+    asked = []
+
+    class Watched:
+        get_vocab = tokenizer.get_vocab
+
+        def encode(self, text, **options):
+            asked.extend(text.split())
+            return tokenizer.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(" ".join(texts).split())
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    encode, long = token_files.SpacedEncoder(Watched(), True), "y" * 100
+    for k in "abcde":
+        ids, _ = encode(pa.array([f"some words stay, 9 times new{k} {long}", None, f"{long} {k}"]))
+        whole = tokenizer.encode_batch([f"some words stay, 9 times new{k} {long}", f"{long} {k}"], add_special_tokens=False)
+        assert ids.tolist() == [i for e in whole for i in e.ids]
+    assert asked.count("stay") == asked.count("9") == 1
+    assert asked.count(long) == 5 and len(encode.ids) < 100  # too long to be kept
+
+
 def expected(docs, tokenizer):
     order = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
     at, rows = 0, []

@@ -30,6 +30,7 @@ import sys
 import types
 import zlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain, compress, count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -67,32 +68,63 @@ class SpacedEncoder:
 
     def __init__(self, tokenizer, folds: bool = False, word_end: str = "</w>"):
         self.tokenizer, self.folds = tokenizer, folds
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}  # remembered parts by number
+        self.ids, self.bounds = np.zeros(0, np.uint32), np.zeros(1, np.int64)  # their ids, and where those of each begin
         self.ends = np.zeros(max(tokenizer.get_vocab().values()) + 1, bool)
         self.ends[[number for token, number in tokenizer.get_vocab().items() if token.endswith(word_end)]] = True
 
-    def _encoded(self, words: list[str]) -> Iterator[bytes]:
-        for encoding in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
-            yield np.array(encoding.ids, np.uint32).tobytes()
-
-    def _encoded_letters(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of runs of Latin letters: encoded as one text, cut behind the ids that end a run."""
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, np.uint32)
-        cuts = np.flatnonzero(self.ends[ids]) + 1
-        if len(cuts) != len(words):
-            yield from self._encoded(words)
-            return
-        content, begin = ids.tobytes(), 0
-        for end in (4 * cuts).tolist():
-            yield content[begin:end]
-            begin = end
-
-    def _learn(self, words: list[str]) -> None:
-        """Add the ids of parts not known yet."""
-        letters = [word for word in words if word.isalpha() and max(word) <= LAST_LATIN and DOTTED_I not in word] if self.folds else []
-        self.known.update(zip(letters, self._encoded_letters(letters), strict=True))
-        others = [word for word in words if word not in self.known]
-        self.known.update(zip(others, self._encoded(others), strict=True))
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        lists = [encoding.ids for encoding in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, counts.sum()), counts
+
+    def _encoded_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of runs of Latin letters: encoded as one text, cut behind the ids that end a run."""
+        encodings = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)  # keeps no offsets
+        ids = np.array(encodings[0].ids, np.uint32)
+        counts = np.diff(np.flatnonzero(self.ends[ids]), prepend=-1)
+        return (ids, counts) if len(counts) == len(words) and counts.sum() == len(ids) else self._encoded(words)
+
+    def _kind(self, word: str) -> int:
+        """0 for letters that are encoded together, 1 for others, 2 for what is not remembered."""
+        if len(word) > LONGEST_REMEMBERED:
+            return 2
+        letters = self.folds and word.isalpha() and (word.isascii() or (max(word) <= LAST_LATIN and DOTTED_I not in word))
+        return 0 if letters else 1
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The numbers of distinct parts. Those not known yet are encoded, those not to be remembered come last."""
+        numbers = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            kinds = np.fromiter((self._kind(words[at]) for at in new.tolist()), np.int8, len(new))
+            new = new[np.argsort(kinds, kind="stable")]
+            letters, others, _ = np.bincount(kinds, minlength=3).tolist()
+            ordered, first = [words[at] for at in new.tolist()], len(self.known)
+            found = [self._encoded_letters(ordered[:letters]), self._encoded(ordered[letters:])]
+            self.known.update(zip(ordered[: letters + others], count(first)))
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in found)])
+            sizes = np.concatenate([counts for _, counts in found])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(sizes)])
+            numbers[new] = first + np.arange(len(new))
+        return numbers
+
+    def _forget(self, words: list[str], numbers: np.ndarray) -> None:
+        """Drop what is not to be remembered and, once too much is, all but the parts of these words."""
+        kept = numbers < len(self.known)
+        self.bounds = self.bounds[: len(self.known) + 1]
+        self.ids = self.ids[: self.bounds[-1]]
+        if len(self.known) > REMEMBERED:
+            self.known = dict(zip(compress(words, kept), count()))
+            self.ids, before = self._gathered(numbers[kept])
+            self.bounds = before
+
+    def _gathered(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of parts one after another, and how many there are before each (and the end)."""
+        starts = self.bounds[numbers]
+        before = np.concatenate([[0], np.cumsum(self.bounds[numbers + 1] - starts)])
+        return self.ids[np.repeat(starts - before[:-1], np.diff(before)) + np.arange(before[-1])], before
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids before each text (and the end). Null texts have none."""
@@ -100,19 +132,12 @@ class SpacedEncoder:
         for _, data, offsets in text_blocks(texts, TEXT_BYTES):
             parts, bounds = parted(data, offsets, self.folds)
             coded = parts.dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self._learn([word for word in words if word not in self.known])
-            lists = [self.known[word] for word in words]
-            counts = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
-            flat, codes = np.frombuffer(b"".join(lists), np.uint32), coded.indices.to_numpy()
-            starts, counts = (np.cumsum(counts) - counts)[codes], counts[codes]
-            before = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
-            ids.append(flat[np.repeat(starts - before[:-1], counts) + np.arange(before[-1])])
+            words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            numbers = self._numbers(words)
+            found, before = self._gathered(numbers[coded.indices.to_numpy()])
+            ids.append(found)
             sizes.append(np.diff(before[bounds]))
-            for long in [word for word in words if len(word) > LONGEST_REMEMBERED]:
-                del self.known[long]
+            self._forget(words, numbers)
         return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.cumsum(np.concatenate(sizes))
 
 
